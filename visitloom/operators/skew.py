@@ -1,0 +1,38 @@
+"""Keys that hold too many rows for one task."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows one key may hold before its values are spread over several rows.
+PART_ROWS = 100_000
+# No more keys than this can each hold more than 1/MAX_HEAVY_KEYS of the rows,
+# which bounds every table of heavy keys that is broadcast.
+MAX_HEAVY_KEYS = 200_000
+
+
+def heavy_keys(df: DataFrame, key: str, part_rows: int = PART_ROWS) -> DataFrame:
+    """(heavy_key, parts) of the keys with more than `part_rows` rows, and more than
+    1/MAX_HEAVY_KEYS of all rows; `parts` is the number of parts of `part_rows` rows."""
+    sizes = df.groupBy(F.col(key).alias("heavy_key")).agg(F.count(F.lit(1)).alias("size"))
+    share = sizes.agg(F.expr(f"sum(size) div {MAX_HEAVY_KEYS}").alias("share")).scalar()
+    return sizes.where((F.col("size") > part_rows) & (F.col("size") > share)).select(
+        "heavy_key", F.ceil(F.col("size") / part_rows).alias("parts")
+    )
+
+
+def split_by_weight(df: DataFrame, key: str, heavy: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of ordinary keys, and rows of heavy keys with their `parts`.
+
+    `heavy` comes from `heavy_keys`, so it has at most MAX_HEAVY_KEYS rows and is
+    broadcast: neither side shuffles here.
+    """
+    small = F.broadcast(heavy)
+    same = df[key].eqNullSafe(small["heavy_key"])
+    return df.join(small, same, "left_anti"), df.join(small, same, "inner").drop("heavy_key")
+
+
+def part_of(parts, *values):
+    """The part a value falls in: the same on every run and every executor."""
+    return F.pmod(F.xxhash64(*values), parts).cast("int")

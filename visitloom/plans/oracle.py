@@ -132,7 +132,7 @@ stats AS (SELECT CAST(count(*) AS BIGINT) AS session_count, {counts} FROM {frame
 
 
 _RATIOS = ", ".join(
-    f"CAST((2000 * {n} + session_count) // (2 * session_count) AS DOUBLE) / 1000 AS {n}"
+    f"CAST((2000 * {n} + session_count) // (2 * nullif(session_count, 0)) AS DOUBLE) / 1000 AS {n}"
     for n, _, _ in VISIT_BUCKETS + STEP_BUCKETS
 )
 

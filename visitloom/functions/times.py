@@ -23,7 +23,7 @@ def format_time(time: Column) -> Column:
 
 
 def format_date(time: Column) -> Column:
-    return F.substring(time.cast("string"), 1, 10)
+    return time.cast("date").cast("string")
 
 
 def date_hour(text: Column) -> Column:

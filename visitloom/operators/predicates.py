@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 def date_range(actions: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
     """Actions from `start` to `end`, both included; a missing bound is open."""
+    if start is not None and end is not None:
+        return actions.where(F.col("date").between(start, end))
     if start is not None:
         actions = actions.where(F.col("date") >= F.lit(start))
     if end is not None:

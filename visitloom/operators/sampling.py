@@ -5,23 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from visitloom.functions.times import date_hour
 from visitloom.operators.joins import rows_of
 from visitloom.operators.sessions import list_text, session_records
 from visitloom.schemas import SESSION_DETAIL, SESSION_RANDOM_EXTRACT
 
-# Tasks that share the sessions of one hour before its sample is drawn.
-HOUR_SALTS = 64
-# Samples up to this size are broadcast.
-BROADCAST_SESSIONS = 200_000
+# Leading hex digits of a draw by which an hour's sessions are counted: 16^3 slices.
+SLICE_DIGITS = 3
+# What is bounded by the sample size is broadcast up to this many rows.
+BROADCAST_ROWS = 200_000
 
 
 def _hourly(sessions: DataFrame) -> DataFrame:
-    key = date_hour(F.col("start_time"))
-    return sessions.select(
+    # Never NULL, so that joins on these columns add no filters that would
+    # work them out once more.
+    start = F.coalesce("start_time", F.lit(""))
+    return sessions.where(F.col("start_time").isNotNull()).select(
         "session_id",
-        F.split_part(key, F.lit("_"), F.lit(1)).alias("date"),
-        F.split_part(key, F.lit("_"), F.lit(2)).alias("hour"),
+        F.substring(start, 1, 10).alias("date"),
+        F.substring(start, 12, 2).alias("hour"),
     )
 
 
@@ -33,7 +34,8 @@ def sessions_per_hour(sessions: DataFrame) -> DataFrame:
 def hourly_quota(hours: DataFrame, target: int = 100) -> DataFrame:
     """Per hour: sessions of its day, number of days, the day's quota (target / days,
     whole) and the sample size min(sessions, whole part of sessions / day total * quota)."""
-    days = hours.agg(F.count_distinct("date").alias("days")).scalar()
+    # One row per hour of the calendar is little enough for one task.
+    days = F.size(F.collect_set("date").over(Window.partitionBy(F.lit(0)))).cast("bigint")
     share = F.col("sessions").cast("double") / F.col("day_total") * F.col("day_quota")
     return (
         hours.withColumn("day_total", F.sum("sessions").over(Window.partitionBy("date")))
@@ -47,29 +49,40 @@ def sample_sessions(sessions: DataFrame, target: int = 100, seed: int = 42) -> D
     """The sampled (date, hour, session_id): in each hour the `sample_size` sessions
     that come first by md5 of seed and session id.
 
-    No hour takes more than `target` sessions, so each salt of an hour first
-    keeps its own first `target`; only those meet in one task.
+    The sessions of an hour are counted by slices of equal leading md5 digits,
+    which tells the last slice the sample reaches into. Only sessions up to that
+    slice are sorted, so a full hour is never brought into one task.
     """
-    hours = hourly_quota(sessions_per_hour(sessions), target)
+    draw = F.md5(F.concat(F.lit(str(seed)), F.coalesce("session_id", F.lit(""))))
     drawn = (
         _hourly(sessions)
-        .withColumn("draw", F.md5(F.concat(F.lit(str(seed)), F.col("session_id"))))
-        .withColumn("salt", F.pmod(F.xxhash64("session_id"), F.lit(HOUR_SALTS)))
+        .withColumn("draw", draw)
+        .withColumn("slice", F.substring("draw", 1, SLICE_DIGITS))
     )
-    within_salt = Window.partitionBy("date", "hour", "salt").orderBy("draw", "session_id")
-    within_hour = Window.partitionBy("date", "hour").orderBy("draw", "session_id")
-    few = drawn.withColumn("place", F.row_number().over(within_salt)).where(F.col("place") <= target)
-    return (
-        few.withColumn("place", F.row_number().over(within_hour))
-        .where(F.col("place") <= target)
+    slices = drawn.groupBy("date", "hour", "slice").agg(F.count(F.lit(1)).alias("in_slice"))
+    hours = hourly_quota(slices.groupBy("date", "hour").agg(F.sum("in_slice").alias("sessions")), target)
+
+    earlier = Window.partitionBy("date", "hour").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    reach = (
+        slices.withColumn("ahead", F.coalesce(F.sum("in_slice").over(earlier), F.lit(0)))
         .join(hours.select("date", "hour", "sample_size"), ["date", "hour"])
+        .where(F.col("ahead") < F.col("sample_size"))
+        .groupBy("date", "hour", "sample_size")
+        .agg(F.max("slice").alias("last_slice"))
+    )
+    # Every hour here has a sample of its own, so there are no more hours than `target`.
+    few = drawn.join(_few(reach, target), ["date", "hour"]).where(F.col("slice") <= F.col("last_slice"))
+    order = Window.partitionBy("date", "hour").orderBy("draw", "session_id")
+    return (
+        few.withColumn("place", F.row_number().over(order))
         .where(F.col("place") <= F.col("sample_size"))
         .select("date", "hour", "session_id")
     )
 
 
-def _few(sample: DataFrame, target: int) -> DataFrame:
-    return F.broadcast(sample) if target <= BROADCAST_SESSIONS else sample
+def _few(rows: DataFrame, target: int) -> DataFrame:
+    """Rows of which there are at most `target`, broadcast unless that is too many."""
+    return F.broadcast(rows) if target <= BROADCAST_ROWS else rows
 
 
 def sampled_details(actions: DataFrame, sample: DataFrame, target: int = 100) -> DataFrame:

@@ -27,9 +27,8 @@ def build_session(
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
-        # Session lists are gathered for many keys per task; the default of 128
-        # keys would send every map task to the sort-based path.
-        "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "20000",
+        # Without a stack trace per column expression plans are built twice as fast.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     if partitions is not None:
         defaults["spark.sql.shuffle.partitions"] = str(partitions)

@@ -6,7 +6,16 @@ from pyspark.sql import functions as F
 from visitloom.operators.categories import category_counts, ranked_categories
 from visitloom.operators.predicates import any_of, date_range, equals, in_range, one_of
 from visitloom.plans.job import JobOptions, SessionJob, category_job, statistics_job
-from visitloom.schemas import PERSON, SESSION_AGGR_STAT, SESSION_DETAIL, TASK, TOP10_CATEGORY_SESSION
+from tests.conftest import final_plan
+from visitloom.schemas import (
+    PERSON,
+    SESSION_AGGR_STAT,
+    SESSION_DETAIL,
+    TASK,
+    TOP10_CATEGORY_SESSION,
+    USER_INFO,
+    USER_VISIT_ACTION,
+)
 from visitloom.session import scratch_path, shuffle_partitions, through_storage
 from visitloom.sources import files, tables
 from visitloom.sources.sinks import TableSink
@@ -41,6 +50,25 @@ def test_text_lines(spark, tmp_path):
     assert columns.collect() == [("Michael", "29"), ("Andy", "30"), ("Justin", "19"), ("Nobody", None)]
 
 
+def test_partitioned_actions_are_pruned(spark, make_actions, tmp_path):
+    actions = make_actions(
+        *({"session_id": "s", "date": f"2024-01-0{d}", "page_id": d, "action_time": "x"} for d in range(1, 6))
+    )
+    actions.write.partitionBy("date").parquet(str(tmp_path / "actions"))
+    read = tables.read_actions(spark, str(tmp_path / "actions"))
+    assert read.schema == USER_VISIT_ACTION
+    some = date_range(read, "2024-01-02", "2024-01-03")
+    assert sorted(r["page_id"] for r in some.collect()) == [2, 3]
+    plan = final_plan(some)
+    assert "PartitionFilters: [isnotnull(date" in plan and "(date#" in plan.split("PartitionFilters")[1]
+
+
+def test_catalog_table(spark, make_users):
+    make_users({"user_id": 3, "age": 4}).createOrReplaceTempView("stored_users")
+    users = tables.catalog_table(spark, "stored_users", USER_INFO)
+    assert users.schema == USER_INFO and users.first()["user_id"] == 3
+
+
 def test_missing_columns_become_null(spark):
     df = spark.createDataFrame([(1, "a")], "x int, name string")
     assert tables.typed_by_name(df, PERSON).collect() == [("a", None)]

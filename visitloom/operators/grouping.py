@@ -117,5 +117,6 @@ def keyed_sum(df: DataFrame, column: str, preset: Sequence[str] = ("ONE", "TWO",
     sums = given.select(
         F.upper(F.get(pair, F.lit(0))).alias("key"), F.get(pair, F.lit(1)).try_cast("bigint").alias("number")
     )
-    zeros = df.sparkSession.createDataFrame([(k.upper(), 0) for k in preset], "key string, number bigint")
+    keys = F.explode(F.array(*(F.lit(k.upper()) for k in preset)).cast("array<string>"))
+    zeros = df.sparkSession.range(1).select(keys.alias("key"), F.lit(0).cast("bigint").alias("number"))
     return sums.unionByName(zeros).groupBy("key").agg(F.sum("number").alias("total"))

@@ -16,7 +16,13 @@ ACTION_OF_EVENT = {"view": "search", "click": "click", "purchase": "order", "sig
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).parquet(path)
+    """A parquet table; it may be partitioned by any of its columns, such as the date."""
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
+
+
+def catalog_table(spark: SparkSession, name: str, schema: T.StructType) -> DataFrame:
+    """A table of the session catalog, such as a Hive table, bound to a fixed schema."""
+    return typed_by_name(spark.table(name), schema)
 
 
 def read_actions(spark: SparkSession, path: str) -> DataFrame:

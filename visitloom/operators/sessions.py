@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from visitloom.functions.numbers import ratio_3
-from visitloom.functions.texts import id_texts
 from visitloom.functions.times import format_time, parse_time_fast
 from visitloom.operators.predicates import equals, in_range, one_of
 from visitloom.operators.skew import PART_ROWS, heavy_keys, part_of, split_by_weight
@@ -72,11 +71,16 @@ def session_summary(actions: DataFrame, **flags: Column) -> DataFrame:
     )
 
 
-def _sorted_list(values: Column, numbers: bool) -> Column:
+def _sorted_list(values: str, numbers: bool) -> str:
     if not numbers:
-        return F.array_sort(values)
-    pairs = F.transform(values, lambda v: F.struct(v.try_cast("bigint").alias("n"), v.alias("v")))
-    return F.transform(F.array_sort(pairs), lambda p: p["v"])
+        return f"array_sort({values})"
+    by_number = f"array_sort(transform({values}, v -> struct(try_cast(v AS bigint) AS n, v AS v)))"
+    return f"transform({by_number}, p -> p.v)"
+
+
+def _items(column: str) -> str:
+    """The non-empty items of a comma list."""
+    return f"filter(split({column}, ','), item -> item != '')"
 
 
 def _records(actions: DataFrame, lists: dict, part_rows: int) -> DataFrame:
@@ -88,45 +92,47 @@ def _records(actions: DataFrame, lists: dict, part_rows: int) -> DataFrame:
     heavy = heavy_keys(actions, "session_id", part_rows)
     ordinary, large = split_by_weight(actions, "session_id", heavy)
 
-    gathered = [F.collect_set(F.col(source).cast("string")).alias(name) for name, (source, _, _) in lists.items()]
-    grouped = _timed(ordinary).groupBy("session_id").agg(*_summary_aggregates(), *gathered)
+    gathered = [F.expr(f"collect_set(CAST({source} AS string)) AS {name}") for name, (source, _, _) in lists.items()]
 
     def finished(name: str, numbers: bool, is_list: bool) -> Column:
-        values = F.col(name)
-        if is_list:
-            values = F.array_distinct(F.flatten(F.transform(values, id_texts)))
-        return _sorted_list(values, numbers).alias(name)
-
-    small = grouped.select(
-        *_summary_columns(),
-        F.lit(0).alias("list_part"),
-        *(finished(name, numbers, is_list) for name, (_, numbers, is_list) in lists.items()),
+        values = f"array_distinct(flatten(transform({name}, t -> {_items('t')})))" if is_list else name
+        return F.expr(f"{_sorted_list(values, numbers)} AS {name}")
+
+    small = (
+        _timed(ordinary)
+        .groupBy("session_id")
+        .agg(*_summary_aggregates(), *gathered)
+        .select(
+            *_summary_columns(),
+            F.lit(0).alias("list_part"),
+            *(finished(name, numbers, is_list) for name, (_, numbers, is_list) in lists.items()),
+        )
     )
 
-    def entries(name: str, source: str, is_list: bool) -> Column:
-        text = F.col(source).cast("string")
-        values = F.coalesce(id_texts(text), F.array().cast("array<string>")) if is_list else F.array(text)
-        return F.transform(values, lambda v: F.struct(F.lit(name).alias("list"), v.alias("value")))
+    def entries(name: str, source: str, is_list: bool) -> str:
+        values = f"coalesce({_items(source)}, array())" if is_list else f"array(CAST({source} AS string))"
+        return f"transform({values}, v -> struct('{name}' AS list, v AS value))"
+
+    def gathered_part(name: str, numbers: bool) -> Column:
+        values = f"collect_list(CASE WHEN list = '{name}' THEN value END)"
+        return F.expr(f"{_sorted_list(values, numbers)} AS {name}")
 
-    each = F.concat(*(entries(name, source, is_list) for name, (source, _, is_list) in lists.items()))
+    each = ", ".join(entries(name, source, is_list) for name, (source, _, is_list) in lists.items())
     values = (
-        large.select("session_id", "parts", F.explode(each).alias("entry"))
+        large.select("session_id", "parts", F.expr(f"explode(concat({each})) AS entry"))
         .select("session_id", "parts", "entry.*")
         .where(F.col("value").isNotNull())
         .distinct()
         .withColumn("list_part", part_of(F.col("parts"), "list", "value"))
     )
     in_parts = values.groupBy("session_id", "list_part").agg(
-        *(
-            _sorted_list(F.collect_list(F.when(F.col("list") == name, F.col("value"))), numbers).alias(name)
-            for name, (_, numbers, _) in lists.items()
-        )
+        *(gathered_part(name, numbers) for name, (_, numbers, _) in lists.items())
     )
     summaries = session_summary(large)
     rows = summaries.join(in_parts, summaries["session_id"].eqNullSafe(in_parts["session_id"]), "left").select(
         *(summaries[c] for c in SUMMARY),
-        F.coalesce("list_part", F.lit(0)).alias("list_part"),
-        *(F.coalesce(name, F.array().cast("array<string>")).alias(name) for name in lists),
+        F.expr("coalesce(list_part, 0) AS list_part"),
+        *(F.expr(f"coalesce({name}, array()) AS {name}") for name in lists),
     )
     return small.unionByName(rows)
 
@@ -180,19 +186,22 @@ def select_sessions(actions: DataFrame, users: DataFrame, criteria: Criteria) ->
     return with_users(sessions.drop(*flags), wanted)
 
 
-def _in_bucket(value: Column, low: int | None, high: int | None) -> Column:
-    if low is None:
-        return value <= high
-    return value >= low if high is None else value.between(low, high)
+def _counted(column: str, buckets: tuple) -> list[Column]:
+    def condition(low: int | None, high: int | None) -> str:
+        if low is None:
+            return f"{column} <= {high}"
+        return f"{column} >= {low}" if high is None else f"{column} BETWEEN {low} AND {high}"
+
+    return [F.expr(f"count_if({condition(low, high)}) AS {name}") for name, low, high in buckets]
 
 
 def session_counts(sessions: DataFrame) -> DataFrame:
     """One row: number of sessions, in all and per visit and step bucket."""
-    visits = [
-        F.count_if(_in_bucket(F.col("visit_length"), low, high)).alias(name) for name, low, high in VISIT_BUCKETS
-    ]
-    steps = [F.count_if(_in_bucket(F.col("step_length"), low, high)).alias(name) for name, low, high in STEP_BUCKETS]
-    return sessions.agg(F.count(F.lit(1)).alias("session_count"), *visits, *steps)
+    return sessions.agg(
+        F.count(F.lit(1)).alias("session_count"),
+        *_counted("visit_length", VISIT_BUCKETS),
+        *_counted("step_length", STEP_BUCKETS),
+    )
 
 
 def session_statistics(sessions: DataFrame, task_id: int) -> DataFrame:

@@ -1,3 +1,4 @@
+import random
 from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
@@ -80,11 +81,68 @@ def test_times(one):
 
 
 @pytest.mark.parametrize(
-    "text", ["2020-01-10 15:03:17", "2020-02-30 00:00:00", "2020-01-10T15:03:17", "2020-01-10", "x" * 19, ""]
-)
-def test_fast_time_parsing_agrees(one, text):
-    fast = one(lambda t: times.format_time(times.parse_time_fast(t)), text)
-    assert fast == one(lambda t: times.format_time(times.parse_time(t)), text)
+    "text",
+    ["2020-02-30 00:00:00", "2020-01-10T15:03:17", "2020-01-10 1:02:03Z", "2020-01-10 1:2:3.45", "2020-01-10", "x" * 19,
+     "", "2020-01-10 24:00:00", "2020-01-10 15:03:17\n"],
+)
+def test_times_of_another_form_are_null(one, text):
+    assert one(times.parse_time, text) is None
+
+
+def test_times_do_not_depend_on_the_session_zone(spark, one):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        # An hour that this zone skips.
+        assert one(lambda t: times.format_time(times.parse_time(t)), "2024-03-10 02:30:00") == "2024-03-10 02:30:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def _dropped_end(parts):
+    """A split leaves out empty parts at the end, unless the whole text is empty."""
+    while len(parts) > 1 and parts[-1] == "":
+        parts = parts[:-1]
+    return parts
+
+
+def _field(record, name):
+    for entry in record.split("|"):
+        pair = _dropped_end(entry.split("="))
+        if len(pair) == 2 and pair[0] == name:
+            return pair[1]
+    return None
+
+
+def _changed(record, name, value):
+    entries = _dropped_end(record.split("|"))
+    for i, entry in enumerate(entries):
+        if entry.split("=")[0] == name:
+            entries[i] = f"{name}={value}"
+            break
+    return "|".join(entries)
+
+
+def test_records_and_lists_match_plain_python_on_random_texts(spark):
+    rng = random.Random(11)
+    given = sorted({"".join(rng.choice("aab==||,1 \n") for _ in range(rng.randrange(14))) for _ in range(4000)})
+    t = F.col("t")
+    df = spark.createDataFrame([(g,) for g in given], "t string").select(
+        "t",
+        texts.record_field(t, "a").alias("field"),
+        texts.set_record_field(t, "a", F.lit("z")).alias("changed"),
+        texts.words(t).alias("words"),
+        texts.trim_comma(t).alias("trimmed"),
+        texts.id_list(t).alias("ids"),
+    )
+    for row in df.collect():
+        text = row["t"]
+        assert row["field"] == _field(text, "a"), text
+        assert row["changed"] == _changed(text, "a", "z"), text
+        blank = text != "" and text.strip(" ") == ""
+        assert row["words"] == ([] if blank else _dropped_end(text.split(" "))), text
+        once = text[1:] if text.startswith(",") else text
+        assert row["trimmed"] == (once[:-1] if once.endswith(",") else once), text
+        assert row["ids"] == [int(i) for i in text.split(",") if i.strip(" \n").isdigit()], text
 
 
 def test_ratio_matches_decimal_rounding(spark):

@@ -14,7 +14,7 @@ def is_not_empty(text: Column) -> Column:
 
 def trim_comma(text: Column) -> Column:
     """Without one leading and one trailing comma."""
-    return F.regexp_replace(text, "^,|,$", "")
+    return F.regexp_replace(text, "^,|,\\z", "")
 
 
 def two_digits(text: Column) -> Column:
@@ -47,7 +47,7 @@ def record_field(record: Column, field: str) -> Column:
     """
     entries = F.filter(
         F.split(record, "[|]"),
-        lambda entry: entry.rlike("^[^=]*=[^=]+=*$")
+        lambda entry: entry.rlike("^[^=]*=[^=]+=*\\z")
         & (F.split_part(entry, F.lit("="), F.lit(1)) == field),
     )
     return F.split_part(F.get(entries, F.lit(0)), F.lit("="), F.lit(2))
@@ -58,7 +58,7 @@ def set_record_field(record: Column, field: str, value: Column) -> Column:
 
     Empty entries at the end are left out.
     """
-    entries = F.split(F.regexp_replace(record, "[|]+$", ""), "[|]")
+    entries = F.split(F.regexp_replace(record, "[|]+\\z", ""), "[|]")
     names = F.transform(entries, lambda entry: F.split_part(entry, F.lit("="), F.lit(1)))
     at = F.array_position(names, field)
     changed = F.concat(F.lit(f"{field}="), value)

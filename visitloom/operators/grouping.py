@@ -112,7 +112,7 @@ def keyed_sum(df: DataFrame, column: str, preset: Sequence[str] = ("ONE", "TWO",
     """
     pair = F.split("entry", ":")
     given = df.select(F.explode(F.split(column, "_")).alias("entry")).where(
-        F.col("entry").rlike("^[^:]*:[^:]+:*$")
+        F.col("entry").rlike("^[^:]*:[^:]+:*\\z")
     )
     sums = given.select(
         F.upper(F.get(pair, F.lit(0))).alias("key"), F.get(pair, F.lit(1)).try_cast("bigint").alias("number")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from visitloom.functions.numbers import ratio_3
-from visitloom.functions.times import format_time, parse_time_fast
+from visitloom.functions.times import format_time, parse_time
 from visitloom.operators.predicates import equals, in_range, one_of
 from visitloom.operators.skew import PART_ROWS, heavy_keys, part_of, split_by_weight
 from visitloom.schemas import STEP_BUCKETS, VISIT_BUCKETS
@@ -33,7 +33,7 @@ WIDE_LISTS = {
 
 
 def _timed(actions: DataFrame) -> DataFrame:
-    return actions.withColumn("time", parse_time_fast(F.col("action_time")))
+    return actions.withColumn("time", parse_time(F.col("action_time")))
 
 
 def _summary_aggregates() -> list[Column]:

@@ -54,6 +54,17 @@ def test_ties_are_broken_by_session(make_actions):
     assert got == [f"s{i:02d}" for i in range(10)]
 
 
+def test_long_tops_are_cut_by_salt_first(make_actions, monkeypatch):
+    actions = make_actions(
+        *({"session_id": f"s{i % 150}", "action_time": _time(i), "click_category_id": i % 2} for i in range(500))
+    )
+    top = categories.top_categories(categories.category_counts(actions))
+    expected = set(map(tuple, categories.top_sessions(actions, top, n=40).collect()))
+    monkeypatch.setattr(categories, "CUT_BEFORE_SHUFFLE", 10)
+    assert set(map(tuple, categories.top_sessions(actions, top, n=40).collect())) == expected
+    assert len(expected) == 80
+
+
 @pytest.fixture
 def many_sessions(make_actions):
     """Most sessions start in one hour of one day."""

@@ -10,6 +10,10 @@ from visitloom.operators.predicates import with_value
 
 # Up to this many top categories are broadcast.
 BROADCAST_CATEGORIES = 100_000
+# Up to this many rows per group Spark cuts groups per map task; beyond it they
+# are first cut by salt.
+CUT_BEFORE_SHUFFLE = 1000
+SALTS = 64
 
 
 def _ids(column: str) -> Column:
@@ -102,10 +106,13 @@ def clicks_in_categories(actions: DataFrame, top: DataFrame, k: int = 10) -> Dat
 
 def top_sessions(actions: DataFrame, top: DataFrame, k: int = 10, n: int = 10) -> DataFrame:
     """The n sessions with most clicks in each of the k categories; equal ones by session id."""
-    order = Window.partitionBy("category_id").orderBy(F.desc("click_count"), F.asc("session_id"))
-    return (
-        clicks_in_categories(actions, top, k)
-        .withColumn("place", F.row_number().over(order))
-        .where(F.col("place") <= n)
-        .drop("place")
-    )
+
+    def first(counts: DataFrame, *group: str) -> DataFrame:
+        order = Window.partitionBy(*group).orderBy(F.desc("click_count"), F.asc("session_id"))
+        return counts.withColumn("place", F.row_number().over(order)).where(F.col("place") <= n).drop("place")
+
+    counts = clicks_in_categories(actions, top, k)
+    if n > CUT_BEFORE_SHUFFLE:
+        salted = counts.withColumn("salt", F.pmod(F.xxhash64("session_id"), F.lit(SALTS)))
+        counts = first(salted, "category_id", "salt").drop("salt")
+    return first(counts, "category_id")

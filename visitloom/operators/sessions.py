@@ -92,11 +92,14 @@ def _records(actions: DataFrame, lists: dict, part_rows: int) -> DataFrame:
     heavy = heavy_keys(actions, "session_id", part_rows)
     ordinary, large = split_by_weight(actions, "session_id", heavy)
 
-    gathered = [F.expr(f"collect_set(CAST({source} AS string)) AS {name}") for name, (source, _, _) in lists.items()]
+    gathered = [F.collect_set(source).alias(name) for name, (source, _, _) in lists.items()]
 
     def finished(name: str, numbers: bool, is_list: bool) -> Column:
-        values = f"array_distinct(flatten(transform({name}, t -> {_items('t')})))" if is_list else name
-        return F.expr(f"{_sorted_list(values, numbers)} AS {name}")
+        if is_list:
+            values = _sorted_list(f"array_distinct(flatten(transform({name}, t -> {_items('t')})))", numbers)
+        else:
+            values = f"transform(array_sort({name}), v -> CAST(v AS string))"
+        return F.expr(f"{values} AS {name}")
 
     small = (
         _timed(ordinary)

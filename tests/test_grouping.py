@@ -121,7 +121,7 @@ def test_join_and_cogroup(spark):
         [(1, 100), (2, 90), (3, 98), (1, 100), (2, 85), (3, 45), (4, 1), (None, 2)], "id int, mark int"
     )
     assert joins.inner_join(students, marks, "id").count() == 6
-    got = {r["id"]: (r["left_values"], r["right_values"]) for r in joins.cogroup(students, marks, "id").collect()}
+    got = {r["id"]: (r["left_values"], r["right_values"]) for r in grouping.cogroup(students, marks, "id").collect()}
     assert got == {
         1: (["leo"], [100, 100]),
         2: (["jack"], [85, 90]),
@@ -135,7 +135,7 @@ def test_cogroup_in_parts_is_whole(skewed, spark):
     rows, df = skewed
     other = spark.createDataFrame([("hot", i) for i in range(90)] + [("k1", 1)], "key string, mark int")
     left, right = defaultdict(Counter), defaultdict(Counter)
-    for row in joins.cogroup(df, other, "key", 40).collect():
+    for row in grouping.cogroup(df, other, "key", 40).collect():
         left[row["key"]].update(row["left_values"])
         right[row["key"]].update(row["right_values"])
     assert left["hot"] == Counter(v for k, v in rows if k == "hot")

@@ -36,50 +36,78 @@ def distinct_rows(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*columns).distinct()
 
 
-def _listed(value: Column) -> Column:
-    # Inside a struct NULL values stay in the list.
-    return F.transform(F.array_sort(F.collect_list(F.struct(value.alias("v")))), lambda s: s["v"])
+def _values(lists: Column) -> Column:
+    """The sorted values of a list of structs, in which NULL values have stayed."""
+    return F.transform(F.array_sort(lists), lambda s: s["v"])
 
 
-def _copies(df: DataFrame, keys: Sequence[str], value: str, part_rows: int) -> DataFrame:
-    """Equal values as (…keys, value, block, copies) with at most `part_rows` copies a row."""
-    counted = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
+def _copies(df: DataFrame, columns: Sequence[str], part_rows: int) -> DataFrame:
+    """Equal rows as (…columns, block, copies) with at most `part_rows` copies a row."""
+    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
     blocks = F.sequence(F.lit(0).cast("bigint"), F.expr(f"(n - 1) div {part_rows}"))
-    return counted.select(*keys, value, "n", F.explode(blocks).alias("block")).select(
-        *keys,
-        value,
+    return counted.select(*columns, "n", F.explode(blocks).alias("block")).select(
+        *columns,
         "block",
         F.least(F.lit(part_rows), F.col("n") - F.col("block") * part_rows).cast("int").alias("copies"),
     )
 
 
-def _listed_copies(value: str) -> Column:
-    repeated = F.collect_list(F.array_repeat(F.struct(F.col(value).alias("v")), F.col("copies")))
-    return F.transform(F.array_sort(F.flatten(repeated)), lambda s: s["v"])
+def _listed_copies(name: str) -> Column:
+    repeated = F.collect_list(F.when(F.col(name).isNotNull(), F.array_repeat(name, F.col("copies"))))
+    return _values(F.flatten(repeated)).alias(name)
 
 
-def values_by_key(df: DataFrame, key: str, value: str, part_rows: int = PART_ROWS) -> DataFrame:
-    """(key, part, values): the sorted values of every key, in parts."""
-    rows = df.select(key, value)
+def gather(rows: DataFrame, key: str, lists: Sequence[str], part_rows: int = PART_ROWS) -> DataFrame:
+    """(key, part, …lists): the sorted values of every key, in parts, with one shuffle.
+
+    Each of the columns `lists` holds structs of a single field `v`; a row whose
+    struct is NULL adds nothing to that list.
+    """
     ordinary, heavy = split_by_weight(rows, key, heavy_keys(rows, key, part_rows))
-    small = ordinary.groupBy(key).agg(_listed(F.col(value)).alias("values"))
+    small = (
+        ordinary.groupBy(key)
+        .agg(*(_values(F.collect_list(name)).alias(name) for name in lists))
+        .withColumn("part", F.lit(0))
+    )
     large = (
-        _copies(heavy, [key, "parts"], value, part_rows)
-        .withColumn("part", part_of(F.col("parts"), value, "block"))
+        _copies(heavy, [key, "parts", *lists], part_rows)
+        .withColumn("part", part_of(F.col("parts"), *lists, "block"))
         .groupBy(key, "part")
-        .agg(_listed_copies(value).alias("values"))
+        .agg(*(_listed_copies(name) for name in lists))
     )
-    return small.select(key, F.lit(0).alias("part"), "values").unionByName(large)
+    return small.unionByName(large).select(key, "part", *lists)
 
 
-def all_values(df: DataFrame, value: str, part_rows: int = PART_ROWS) -> DataFrame:
-    """(part, values): the values of the whole table, sorted within each part."""
-    return _in_parts(df, value, part_rows).groupBy("part").agg(_listed_copies(value).alias("values"))
+def _struct(value: str) -> Column:
+    return F.struct(F.col(value).alias("v"))
 
 
-def _in_parts(df: DataFrame, value: str, part_rows: int) -> DataFrame:
+def values_by_key(df: DataFrame, key: str, value: str, part_rows: int = PART_ROWS) -> DataFrame:
+    """(key, part, values): the sorted values of every key, in parts."""
+    return gather(df.select(key, _struct(value).alias("values")), key, ["values"], part_rows)
+
+
+def cogroup(left: DataFrame, right: DataFrame, key: str, part_rows: int = PART_ROWS) -> DataFrame:
+    """(key, part, left_values, right_values): the values of both sides of every key
+    found on either; a list without values is empty. Each side is a (key, value) frame.
+
+    Both sides are grouped together, which takes one shuffle and no join.
+    """
+    names = ("left_values", "right_values")
+    sides = []
+    for df, name in zip((left, right), names, strict=True):
+        value = next(c for c in df.columns if c != key)
+        sides.append(df.select(key, _struct(value).alias(name)))
+    both = sides[0].unionByName(sides[1], allowMissingColumns=True)
+    return gather(both, key, names, part_rows)
+
+
+def all_values(df: DataFrame, value: str, part_rows: int = PART_ROWS) -> DataFrame:
+    """(part, values): the values of the whole table, sorted within each part."""
     parts = df.agg(F.ceil(F.count(F.lit(1)) / part_rows).alias("parts")).scalar()
-    return _copies(df.select(value), [], value, part_rows).withColumn("part", part_of(parts, value, "block"))
+    copies = _copies(df.select(_struct(value).alias("values")), ["values"], part_rows)
+    placed = copies.withColumn("part", part_of(parts, "values", "block"))
+    return placed.groupBy("part").agg(_listed_copies("values"))
 
 
 def joined_text(df: DataFrame, value: str, part_rows: int = PART_ROWS) -> DataFrame:

@@ -4,10 +4,6 @@ a broadcast by measured size, and AQE splits skewed sides of sort-merge joins.""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from visitloom.operators.grouping import values_by_key
-from visitloom.operators.skew import PART_ROWS
 
 
 def inner_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
@@ -19,25 +15,6 @@ def rows_of(actions: DataFrame, sessions: DataFrame) -> DataFrame:
     return actions.join(sessions.select("session_id"), "session_id", "left_semi")
 
 
-def cogroup(left: DataFrame, right: DataFrame, key: str, part_rows: int = PART_ROWS) -> DataFrame:
-    """(key, part, left_values, right_values): the values of both sides of every key
-    found on either. Each side is a (key, value) frame; lists come in parts as in
-    `values_by_key`, and a list that is missing is empty."""
-
-    def side(df: DataFrame, name: str) -> DataFrame:
-        value = next(c for c in df.columns if c != key)
-        return values_by_key(df, key, value, part_rows).withColumnRenamed("values", name)
-
-    a, b = side(left, "left_values"), side(right, "right_values")
-    joined = a.join(b, a[key].eqNullSafe(b[key]) & (a["part"] == b["part"]), "full")
-    return joined.select(
-        F.coalesce(a[key], b[key]).alias(key),
-        F.coalesce(a["part"], b["part"]).alias("part"),
-        F.coalesce("left_values", F.array().cast(a.schema["left_values"].dataType)).alias("left_values"),
-        F.coalesce("right_values", F.array().cast(b.schema["right_values"].dataType)).alias("right_values"),
-    )
-
-
 def full_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Full outer join of frames that share only `key`; NULL keys match nothing.
 

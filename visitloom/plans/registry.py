@@ -354,7 +354,7 @@ def customers_with_orders(t: Tables) -> DataFrame:
 def customers_cogrouped_with_orders(t: Tables) -> DataFrame:
     left = t.customer.select((F.col("c_custkey") + 10).alias("key"), "c_name")
     right = t.orders.select(F.col("o_custkey").alias("key"), "o_orderkey")
-    return _text(joins.cogroup(left, right, "key"))
+    return _text(grouping.cogroup(left, right, "key"))
 
 
 @query("C8")

@@ -78,14 +78,17 @@ def actions_from_events(
             "session_id"
         ),
         (F.col("event_id") % 10).alias("page_id"),
+        "event_type",
         kind.alias("action"),
         format_time(F.col("ts")).alias("action_time"),
         k.alias("k"),
         (F.col("event_id") % 100).alias("product"),
     )
 
+    event_of = {action: event for event, action in ACTION_OF_EVENT.items()}
+
     def only(action: str, value):
-        return F.when(F.col("action") == action, value)
+        return F.when(F.col("event_type") == event_of[action], value)
 
     def pair(first: str, step: int):
         return F.concat_ws(",", F.col(first).cast("string"), ((F.col(first) + step) % 100).cast("string"))

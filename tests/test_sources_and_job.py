@@ -19,7 +19,7 @@ from visitloom.schemas import (
 from visitloom.session import scratch_path, shuffle_partitions, through_storage
 from visitloom.sources import files, tables
 from visitloom.sources.sinks import TableSink
-from visitloom.sources.tasks import Criteria, find_task, with_task_parameters
+from visitloom.sources.tasks import Criteria, find_task, load_criteria, with_task_parameters
 
 PARAM = '{"startDate":["2024-01-07"],"endDate":["2024-01-29"],"startAge":[20],"endAge":[30]}'
 
@@ -106,6 +106,9 @@ def test_tasks(spark):
     tasks = spark.createDataFrame(rows, TASK)
     assert find_task(tasks, 1).collect()[0]["task_name"] == "t1"
     assert find_task(tasks, 9).collect() == []
+    assert load_criteria(tasks, 0) == Criteria.from_json(PARAM) and load_criteria(tasks, 2) == Criteria()
+    with pytest.raises(LookupError):
+        load_criteria(tasks, 9)
     got = {r["task_id"]: (r["startDate"], r["startAge"], r["sex"]) for r in with_task_parameters(tasks).collect()}
     assert got == {0: ("2024-01-07", "20", None), 1: (None, None, None), 2: (None, None, None)}
 

@@ -79,3 +79,11 @@ class Criteria:
             items("searchKeywords"),
             tuple(int(i) for i in items("clickCategoryIds")),
         )
+
+
+def load_criteria(tasks: DataFrame, task_id: int) -> Criteria:
+    """The criteria of a task; only its parameter text comes to the driver."""
+    row = find_task(tasks, task_id).select("task_param").first()
+    if row is None:
+        raise LookupError(f"no task {task_id}")
+    return Criteria.from_json(row["task_param"] or "{}")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,15 +40,11 @@ def build_session(
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new folder name under the shared folder of spark.checkpoint.dir.
+    """A new folder name under spark.checkpoint.dir, or under the warehouse where that is unset.
 
-    Only a local session may do without that setting.
+    Both are storage that the deployment has set up for driver and executors alike.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder shared by the cluster")
-        root = tempfile.mkdtemp(prefix="visitloom-")
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 # Rows handled at a time, so that a task holds a small part of its input.
 PIECE_ROWS = 512
@@ -14,8 +16,14 @@ PIECE_ROWS = 512
 _PLAIN = bytes(b if 48 <= b < 58 or 97 <= b < 123 or b > 127 else 32 for b in range(256))
 
 
+def share_code(spark: SparkSession) -> SparkSession:
+    """Python workers started from now on find this package where the driver found it."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+    return spark
+
+
 def map_pieces(
-    df: DataFrame, start: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]], schema: str
+    df: DataFrame, start: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]], schema: str | StructType
 ) -> DataFrame:
     """Rows of `df` through a function of small Arrow batches; `start` makes that function once a task."""
 

@@ -1,3 +1,48 @@
 """SQL for the queries that SQL can express."""
 
-ORACLE: dict[str, str] = {}
+from __future__ import annotations
+
+from visitloom.llm.licenses import BLOCK_STEP, BLOCK_WORDS, PHRASES, TEMPLATES, THRESHOLD
+
+_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def _words(text: str) -> str:
+    lowered = f"translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"regexp_extract_all({lowered}, '{_WORD}')"
+
+
+def _values(rows) -> str:
+    quoted = ("(" + ", ".join("'" + x.replace("'", "''") + "'" for x in row) + ")" for row in rows)
+    return "VALUES " + ", ".join(quoted)
+
+
+LICENSES = f"""
+WITH d AS (SELECT doc_id, {_words("text")} AS w FROM documents),
+r AS (SELECT row_number() OVER () AS row_id, doc_id, w, len(w) AS n FROM d),
+phrases AS (
+    SELECT label, {_words("phrase")} AS p FROM ({_values(PHRASES.items())}) v(phrase, label)),
+starts AS (
+    SELECT r.row_id, label, unnest(list_filter(range(n - len(p) + 1), lambda i: w[i + 1:i + len(p)] = p)) AS place
+    FROM r, phrases WHERE list_has_all(w, p)),
+base AS (
+    SELECT row_id, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word,
+        string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels
+    FROM starts GROUP BY row_id),
+templates AS (
+    SELECT label, list_distinct({_words("statement")}) AS t FROM ({_values(TEMPLATES)}) v(label, statement)),
+blocks AS (
+    SELECT row_id, w[b + 1:b + {BLOCK_WORDS}] AS block
+    FROM (SELECT row_id, w, unnest(range(0, n, {BLOCK_STEP})) AS b FROM r) q),
+joined AS (
+    SELECT row_id, label, len(list_intersect(block, t)) / len(t) AS share FROM blocks, templates),
+found AS (
+    SELECT row_id, label, share FROM joined WHERE round(share - {THRESHOLD}, 9) >= 0
+    UNION ALL SELECT row_id, label, 1.0 FROM starts),
+labelled AS (
+    SELECT row_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score FROM found GROUP BY row_id)
+SELECT doc_id, n AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+    coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0)::DOUBLE AS score
+FROM r LEFT JOIN base USING (row_id) LEFT JOIN labelled USING (row_id)"""
+
+ORACLE: dict[str, str] = {"op1_license_scan": LICENSES}

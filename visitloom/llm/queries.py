@@ -7,19 +7,35 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from visitloom.llm.batches import share_code
+from visitloom.llm.language_id import fit_languages, held_out, identify_languages
+from visitloom.llm.licenses import license_scan
 from visitloom.llm.token_counts import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    return share_code(spark).read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+
+
+def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan(_table(spark, folder, "documents")).drop("blocks")
 
 
 def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents")
+    model = fit_languages(documents.where(~held_out("doc_id")))
+    rows = documents.select("doc_id", held_out("doc_id").alias("held_out"), "text")
+    return identify_languages(rows, model).drop("text")
+
+
 QUERIES: dict[str, Query] = {
+    "op1_license_scan": op1_license_scan,
     "op3_token_counts": op3_token_counts,
+    "op6_language_id": op6_language_id,
 }

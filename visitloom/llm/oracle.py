@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from visitloom.llm.decontamination import WINDOW
 from visitloom.llm.licenses import BLOCK_STEP, BLOCK_WORDS, PHRASES, TEMPLATES, THRESHOLD
 
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -45,4 +46,30 @@ SELECT doc_id, n AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_wor
     coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0)::DOUBLE AS score
 FROM r LEFT JOIN base USING (row_id) LEFT JOIN labelled USING (row_id)"""
 
-ORACLE: dict[str, str] = {"op1_license_scan": LICENSES}
+DECONTAMINATION = f"""
+WITH d AS (SELECT row_number() OVER () AS row_id, doc_id, {_words("text")} AS w FROM documents),
+items AS (SELECT item_id, {_words("text")} AS w FROM benchmark),
+windows AS (
+    SELECT DISTINCT item_id, least(len(w), {WINDOW}) AS size, w[i + 1:i + {WINDOW}] AS win
+    FROM (SELECT item_id, w, unnest(range(greatest(len(w) - {WINDOW - 1}, 1))) AS i FROM items WHERE len(w) > 0) q),
+distinct_windows AS (SELECT DISTINCT size, win FROM windows),
+places AS (
+    SELECT row_id, size, p, w[p + 1:p + size] AS win
+    FROM (SELECT row_id, w, size, unnest(range(len(w) - size + 1)) AS p
+          FROM d, (SELECT DISTINCT size FROM windows) s WHERE len(w) >= size) q),
+hits AS (SELECT row_id, size, p, win FROM places SEMI JOIN distinct_windows USING (size, win)),
+hit_words AS (
+    SELECT row_id, count(DISTINCT word) AS n_hit
+    FROM (SELECT row_id, unnest(range(p, p + size)) AS word FROM hits) q GROUP BY row_id),
+hit_items AS (
+    SELECT row_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+    FROM (SELECT DISTINCT row_id, item_id::VARCHAR AS item_id FROM hits JOIN windows USING (size, win)
+          WHERE item_id IS NOT NULL) q GROUP BY row_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit_words USING (row_id) LEFT JOIN hit_items USING (row_id)"""
+
+ORACLE: dict[str, str] = {
+    "op1_license_scan": LICENSES,
+    "op7_decontamination": DECONTAMINATION,
+}

@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from visitloom.llm.batches import share_code
+from visitloom.llm.decontamination import find_contamination
 from visitloom.llm.language_id import fit_languages, held_out, identify_languages
 from visitloom.llm.licenses import license_scan
 from visitloom.llm.token_counts import token_counts
@@ -34,8 +36,22 @@ def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return identify_languages(rows, model).drop("text")
 
 
+def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = find_contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    n_hit = F.expr("aggregate(spans, 0L, (n, s) -> n + s.end - s.first)")
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
     "op3_token_counts": op3_token_counts,
     "op6_language_id": op6_language_id,
+    "op7_decontamination": op7_decontamination,
 }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from visitloom.llm.decontamination import WINDOW
 from visitloom.llm.licenses import BLOCK_STEP, BLOCK_WORDS, PHRASES, TEMPLATES, THRESHOLD
+from visitloom.llm.near_dedup import PERCENT, SHINGLE
 
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -69,7 +70,30 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
     sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit_words USING (row_id) LEFT JOIN hit_items USING (row_id)"""
 
+NEAR_DEDUP = f"""
+WITH RECURSIVE d AS (
+    SELECT row_number() OVER () AS row_id, doc_id,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\\x20\\x09-\\x0D]+') AS w
+    FROM documents),
+shingles AS (
+    SELECT DISTINCT row_id, w[i + 1:i + {SHINGLE}] AS s
+    FROM (SELECT row_id, w, unnest(range(greatest(len(w) - {SHINGLE - 1}, 1))) AS i FROM d WHERE len(w) > 0) q),
+sizes AS (SELECT row_id, count(*) AS n FROM shingles GROUP BY row_id),
+pairs AS (
+    SELECT a.row_id AS a, b.row_id AS b, count(*) AS common
+    FROM shingles a JOIN shingles b ON a.s = b.s AND a.row_id <> b.row_id GROUP BY 1, 2),
+links AS (
+    SELECT da.doc_id AS a, db.doc_id AS b FROM pairs p JOIN sizes x ON p.a = x.row_id JOIN sizes y ON p.b = y.row_id
+    JOIN d da ON p.a = da.row_id JOIN d db ON p.b = db.row_id WHERE 100 * common >= {PERCENT} * (x.n + y.n - common)),
+reach AS (
+    SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM d JOIN least ON d.doc_id = least.a LEFT JOIN sizes USING (row_id)"""
+
 ORACLE: dict[str, str] = {
     "op1_license_scan": LICENSES,
     "op7_decontamination": DECONTAMINATION,
+    "op9_near_dedup": NEAR_DEDUP,
 }

@@ -12,6 +12,7 @@ from visitloom.llm.batches import share_code
 from visitloom.llm.decontamination import find_contamination
 from visitloom.llm.language_id import fit_languages, held_out, identify_languages
 from visitloom.llm.licenses import license_scan
+from visitloom.llm.near_dedup import near_duplicates
 from visitloom.llm.token_counts import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,9 +50,14 @@ def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
     "op3_token_counts": op3_token_counts,
     "op6_language_id": op6_language_id,
     "op7_decontamination": op7_decontamination,
+    "op9_near_dedup": op9_near_dedup,
 }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from visitloom.llm.decontamination import WINDOW
 from visitloom.llm.licenses import BLOCK_STEP, BLOCK_WORDS, PHRASES, TEMPLATES, THRESHOLD
+from visitloom.llm.line_dedup import LEAST_WORDS
 from visitloom.llm.near_dedup import PERCENT, SHINGLE
 
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -92,8 +93,33 @@ least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
 SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
 FROM d JOIN least ON d.doc_id = least.a LEFT JOIN sizes USING (row_id)"""
 
+LINES = f"""
+WITH d AS (SELECT row_number() OVER () AS row_id, doc_id, string_split(text, chr(10)) AS lines FROM documents),
+l AS (
+    SELECT row_id, doc_id, i AS line_no,
+        regexp_split_to_array(trim(translate(lines[i], chr(9) || chr(11) || chr(12) || chr(13), '    '), ' '), ' +') AS w
+    FROM (SELECT row_id, doc_id, lines, unnest(range(1, len(lines) + 1)) AS i FROM d WHERE doc_id IS NOT NULL) q),
+firsts AS (SELECT w, min(row(doc_id, line_no)) AS first FROM l WHERE w[1] <> '' GROUP BY w),
+whole AS (SELECT w, first, len(w) AS n FROM firsts WHERE len(w) >= {LEAST_WORDS}),
+without AS (
+    SELECT w, first, n, i, w[:i - 1] || w[i + 1:] AS rest
+    FROM (SELECT w, first, n, unnest(range(1, n + 1)) AS i FROM whole) q),
+near AS (
+    SELECT w FROM (SELECT w, first, min(first) OVER (PARTITION BY n, i, rest) AS least FROM without) q WHERE least < first
+    UNION SELECT a.w FROM whole a JOIN without b ON a.w = b.rest WHERE b.first < a.first
+    UNION SELECT b.w FROM whole a JOIN without b ON a.w = b.rest WHERE a.first < b.first),
+gone AS (
+    SELECT row_id, line_no FROM l JOIN firsts USING (w) WHERE row(doc_id, line_no) > first
+    UNION SELECT row_id, line_no FROM l JOIN near USING (w)),
+removed AS (SELECT row_id, list(line_no) AS places FROM gone GROUP BY row_id)
+SELECT doc_id, coalesce(len(places), 0)::INTEGER AS lines_removed, CASE WHEN lines IS NULL THEN NULL ELSE array_to_string(
+    list_transform(list_filter(range(1, len(lines) + 1), lambda i: NOT list_contains(coalesce(places, []), i)),
+        lambda i: lines[i]), chr(10)) END AS text
+FROM d LEFT JOIN removed USING (row_id)"""
+
 ORACLE: dict[str, str] = {
     "op1_license_scan": LICENSES,
+    "op5_line_dedup": LINES,
     "op7_decontamination": DECONTAMINATION,
     "op9_near_dedup": NEAR_DEDUP,
 }

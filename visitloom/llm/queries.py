@@ -12,6 +12,7 @@ from visitloom.llm.batches import share_code
 from visitloom.llm.decontamination import find_contamination
 from visitloom.llm.language_id import fit_languages, held_out, identify_languages
 from visitloom.llm.licenses import license_scan
+from visitloom.llm.line_dedup import dedup_lines
 from visitloom.llm.near_dedup import near_duplicates
 from visitloom.llm.token_counts import token_counts
 
@@ -30,6 +31,10 @@ def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return dedup_lines(_table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
     documents = _table(spark, folder, "documents")
     model = fit_languages(documents.where(~held_out("doc_id")))
@@ -57,6 +62,7 @@ def op9_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
     "op3_token_counts": op3_token_counts,
+    "op5_line_dedup": op5_line_dedup,
     "op6_language_id": op6_language_id,
     "op7_decontamination": op7_decontamination,
     "op9_near_dedup": op9_near_dedup,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -38,6 +39,18 @@ def map_pieces(
     return df.mapInArrow(run, schema)
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """For actions inside: Python is given at most so many rows at a time, as the rows are large."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def plain_words(text: str | None) -> list[bytes]:
     """Words of digits, letters and non-ASCII characters, A-Z lower-cased, as UTF-8."""
     return plain_bytes(text).split()

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitloom.llm.batches import map_pieces
+from visitloom.llm.batches import arrow_rows, map_pieces
 from visitloom.llm.components import connected_components
 from visitloom.session import through_storage
 
@@ -30,7 +30,9 @@ BATCH = 16  # signature values compared at a time
 MISS = 1e-6
 # Members of a block, on average; how large a bucket is does not matter.
 BLOCK = 64
-_WORDS_KEPT = 500_000
+# Rows given to Python at a time: pairs with two sets, and blocks of members.
+PAIR_ROWS, BLOCK_ROWS = 256, 64
+_WORDS_KEPT = 200_000
 
 _random = np.random.default_rng(20_240_501)
 _PLACE = _random.integers(1, 2**63, SHINGLE, np.uint64) | np.uint64(1)
@@ -166,21 +168,27 @@ def _not_dropped(pairs: DataFrame, values: DataFrame, percent: int, miss: float)
     return map_pieces(rows.select("a", "b", "values_a", "values_b"), start, "a long, b long")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets are similar enough."""
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+def _full_sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(doc_id, shingles) of the wanted doc_ids."""
 
-    def sets() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
+    def start() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
         hashes = _WordHashes()
-        return lambda batch: pa.record_batch(
-            [
-                batch.column(0),
-                pa.array([shingle_set(x.as_py(), hashes).tobytes() for x in batch.column(1)], pa.binary()),
-            ],
-            ["doc_id", "shingles"],
-        )
-
-    def compare() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
+
+        def handle(batch: pa.RecordBatch) -> pa.RecordBatch:
+            sets = [shingle_set(x.as_py(), hashes).tobytes() for x in batch.column(1)]
+            return pa.record_batch([batch.column(0), pa.array(sets, pa.binary())], ["doc_id", "shingles"])
+
+        return handle
+
+    # What is wanted grows with the documents, so it is merged, not broadcast, at every size.
+    held = texts.join(wanted.hint("merge"), "doc_id", "left_semi")
+    return map_pieces(held, start, "doc_id long, shingles binary")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full shingle sets are similar enough."""
+
+    def start() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
         def handle(batch: pa.RecordBatch) -> pa.RecordBatch:
             similar = []
             for a, b in zip(batch.column(2), batch.column(3)):
@@ -192,11 +200,10 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 
         return handle
 
-    full = map_pieces(texts.join(wanted, "doc_id", "left_semi"), sets, "doc_id long, shingles binary")
-    rows = pairs.join(full.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a")), "a").join(
-        full.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b")), "b"
+    rows = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a")), "a").join(
+        sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b")), "b"
     )
-    return map_pieces(rows.select("a", "b", "set_a", "set_b"), compare, "a long, b long")
+    return map_pieces(rows.select("a", "b", "set_a", "set_b"), start, "a long, b long")
 
 
 def _across_components(members: DataFrame, components: DataFrame, values: DataFrame, percent: int, miss: float):
@@ -277,6 +284,7 @@ def near_duplicates(
     one doc_id are one document, in the component of all its texts. A row with a null doc_id is linked with
     nothing, has a null component_id and is kept. Other columns play no part; an empty table gives an empty result.
     """
+    spark = documents.sparkSession
     texts = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     sketches = through_storage(_sketches(texts), "sketches")
     known = sketches.where("doc_id IS NOT NULL AND n_shingles > 0")
@@ -298,13 +306,17 @@ def near_duplicates(
     candidates = placed.where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
 
     likely = through_storage(_not_dropped(candidates, values, percent, miss).distinct(), "likely")
-    links = _verified(likely, texts, percent).distinct().union(several.distinct())
-    links = through_storage(links, "verified")
+    # The sets of all that are in a bucket with others, for both rounds of verification.
+    sets = through_storage(_full_sets(texts, placed.select(F.col("rep").alias("doc_id")).distinct()), "sets")
+    with arrow_rows(spark, PAIR_ROWS):
+        links = through_storage(_verified(likely, sets, percent).distinct().union(several.distinct()), "verified")
     components = through_storage(connected_components(links), "components")
 
     rest = _across_components(placed.select("key", "rep"), components, values, percent, miss)
-    rest = through_storage(rest.join(likely, ["a", "b"], "left_anti"), "likely-across")
-    more = through_storage(_verified(rest, texts, percent).distinct(), "verified-across")
+    with arrow_rows(spark, BLOCK_ROWS):
+        rest = through_storage(rest.join(likely, ["a", "b"], "left_anti"), "likely-across")
+    with arrow_rows(spark, PAIR_ROWS):
+        more = through_storage(_verified(rest, sets, percent).distinct(), "verified-across")
     if not more.isEmpty():
         components = connected_components(links.union(more))
 

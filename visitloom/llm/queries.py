@@ -14,6 +14,8 @@ from visitloom.llm.language_id import fit_languages, held_out, identify_language
 from visitloom.llm.licenses import license_scan
 from visitloom.llm.line_dedup import dedup_lines
 from visitloom.llm.near_dedup import near_duplicates
+from visitloom.llm.pii import pseudonymise
+from visitloom.llm.sentencepiece_codec import encode_and_decode
 from visitloom.llm.token_counts import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,15 +57,27 @@ def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return encode_and_decode(_table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op9_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(_table(spark, folder, "documents"))
 
 
+def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
+    # The key of a real run comes from where its secrets are kept.
+    documents = _table(spark, folder, "documents").select("doc_id", "text")
+    return pseudonymise(documents, key="registered-query")
+
+
 QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
     "op3_token_counts": op3_token_counts,
     "op5_line_dedup": op5_line_dedup,
     "op6_language_id": op6_language_id,
     "op7_decontamination": op7_decontamination,
+    "op8_sentencepiece": op8_sentencepiece,
     "op9_near_dedup": op9_near_dedup,
+    "op10_pii": op10_pii,
 }

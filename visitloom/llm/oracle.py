@@ -117,8 +117,24 @@ SELECT doc_id, coalesce(len(places), 0)::INTEGER AS lines_removed, CASE WHEN lin
         lambda i: lines[i]), chr(10)) END AS text
 FROM d LEFT JOIN removed USING (row_id)"""
 
+TOP_K = """
+WITH v AS (
+    SELECT row_number() OVER () AS row_id, vec_id,
+        list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS q
+    FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+queries AS (SELECT DISTINCT vec_id AS query_id, q AS query FROM v WHERE vec_id % 100 = 0),
+scored AS (
+    SELECT query_id, query, vec_id,
+        coalesce(list_sum(list_transform(range(1, len(q) + 1), lambda i: q[i] * query[i])), 0)::BIGINT AS score
+    FROM queries JOIN v ON v.vec_id <> query_id AND len(q) = len(query)),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id, query ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10"""
+
 ORACLE: dict[str, str] = {
     "op1_license_scan": LICENSES,
+    "op2_exact_top_k": TOP_K,
     "op5_line_dedup": LINES,
     "op7_decontamination": DECONTAMINATION,
     "op9_near_dedup": NEAR_DEDUP,

@@ -17,6 +17,7 @@ from visitloom.llm.near_dedup import near_duplicates
 from visitloom.llm.pii import pseudonymise
 from visitloom.llm.sentencepiece_codec import encode_and_decode
 from visitloom.llm.token_counts import token_counts
+from visitloom.llm.topk import build_index, quantised, top_k
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +30,11 @@ def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan(_table(spark, folder, "documents")).drop("blocks")
 
 
+def op2_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = quantised(_table(spark, folder, "embeddings"))
+    return top_k(build_index(vectors), vectors.where("vec_id % 100 = 0"), k=10)
+
+
 def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -73,6 +79,7 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
+    "op2_exact_top_k": op2_exact_top_k,
     "op3_token_counts": op3_token_counts,
     "op5_line_dedup": op5_line_dedup,
     "op6_language_id": op6_language_id,

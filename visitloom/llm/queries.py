@@ -17,6 +17,7 @@ from visitloom.llm.near_dedup import near_duplicates
 from visitloom.llm.pii import pseudonymise
 from visitloom.llm.sentencepiece_codec import encode_and_decode
 from visitloom.llm.token_counts import token_counts
+from visitloom.llm.toxicity import fit_toxicity, score_toxicity
 from visitloom.llm.topk import build_index, quantised, top_k
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +40,14 @@ def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents").select("doc_id", "text")
+    labels = _table(spark, folder, "labels").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    examples = documents.where(~held_out("doc_id")).join(labels.where("toxic IS NOT NULL"), "doc_id")
+    scored = score_toxicity(documents, fit_toxicity(documents, examples))
+    return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted", "evidence")
+
+
 def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return dedup_lines(_table(spark, folder, "documents").select("doc_id", "text"))
 
@@ -81,6 +90,7 @@ QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
     "op2_exact_top_k": op2_exact_top_k,
     "op3_token_counts": op3_token_counts,
+    "op4_toxicity": op4_toxicity,
     "op5_line_dedup": op5_line_dedup,
     "op6_language_id": op6_language_id,
     "op7_decontamination": op7_decontamination,

@@ -15,10 +15,10 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from visitloom.llm.batches import arrow_rows, map_pieces
+from visitloom.llm.batches import arrow_rows, free_name, map_pieces
 from visitloom.llm.components import connected_components
 from visitloom.session import through_storage
 
@@ -335,13 +335,11 @@ def without_near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text:
 
     Of repeated rows of one doc_id one stays, that with the smallest hash of its text. Rows with a null doc_id stay.
     """
-    from pyspark.sql import Window
-
-    removed = near_duplicates(documents, doc_id=doc_id, text=text).where("NOT kept").select("doc_id").distinct()
-    gone = removed.withColumnRenamed("doc_id", "__removed_id")
+    removed_id, number = free_name(documents, "removed_id"), free_name(documents, "row_of_id")
+    gone = near_duplicates(documents, doc_id=doc_id, text=text).where("NOT kept")
+    gone = gone.select(F.col("doc_id").alias(removed_id)).distinct()
     named = documents.where(F.col(doc_id).isNotNull())
-    named = named.join(gone, F.col(doc_id).cast("long") == F.col("__removed_id"), "left_anti")
-    number = "__row_of_id"
+    named = named.join(gone, F.col(doc_id).cast("long") == F.col(removed_id), "left_anti")
     first = Window.partitionBy(doc_id).orderBy(F.xxhash64(text))
     one = named.withColumn(number, F.row_number().over(first)).where(F.col(number) == 1).drop(number)
     return one.unionByName(documents.where(F.col(doc_id).isNull()))

@@ -1,10 +1,12 @@
 """Near-duplicate documents: MinHash candidates, sequential Bayesian pruning, exact verification.
 
 Texts with equal sets of word shingles form a class, and only the smallest doc_id of a class goes on. Candidates
-share all MinHash values of a band. In a bucket of candidates each member is first compared with the smallest one;
-buckets whose members are not all connected by that are then compared in blocks, across what is connected already.
+share all MinHash values of a band. In a bucket of candidates each member is first compared with the smallest one, and
+with the smallest one of a small group; buckets whose members are not all connected by that are then compared in
+blocks, across what is connected already.
 A candidate pair is compared batch by batch of its signatures and dropped as soon as the posterior probability of
-a similarity above the threshold falls below the miss probability. What is left is verified on the full sets.
+a similarity above the threshold falls below the miss probability; for the blocks, whose pairs are many, the signatures are
+longer, and pairs go that cannot have enough in common. What is left is verified on the full sets.
 """
 
 from __future__ import annotations
@@ -26,18 +28,21 @@ SHINGLE = 5
 PERCENT = 75  # least similarity
 BANDS, BAND_ROWS = 32, 4  # a pair at 0.75 shares no band with probability 5e-6
 HASHES = BANDS * BAND_ROWS
+LONG = 512  # values of the signatures of those in buckets that stay open
 BATCH = 16  # signature values compared at a time
 MISS = 1e-6
 # Members of a block, on average; how large a bucket is does not matter.
 BLOCK = 64
+# Members of a small group of a bucket, on average.
+GROUP = 8
 # Rows given to Python at a time: pairs with two sets, and blocks of members.
 PAIR_ROWS, BLOCK_ROWS = 256, 64
 _WORDS_KEPT = 200_000
 
 _random = np.random.default_rng(20_240_501)
 _PLACE = _random.integers(1, 2**63, SHINGLE, np.uint64) | np.uint64(1)
-_FACTOR = _random.integers(1, 2**63, HASHES, np.uint64) | np.uint64(1)
-_SHIFT = _random.integers(0, 2**63, HASHES, np.uint64)
+_FACTOR = _random.integers(1, 2**63, LONG, np.uint64) | np.uint64(1)
+_SHIFT = _random.integers(0, 2**63, LONG, np.uint64)
 
 
 class _WordHashes(dict):
@@ -66,16 +71,16 @@ def shingle_set(text: str | None, hashes: dict[bytes, int]) -> np.ndarray:
     return np.unique(_mixed(sums))
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
-    """HASHES minima of the hashed shingles."""
-    least = np.full(HASHES, 2**32 - 1, np.uint64)
-    for at in range(0, len(shingles), 4096):
-        part = shingles[None, at : at + 4096] * _FACTOR[:, None] + _SHIFT[:, None]
+def signature(shingles: np.ndarray, hashes: int = HASHES) -> np.ndarray:
+    """Minima of the hashed shingles."""
+    least = np.full(hashes, 2**32 - 1, np.uint64)
+    for at in range(0, len(shingles), 1024):
+        part = shingles[None, at : at + 1024] * _FACTOR[:hashes, None] + _SHIFT[:hashes, None]
         np.minimum(least, (part >> np.uint64(32)).min(axis=1), out=least)
     return least
 
 
-def fewest_matches(percent: int = PERCENT, miss: float = MISS) -> list[int]:
+def fewest_matches(percent: int = PERCENT, miss: float = MISS, hashes: int = HASHES) -> list[int]:
     """The fewest matches after BATCH, 2 * BATCH, ... compared values with which a pair is not dropped.
 
     Values of 8 bits match with probability r = s + (1 - s) / 256 at similarity s. With all r equally likely
@@ -84,7 +89,7 @@ def fewest_matches(percent: int = PERCENT, miss: float = MISS) -> list[int]:
     s = percent / 100
     x = s + (1 - s) / 256
     least = []
-    for n in range(BATCH, HASHES + 1, BATCH):
+    for n in range(BATCH, hashes + 1, BATCH):
         tail, m = 0.0, -1
         while tail < miss:
             m += 1
@@ -147,8 +152,8 @@ def _sketches(documents: DataFrame) -> DataFrame:
     return map_pieces(documents, start, schema)
 
 
-def _signatures(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, HASHES)
+def _signatures(column: pa.Array, hashes: int = HASHES) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, hashes)
 
 
 def _not_dropped(pairs: DataFrame, values: DataFrame, percent: int, miss: float) -> DataFrame:
@@ -206,21 +211,47 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return map_pieces(rows.select("a", "b", "set_a", "set_b"), start, "a long, b long")
 
 
-def _across_components(members: DataFrame, components: DataFrame, values: DataFrame, percent: int, miss: float):
+def _with_shared_shingles(sets: DataFrame, percent: int) -> DataFrame:
+    """(doc_id, n, shared): sizes of the sets of which at least `percent` of the shingles are in another of the sets
+    as well, and how many those are.
+
+    A set with fewer has no set as similar as that, and no two sets have more in common than the lesser of their shared.
+    """
+
+    def start() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
+        def handle(batch: pa.RecordBatch) -> pa.RecordBatch:
+            whole = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column(1)]
+            return pa.record_batch([batch.column(0), pa.array(whole, pa.list_(pa.int64()))], ["doc_id", "shingles"])
+
+        return handle
+
+    listed = map_pieces(sets, start, "doc_id long, shingles array<long>")
+    each = listed.select("doc_id", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
+    ends = each.groupBy("shingle").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+    shared = each.join(ends.where("first < last").select("shingle"), "shingle")
+    counts = shared.groupBy("doc_id", "n").agg(F.count(F.lit(1)).alias("shared"))
+    return counts.where(f"100 * shared >= {percent} * n")
+
+
+def _across_components(
+    members: DataFrame, components: DataFrame, sets: DataFrame, percent: int, miss: float
+) -> DataFrame:
     """Pairs (a, b) of different components in one bucket that sequential comparison does not drop.
 
-    Members of the bucket's smallest component are at home, the others away. Away members are compared with
+    Members of the bucket's largest component are at home, the others away. Away members are compared with
     all others but those of their component, in blocks: home with away, and away with away.
     """
-    least = fewest_matches(percent, miss)
+    least = fewest_matches(percent, miss, LONG)
     labelled = members.join(components.withColumnRenamed("node", "rep"), "rep", "left").select(
         "key", "rep", F.coalesce("component", "rep").alias("component")
     )
-    buckets = labelled.groupBy("key").agg(F.min("component").alias("home"), F.max("component").alias("last"))
-    open_ = labelled.join(buckets.where("home < last").select("key", "home"), "key").select(
-        "key", "rep", "component", (F.col("component") == F.col("home")).alias("at_home")
-    )
+    open_ = through_storage(_several_components(labelled), "open-buckets")
+    wanted = open_.select(F.col("rep").alias("doc_id")).distinct()
+    able = _with_shared_shingles(sets.join(wanted, "doc_id", "left_semi"), percent)
+    able = through_storage(able.withColumnRenamed("doc_id", "rep"), "able")
+    open_ = _several_components(open_.drop("at_home").join(able, "rep"), "n", "shared")
     open_ = through_storage(open_, "open-buckets")
+    values = _long_signatures(sets.join(open_.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"))
     sizes = open_.groupBy("key").agg(
         F.expr(f"ceil(count_if(at_home) / {BLOCK})").alias("home_blocks"),
         F.expr(f"ceil(count_if(NOT at_home) / {BLOCK})").alias("away_blocks"),
@@ -239,7 +270,7 @@ def _across_components(members: DataFrame, components: DataFrame, values: DataFr
             transform(sequence(0L, away_blocks - 1), k -> struct(-1 - least(block, k) AS i, greatest(block, k) AS j)))
         END""")
     blocks = (
-        placed.select("key", F.struct("rep", "component", "at_home", "values").alias("member"), F.explode(meets).alias("at"))
+        placed.select("key", F.struct("rep", "component", "at_home", "values", "n", "shared").alias("member"), F.explode(meets).alias("at"))
         .groupBy("key", "at")
         .agg(F.collect_list("member").alias("members"))
         .select("members")
@@ -248,12 +279,16 @@ def _across_components(members: DataFrame, components: DataFrame, values: DataFr
     def start() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
         def pairs(block: pa.StructArray) -> tuple[np.ndarray, np.ndarray]:
             rep, component = (block.field(i).to_numpy() for i in (0, 1))
-            home, rows = block.field(2).to_numpy(zero_copy_only=False), _signatures(block.field(3))
+            home, rows = block.field(2).to_numpy(zero_copy_only=False), _signatures(block.field(3), LONG)
+            size, shared = block.field(4).to_numpy(), block.field(5).to_numpy()
             away = np.flatnonzero(~home)
             others = np.flatnonzero(home) if home.any() else away
             a, b = np.repeat(away, len(others)), np.tile(others, len(away))
             differ = (component[a] != component[b]) & (home[b] | (a < b))
             a, b = a[differ], b[differ]
+            # What both could have in common at most has to suffice for their sizes.
+            able = (100 + percent) * np.minimum(shared[a], shared[b]) >= percent * (size[a] + size[b])
+            a, b = a[able], b[able]
             alive = surviving(rows[a], rows[b], least)
             return rep[a[alive]], rep[b[alive]]
 
@@ -268,6 +303,29 @@ def _across_components(members: DataFrame, components: DataFrame, values: DataFr
     return map_pieces(blocks, start, "a long, b long").distinct()
 
 
+def _long_signatures(sets: DataFrame) -> DataFrame:
+    """(doc_id, values): 8 bits of each of LONG minima."""
+
+    def start() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
+        def handle(batch: pa.RecordBatch) -> pa.RecordBatch:
+            minima = [signature(np.frombuffer(x.as_buffer(), np.uint64), LONG) for x in batch.column(1)]
+            values = [(m & np.uint64(255)).astype(np.uint8).tobytes() for m in minima]
+            return pa.record_batch([batch.column(0), pa.array(values, pa.binary())], ["doc_id", "values"])
+
+        return handle
+
+    return map_pieces(sets, start, "doc_id long, values binary")
+
+
+def _several_components(labelled: DataFrame, *more: str) -> DataFrame:
+    """Members (key, rep, component, more) of buckets with more than one component; at_home: in the largest one."""
+    parts = labelled.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+    buckets = parts.groupBy("key").agg(F.max_by("component", "n").alias("home"), F.count(F.lit(1)).alias("components"))
+    return labelled.join(buckets.where("components > 1").select("key", "home"), "key").select(
+        "key", "rep", "component", *more, (F.col("component") == F.col("home")).alias("at_home")
+    )
+
+
 def near_duplicates(
     documents: DataFrame,
     percent: int = PERCENT,
@@ -301,9 +359,16 @@ def near_duplicates(
     chosen = chosen.dropDuplicates(["doc_id", "h1", "h2"]).withColumn("rep", F.col("doc_id"))
     values = through_storage(chosen.select("doc_id", "values"), "signatures")
     rows = chosen.select("rep", F.explode("bands").alias("key"))
-    buckets = rows.groupBy("key").agg(F.min("rep").alias("pivot"), F.max("rep").alias("last")).where("pivot < last")
-    placed = through_storage(rows.join(buckets.select("key", "pivot"), "key").distinct(), "buckets")
-    candidates = placed.where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
+    buckets = rows.groupBy("key").agg(
+        F.min("rep").alias("pivot"), F.max("rep").alias("last"), F.count(F.lit(1)).alias("n")
+    )
+    small = F.pmod(F.xxhash64("rep", "key"), F.expr(f"ceil(n / {GROUP})")).alias("group")
+    placed = rows.join(buckets.where("pivot < last").drop("last"), "key").select("key", "rep", "pivot", small)
+    placed = through_storage(placed.distinct(), "buckets")
+    # The smallest of the bucket, and of a small group in it: the many groups of all bands connect what is similar.
+    groups = placed.groupBy("key", "group").agg(F.min("rep").alias("first"))
+    grouped = placed.join(groups, ["key", "group"]).select(F.col("first").alias("a"), F.col("rep").alias("b"))
+    candidates = placed.select(F.col("pivot").alias("a"), F.col("rep").alias("b")).union(grouped).where("a < b").distinct()
 
     likely = through_storage(_not_dropped(candidates, values, percent, miss).distinct(), "likely")
     # The sets of all that are in a bucket with others, for both rounds of verification.
@@ -312,7 +377,7 @@ def near_duplicates(
         links = through_storage(_verified(likely, sets, percent).distinct().union(several.distinct()), "verified")
     components = through_storage(connected_components(links), "components")
 
-    rest = _across_components(placed.select("key", "rep"), components, values, percent, miss)
+    rest = _across_components(placed.select("key", "rep"), components, sets, percent, miss)
     with arrow_rows(spark, BLOCK_ROWS):
         rest = through_storage(rest.join(likely, ["a", "b"], "left_anti"), "likely-across")
     with arrow_rows(spark, PAIR_ROWS):

@@ -14,4 +14,5 @@ def ratio_3(count: Column, total: Column) -> Column:
 
 
 def round_half_up(number: Column, places: int) -> Column:
-    return F.round(number.cast("decimal(38,18)"), places).cast("double")
+    """As decimals are written: 0.125 to two places is 0.13. Large numbers and NaN stay."""
+    return F.round(number.cast("double"), places)

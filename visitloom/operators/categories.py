@@ -8,11 +8,7 @@ from pyspark.sql import functions as F
 from visitloom.functions.texts import id_list
 from visitloom.operators.predicates import with_value
 
-# Up to this many top categories are broadcast.
-BROADCAST_CATEGORIES = 100_000
-# Up to this many rows per group Spark cuts groups per map task; beyond it they
-# are first cut by salt.
-CUT_BEFORE_SHUFFLE = 1000
+# Parts into which the sessions of a category are dealt before the last cut.
 SALTS = 64
 
 
@@ -75,9 +71,13 @@ def category_counts(actions: DataFrame) -> DataFrame:
     )
 
 
-def ranked_categories(counts: DataFrame) -> DataFrame:
+def ranking() -> list[Column]:
     """By clicks, then orders, then payments, most first; equal ones by id."""
-    return counts.orderBy(F.desc("click_count"), F.desc("order_count"), F.desc("pay_count"), F.asc("category_id"))
+    return [F.desc("click_count"), F.desc("order_count"), F.desc("pay_count"), F.asc("category_id")]
+
+
+def ranked_categories(counts: DataFrame) -> DataFrame:
+    return counts.orderBy(*ranking())
 
 
 def top_categories(counts: DataFrame, k: int = 10) -> DataFrame:
@@ -92,11 +92,12 @@ def session_category_clicks(actions: DataFrame) -> DataFrame:
     )
 
 
-def clicks_in_categories(actions: DataFrame, top: DataFrame, k: int = 10) -> DataFrame:
-    """Clicks per session inside the given k categories."""
+def clicks_in_categories(actions: DataFrame, top: DataFrame) -> DataFrame:
+    """Clicks per session inside the given categories.
+
+    How they are joined is left to Spark, which knows the size of `top` when it runs.
+    """
     ids = top.select("category_id")
-    if k <= BROADCAST_CATEGORIES:
-        ids = F.broadcast(ids)
     # Joined before counting, so that clicks on other categories are not shuffled.
     wanted = with_value(actions, "click_category_id").join(
         ids, F.col("click_category_id") == ids["category_id"], "left_semi"
@@ -104,15 +105,16 @@ def clicks_in_categories(actions: DataFrame, top: DataFrame, k: int = 10) -> Dat
     return session_category_clicks(wanted).select("category_id", "session_id", "click_count")
 
 
-def top_sessions(actions: DataFrame, top: DataFrame, k: int = 10, n: int = 10) -> DataFrame:
-    """The n sessions with most clicks in each of the k categories; equal ones by session id."""
+def top_sessions(actions: DataFrame, top: DataFrame, n: int = 10) -> DataFrame:
+    """The n sessions with most clicks in each of the categories; equal ones by session id.
+
+    First cut in each of SALTS parts of a category, so that no task gets more than SALTS * n
+    sessions of it.
+    """
 
     def first(counts: DataFrame, *group: str) -> DataFrame:
         order = Window.partitionBy(*group).orderBy(F.desc("click_count"), F.asc("session_id"))
         return counts.withColumn("place", F.row_number().over(order)).where(F.col("place") <= n).drop("place")
 
-    counts = clicks_in_categories(actions, top, k)
-    if n > CUT_BEFORE_SHUFFLE:
-        salted = counts.withColumn("salt", F.pmod(F.xxhash64("session_id"), F.lit(SALTS)))
-        counts = first(salted, "category_id", "salt").drop("salt")
-    return first(counts, "category_id")
+    salted = clicks_in_categories(actions, top).withColumn("salt", F.pmod(F.xxhash64("session_id"), F.lit(SALTS)))
+    return first(first(salted, "category_id", "salt").drop("salt"), "category_id")

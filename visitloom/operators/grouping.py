@@ -1,8 +1,8 @@
 """Grouping and whole-table reductions.
 
-Where the result itself is a list, a group is given in parts of about
-`part_rows` values, one row each: part 0 alone for ordinary groups, more for
-larger ones. All parts together hold every value, each as often as it occurs.
+Where the result itself is a list, it is given in pages of `page_rows` values, one row
+each, by position in the sorted list: page 0 holds the first `page_rows` values, and the
+pages in order are the list. What one key's pages are depends on its own values only.
 """
 
 from __future__ import annotations
@@ -12,7 +12,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from visitloom.operators.skew import PART_ROWS, heavy_keys, part_of, split_by_weight
+from visitloom.operators.positions import with_starts
+
+# Values of a page, if the caller does not say.
+PAGE_ROWS = 100_000
 
 
 def count_by(df: DataFrame, *columns: str) -> DataFrame:
@@ -36,100 +39,64 @@ def distinct_rows(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*columns).distinct()
 
 
-def _values(lists: Column) -> Column:
-    """The sorted values of a list of structs, in which NULL values have stayed."""
-    return F.transform(F.array_sort(lists), lambda s: s["v"])
-
-
-def _copies(df: DataFrame, columns: Sequence[str], part_rows: int) -> DataFrame:
-    """Equal rows as (…columns, block, copies) with at most `part_rows` copies a row."""
-    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
-    blocks = F.sequence(F.lit(0).cast("bigint"), F.expr(f"(n - 1) div {part_rows}"))
-    return counted.select(*columns, "n", F.explode(blocks).alias("block")).select(
-        *columns,
-        "block",
-        F.least(F.lit(part_rows), F.col("n") - F.col("block") * part_rows).cast("int").alias("copies"),
-    )
-
+def _paged(values: DataFrame, keys: Sequence[str], lists: Sequence[str], page_rows: int) -> DataFrame:
+    """(…keys, page, …lists) of rows (…keys, list, value).
 
-def _listed_copies(name: str) -> Column:
-    repeated = F.collect_list(F.when(F.col(name).isNotNull(), F.array_repeat(name, F.col("copies"))))
-    return _values(F.flatten(repeated)).alias(name)
-
-
-def gather(rows: DataFrame, key: str, lists: Sequence[str], part_rows: int = PART_ROWS) -> DataFrame:
-    """(key, part, …lists): the sorted values of every key, in parts, with one shuffle.
-
-    Each of the columns `lists` holds structs of a single field `v`; a row whose
-    struct is NULL adds nothing to that list.
+    Equal rows are counted first, so that no value is hot; each then knows the pages it is on.
     """
-    ordinary, heavy = split_by_weight(rows, key, heavy_keys(rows, key, part_rows))
-    small = (
-        ordinary.groupBy(key)
-        .agg(*(_values(F.collect_list(name)).alias(name) for name in lists))
-        .withColumn("part", F.lit(0))
-    )
-    large = (
-        _copies(heavy, [key, "parts", *lists], part_rows)
-        .withColumn("part", part_of(F.col("parts"), *lists, "block"))
-        .groupBy(key, "part")
-        .agg(*(_listed_copies(name) for name in lists))
-    )
-    return small.unionByName(large).select(key, "part", *lists)
+    counted = values.groupBy(*keys, "list", "value").agg(F.count(F.lit(1)).alias("n"))
+    placed = with_starts(counted, [*keys, "list"], [F.asc_nulls_first("value")], "n")
+    pages = F.expr(f"explode(sequence((start - 1) div {page_rows}, (start + n - 2) div {page_rows}))")
+    on_page = f"least(start + n, (page + 1) * {page_rows} + 1) - greatest(start, page * {page_rows} + 1)"
+    spread = placed.withColumn("page", pages).withColumn("copies", F.expr(f"CAST({on_page} AS int)"))
+
+    def listed(name: str) -> Column:
+        mine = F.collect_list(F.when(F.col("list") == name, F.struct("start", "value", "copies")))
+        return F.flatten(F.transform(F.array_sort(mine), lambda s: F.array_repeat(s["value"], s["copies"]))).alias(name)
 
+    return spread.groupBy(*keys, "page").agg(*(listed(name) for name in lists))
 
-def _struct(value: str) -> Column:
-    return F.struct(F.col(value).alias("v"))
 
+def _listed(df: DataFrame, keys: Sequence[str], name: str, value: str) -> DataFrame:
+    return df.select(*keys, F.lit(name).alias("list"), F.col(value).alias("value"))
 
-def values_by_key(df: DataFrame, key: str, value: str, part_rows: int = PART_ROWS) -> DataFrame:
-    """(key, part, values): the sorted values of every key, in parts."""
-    return gather(df.select(key, _struct(value).alias("values")), key, ["values"], part_rows)
 
+def values_by_key(df: DataFrame, key: str, value: str, page_rows: int = PAGE_ROWS) -> DataFrame:
+    """(key, page, values): the sorted values of every key, NULL first, in pages."""
+    return _paged(_listed(df, [key], "values", value), [key], ["values"], page_rows)
 
-def cogroup(left: DataFrame, right: DataFrame, key: str, part_rows: int = PART_ROWS) -> DataFrame:
-    """(key, part, left_values, right_values): the values of both sides of every key
-    found on either; a list without values is empty. Each side is a (key, value) frame.
 
-    Both sides are grouped together, which takes one shuffle and no join.
+def cogroup(left: DataFrame, right: DataFrame, key: str, page_rows: int = PAGE_ROWS) -> DataFrame:
+    """(key, page, left_values, right_values): the sorted values of both sides of every key
+    found on either, each side in pages of its own; a page without values of a side has an
+    empty list there. Each side is a (key, value) frame. Both sides are grouped together.
     """
     names = ("left_values", "right_values")
     sides = []
     for df, name in zip((left, right), names, strict=True):
         value = next(c for c in df.columns if c != key)
-        sides.append(df.select(key, _struct(value).alias(name)))
-    both = sides[0].unionByName(sides[1], allowMissingColumns=True)
-    return gather(both, key, names, part_rows)
-
-
-def all_values(df: DataFrame, value: str, part_rows: int = PART_ROWS) -> DataFrame:
-    """(part, values): the values of the whole table, sorted within each part."""
-    parts = df.agg(F.ceil(F.count(F.lit(1)) / part_rows).alias("parts")).scalar()
-    copies = _copies(df.select(_struct(value).alias("values")), ["values"], part_rows)
-    placed = copies.withColumn("part", part_of(parts, "values", "block"))
-    return placed.groupBy("part").agg(_listed_copies("values"))
-
-
-def joined_text(df: DataFrame, value: str, part_rows: int = PART_ROWS) -> DataFrame:
-    """(part, text): all values with `_` after each, sorted within a part; the parts'
-    texts follow each other in the order of their numbers."""
-    return all_values(df, value, part_rows).select(
-        "part",
-        F.concat(F.array_join(F.transform("values", lambda v: v.cast("string")), "_", "null"), F.lit("_")).alias(
-            "text"
-        ),
-    )
+        sides.append(_listed(df.withColumn(value, F.col(value).cast("string")), [key], name, value))
+    return _paged(sides[0].unionByName(sides[1]), [key], names, page_rows)
+
+
+def all_values(df: DataFrame, value: str, page_rows: int = PAGE_ROWS) -> DataFrame:
+    """(page, values): the sorted values of the whole table, in pages."""
+    return _paged(_listed(df, [], "values", value), [], ["values"], page_rows)
 
 
-def count_map(df: DataFrame, key: str, part_rows: int = PART_ROWS) -> DataFrame:
-    """(part, counts): rows per non-NULL key as maps, each with about `part_rows` keys."""
+def joined_text(df: DataFrame, value: str, page_rows: int = PAGE_ROWS) -> DataFrame:
+    """(page, text): all values, sorted, with `_` after each; the pages' texts, in order, are the whole."""
+    texts = F.array_join(F.transform("values", lambda v: v.cast("string")), "_", "null")
+    return all_values(df, value, page_rows).select("page", F.concat(texts, F.lit("_")).alias("text"))
+
+
+def count_map(df: DataFrame, key: str, page_rows: int = PAGE_ROWS) -> DataFrame:
+    """(page, counts): rows per non-NULL key as maps of `page_rows` keys each, by position of the sorted keys."""
     counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
-    parts = counts.agg(F.ceil(F.count(F.lit(1)) / part_rows).alias("parts")).scalar()
-    return (
-        counts.withColumn("part", part_of(parts, key))
-        .groupBy("part")
-        .agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(key, "rows")))).alias("counts"))
-    )
+    placed = with_starts(counts.withColumn("one", F.lit(1).cast("bigint")), (), [F.asc(key)], "one")
+    page = F.expr(f"(start - 1) div {page_rows}").alias("page")
+    entries = F.array_sort(F.collect_list(F.struct(key, "rows")))
+    return placed.groupBy(page).agg(F.map_from_entries(entries).alias("counts"))
 
 
 def keyed_sum(df: DataFrame, column: str, preset: Sequence[str] = ("ONE", "TWO", "THREE")) -> DataFrame:
@@ -144,7 +111,7 @@ def keyed_sum(df: DataFrame, column: str, preset: Sequence[str] = ("ONE", "TWO",
     )
     sums = given.select(
         F.upper(F.get(pair, F.lit(0))).alias("key"), F.get(pair, F.lit(1)).try_cast("bigint").alias("number")
-    )
+    ).where(F.col("number").isNotNull())
     keys = F.explode(F.array(*(F.lit(k.upper()) for k in preset)).cast("array<string>"))
     zeros = df.sparkSession.range(1).select(keys.alias("key"), F.lit(0).cast("bigint").alias("number"))
     return sums.unionByName(zeros).groupBy("key").agg(F.sum("number").alias("total"))

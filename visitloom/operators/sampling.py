@@ -11,7 +11,7 @@ from visitloom.schemas import SESSION_DETAIL, SESSION_RANDOM_EXTRACT
 
 # Leading hex digits of a draw by which an hour's sessions are counted: 16^3 slices.
 SLICE_DIGITS = 3
-# What is bounded by the sample size is broadcast up to this many rows.
+# Hours that have a sample are broadcast up to this target, which bounds their number.
 BROADCAST_ROWS = 200_000
 
 
@@ -34,8 +34,7 @@ def sessions_per_hour(sessions: DataFrame) -> DataFrame:
 def hourly_quota(hours: DataFrame, target: int = 100) -> DataFrame:
     """Per hour: sessions of its day, number of days, the day's quota (target / days,
     whole) and the sample size min(sessions, whole part of sessions / day total * quota)."""
-    # One row per hour of the calendar is little enough for one task.
-    days = F.size(F.collect_set("date").over(Window.partitionBy(F.lit(0)))).cast("bigint")
+    days = hours.agg(F.countDistinct("date")).scalar()
     share = F.col("sessions").cast("double") / F.col("day_total") * F.col("day_quota")
     return (
         hours.withColumn("day_total", F.sum("sessions").over(Window.partitionBy("date")))
@@ -71,7 +70,8 @@ def sample_sessions(sessions: DataFrame, target: int = 100, seed: int = 42) -> D
         .agg(F.max("slice").alias("last_slice"))
     )
     # Every hour here has a sample of its own, so there are no more hours than `target`.
-    few = drawn.join(_few(reach, target), ["date", "hour"]).where(F.col("slice") <= F.col("last_slice"))
+    few = F.broadcast(reach) if target <= BROADCAST_ROWS else reach
+    few = drawn.join(few, ["date", "hour"]).where(F.col("slice") <= F.col("last_slice"))
     order = Window.partitionBy("date", "hour").orderBy("draw", "session_id")
     return (
         few.withColumn("place", F.row_number().over(order))
@@ -80,14 +80,9 @@ def sample_sessions(sessions: DataFrame, target: int = 100, seed: int = 42) -> D
     )
 
 
-def _few(rows: DataFrame, target: int) -> DataFrame:
-    """Rows of which there are at most `target`, broadcast unless that is too many."""
-    return F.broadcast(rows) if target <= BROADCAST_ROWS else rows
-
-
-def sampled_details(actions: DataFrame, sample: DataFrame, target: int = 100) -> DataFrame:
-    """`session_detail`: all actions of a sample of at most `target` sessions."""
-    return rows_of(actions, _few(sample, target)).select(*SESSION_DETAIL.names)
+def sampled_details(actions: DataFrame, sample: DataFrame) -> DataFrame:
+    """`session_detail`: all actions of the sampled sessions."""
+    return rows_of(actions, sample).select(*SESSION_DETAIL.names)
 
 
 def sampled_records(details: DataFrame) -> DataFrame:

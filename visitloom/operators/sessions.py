@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from visitloom.functions.numbers import ratio_3
 from visitloom.functions.times import format_time, parse_time
 from visitloom.operators.predicates import equals, in_range, one_of
-from visitloom.operators.skew import PART_ROWS, heavy_keys, part_of, split_by_weight
 from visitloom.schemas import STEP_BUCKETS, VISIT_BUCKETS
 from visitloom.sources.tasks import Criteria
 
@@ -83,15 +82,12 @@ def _items(column: str) -> str:
     return f"filter(split({column}, ','), item -> item != '')"
 
 
-def _records(actions: DataFrame, lists: dict, part_rows: int) -> DataFrame:
-    """Summaries with lists of distinct values, sorted.
+def _records(actions: DataFrame, lists: dict) -> DataFrame:
+    """Summaries with lists of distinct values, sorted; one row a session.
 
-    The lists of a session of more than `part_rows` actions come in parts, one
-    row each, told apart by `list_part`.
+    Repeated values are dropped before the shuffle, so a session with many actions
+    costs its distinct values only. A cell holds all of them.
     """
-    heavy = heavy_keys(actions, "session_id", part_rows)
-    ordinary, large = split_by_weight(actions, "session_id", heavy)
-
     gathered = [F.collect_set(source).alias(name) for name, (source, _, _) in lists.items()]
 
     def finished(name: str, numbers: bool, is_list: bool) -> Column:
@@ -101,53 +97,37 @@ def _records(actions: DataFrame, lists: dict, part_rows: int) -> DataFrame:
             values = f"transform(array_sort({name}), v -> CAST(v AS string))"
         return F.expr(f"{values} AS {name}")
 
-    small = (
-        _timed(ordinary)
+    return (
+        _timed(actions)
         .groupBy("session_id")
         .agg(*_summary_aggregates(), *gathered)
         .select(
-            *_summary_columns(),
-            F.lit(0).alias("list_part"),
-            *(finished(name, numbers, is_list) for name, (_, numbers, is_list) in lists.items()),
+            *_summary_columns(), *(finished(name, numbers, is_list) for name, (_, numbers, is_list) in lists.items())
         )
     )
 
-    def entries(name: str, source: str, is_list: bool) -> str:
-        values = f"coalesce({_items(source)}, array())" if is_list else f"array(CAST({source} AS string))"
-        return f"transform({values}, v -> struct('{name}' AS list, v AS value))"
-
-    def gathered_part(name: str, numbers: bool) -> Column:
-        values = f"collect_list(CASE WHEN list = '{name}' THEN value END)"
-        return F.expr(f"{_sorted_list(values, numbers)} AS {name}")
-
-    each = ", ".join(entries(name, source, is_list) for name, (source, _, is_list) in lists.items())
-    values = (
-        large.select("session_id", "parts", F.expr(f"explode(concat({each})) AS entry"))
-        .select("session_id", "parts", "entry.*")
-        .where(F.col("value").isNotNull())
-        .distinct()
-        .withColumn("list_part", part_of(F.col("parts"), "list", "value"))
-    )
-    in_parts = values.groupBy("session_id", "list_part").agg(
-        *(gathered_part(name, numbers) for name, (_, numbers, _) in lists.items())
-    )
-    summaries = session_summary(large)
-    rows = summaries.join(in_parts, summaries["session_id"].eqNullSafe(in_parts["session_id"]), "left").select(
-        *(summaries[c] for c in SUMMARY),
-        F.expr("coalesce(list_part, 0) AS list_part"),
-        *(F.expr(f"coalesce({name}, array()) AS {name}") for name in lists),
-    )
-    return small.unionByName(rows)
-
 
-def session_records(actions: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
+def session_records(actions: DataFrame) -> DataFrame:
     """Summaries with the distinct search keywords and clicked categories."""
-    return _records(actions, NARROW_LISTS, part_rows)
+    return _records(actions, NARROW_LISTS)
 
 
-def wide_session_records(actions: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
+def wide_session_records(actions: DataFrame) -> DataFrame:
     """Summaries with the distinct values of all action columns."""
-    return _records(actions, WIDE_LISTS, part_rows)
+    return _records(actions, WIDE_LISTS)
+
+
+def session_values(actions: DataFrame) -> DataFrame:
+    """(session_id, list, value): what `wide_session_records` lists, a row each, for sessions
+    with more values than a cell should hold."""
+
+    def entries(name: str, source: str, is_list: bool) -> str:
+        values = f"coalesce({_items(source)}, array())" if is_list else f"array(CAST({source} AS string))"
+        return f"transform({values}, v -> struct('{name}' AS list, v AS value))"
+
+    each = ", ".join(entries(name, source, is_list) for name, (source, _, is_list) in WIDE_LISTS.items())
+    exploded = actions.select("session_id", F.expr(f"explode(concat({each})) AS entry")).select("session_id", "entry.*")
+    return exploded.where(F.col("value").isNotNull()).distinct()
 
 
 def list_text(df: DataFrame) -> DataFrame:

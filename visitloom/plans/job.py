@@ -1,4 +1,4 @@
-"""The full job: select sessions, then build and append the five result tables."""
+"""The full job: select sessions, then build and store the five result tables."""
 
 from __future__ import annotations
 
@@ -7,8 +7,15 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame
 
-from visitloom.operators.categories import category_counts, ranked_categories, top_categories, top_sessions
+from visitloom.operators.categories import (
+    category_counts,
+    ranked_categories,
+    ranking,
+    top_categories,
+    top_sessions,
+)
 from visitloom.operators.joins import rows_of
+from visitloom.operators.positions import numbered
 from visitloom.operators.predicates import date_range
 from visitloom.operators.sampling import sample_sessions, sampled_details, sampled_records
 from visitloom.operators.sessions import select_sessions, session_statistics, session_summary
@@ -24,9 +31,9 @@ def statistics_job(actions: DataFrame, criteria: Criteria, task_id: int = 1) ->
 
 
 def category_job(actions: DataFrame, criteria: Criteria) -> DataFrame:
-    """The full ranking of the categories in the dates asked for."""
+    """The full ranking of the categories in the dates asked for, with its positions."""
     days = date_range(actions, criteria.start_date, criteria.end_date)
-    return ranked_categories(category_counts(days))
+    return numbered(category_counts(days), *ranking())
 
 
 @dataclass(frozen=True)
@@ -62,7 +69,7 @@ class SessionJob:
     @cached_property
     def session_detail(self) -> DataFrame:
         sample = sample_sessions(self.sessions, self.options.sample_target, self.options.sample_seed)
-        return through_storage(sampled_details(self.days, sample, self.options.sample_target), "session-detail")
+        return through_storage(sampled_details(self.days, sample), "session-detail")
 
     @cached_property
     def top10_category(self) -> DataFrame:
@@ -71,7 +78,7 @@ class SessionJob:
 
     @cached_property
     def top10_category_session(self) -> DataFrame:
-        return top_sessions(self.days, self.top10_category, self.options.top_k, self.options.top_n_sessions)
+        return top_sessions(self.days, self.top10_category, self.options.top_n_sessions)
 
     @cached_property
     def session_aggr_stat(self) -> DataFrame:
@@ -82,13 +89,16 @@ class SessionJob:
         return sampled_records(self.session_detail)
 
     def run(self, sink: TableSink) -> None:
-        """Append all five tables; nothing is appended before all shared parts are stored."""
+        """Store all five tables under the task's id.
+
+        What the task has stored before is replaced table by table, so a run that failed can be repeated.
+        """
         tables = {
-            "session_aggr_stat": self.session_aggr_stat,
+            "session_aggr_stat": self.session_aggr_stat.drop("task_id"),
             "session_random_extract": self.session_random_extract,
             "session_detail": self.session_detail,
             "top10_category": self.top10_category,
             "top10_category_session": self.top10_category_session,
         }
         for name, table in tables.items():
-            sink.append(table, name)
+            sink.replace(table, name, self.options.task_id)

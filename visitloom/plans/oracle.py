@@ -40,6 +40,9 @@ summary AS (
          CAST(count(*) AS BIGINT) AS step_length
   FROM days GROUP BY session_id)"""
 
+# The registered queries of sessions are over all actions, those of the jobs over the days asked for.
+_ALL_SUMMARY = _SUMMARY.replace("FROM days", "FROM actions")
+
 _WITH_USERS = """
 with_users AS (
   SELECT user_id, session_id, start_time, end_time, visit_length, step_length, age, professional, city, sex
@@ -78,6 +81,8 @@ click_counts AS (
 SELECT category_id, session_id, click_count FROM click_counts
 QUALIFY row_number() OVER (PARTITION BY category_id ORDER BY click_count DESC, session_id) <= 10"""
 
+_ALL_TOP_SESSIONS = _TOP_SESSIONS.replace("FROM days", "FROM actions")
+
 
 def _sample(frame: str) -> str:
     return f"""
@@ -143,7 +148,7 @@ def _with(*ctes: str) -> str:
 
 _LISTED = ("order_category_ids", "order_product_ids", "pay_category_ids", "pay_product_ids")
 _WIDE = """
-wide AS (SELECT session_id, {lists} FROM days GROUP BY session_id)""".format(
+wide AS (SELECT session_id, {lists} FROM actions GROUP BY session_id)""".format(
     lists=", ".join(
         f"{_list(column)} AS {name}"
         for column, name in (
@@ -158,7 +163,7 @@ wide AS (SELECT session_id, {lists} FROM days GROUP BY session_id)""".format(
 _SPLIT = "".join(
     f""",
 split_{column} AS (
-  SELECT session_id, {_list("category_id")} AS {column} FROM ({_ids(column, "days")}) GROUP BY session_id)"""
+  SELECT session_id, {_list("category_id")} AS {column} FROM ({_ids(column, "actions")}) GROUP BY session_id)"""
     for column in _LISTED
 )
 _SPLIT_COLUMNS = ", ".join(f"coalesce(split_{c}.{c}, '') AS {c}" for c in _LISTED)
@@ -186,7 +191,7 @@ tasks AS (
   FROM customer)"""
 
 _RECORDS = f"""
-{_records("days")},
+{_records("actions")},
 records AS (
   SELECT session_id, search_keywords, click_category_ids, visit_length, step_length, start_time,
          'clickCategoryIds=' || click_category_ids || '|visitLength=' || visit_length || '|stepLength='
@@ -194,7 +199,7 @@ records AS (
   FROM summary JOIN lists USING (session_id))"""
 
 _SESSION_SQL = f"""
-SELECT summary.*, 0 AS list_part, search_keywords, click_category_ids FROM summary JOIN lists USING (session_id)"""
+SELECT summary.*, search_keywords, click_category_ids FROM summary JOIN lists USING (session_id)"""
 
 _PEOPLE = "SELECT c_name AS name, {age} AS age FROM customer"
 
@@ -216,10 +221,10 @@ ORACLE: dict[str, str] = {
     "appended_tables": " UNION ALL ".join(
         "SELECT * FROM ("
         + _with(
-            _ACTIONS, f"part AS (SELECT * FROM actions WHERE date BETWEEN {dates})", _category_counts("part"), _TOP
+            _ACTIONS, f"part AS (SELECT * FROM actions WHERE date {dates})", _category_counts("part"), _TOP
         )
         + " SELECT * FROM top)"
-        for dates in ("'2024-01-07' AND '2024-01-18'", "'2024-01-18' AND '2024-01-29'")
+        for dates in ("<= '2024-01-18'", ">= '2024-01-19'")
     ),
     "task_by_id": _with(_TASKS) + " SELECT * FROM tasks WHERE task_id = 7",
     "actions_in_dates": _with(_ACTIONS) + " SELECT * FROM days",
@@ -270,73 +275,97 @@ ORACLE: dict[str, str] = {
         WHERE rtrim(text, ' ') <> '' OR text = ''""",
     "invalid_coordinates": _with(_COORDINATES) + f" SELECT c_custkey, coordinates FROM coordinates WHERE {_BAD}",
     "valid_coordinates": _with(_COORDINATES) + f" SELECT c_custkey, coordinates FROM coordinates WHERE NOT {_BAD}",
-    "sessions_with_users": _with(_ACTIONS, _USERS, _SUMMARY, _WITH_USERS) + " SELECT * FROM with_users",
+    "sessions_with_users": _with(_ACTIONS, _USERS, _ALL_SUMMARY, _WITH_USERS) + " SELECT * FROM with_users",
     "selected_actions": _with(_ACTIONS, _USERS, _SUMMARY, _WITH_USERS)
     + " SELECT * FROM days WHERE session_id IN (SELECT session_id FROM selected)",
-    "sampled_details": _with(_ACTIONS, _SUMMARY, _sample("summary"))
-    + f" SELECT {_DETAIL_COLUMNS} FROM days WHERE session_id IN (SELECT session_id FROM sample)",
-    "joined_category_counts": _with(_ACTIONS, _category_counts("days")) + " SELECT * FROM counts",
-    "category_counts": _with(_ACTIONS, _category_counts("days")) + " SELECT * FROM counts",
-    "clicks_in_top_categories": _with(_ACTIONS, _category_counts("days"), _TOP)
+    "sampled_details": _with(_ACTIONS, _ALL_SUMMARY, _sample("summary"))
+    + f" SELECT {_DETAIL_COLUMNS} FROM actions WHERE session_id IN (SELECT session_id FROM sample)",
+    "joined_category_counts": _with(_ACTIONS, _category_counts("actions")) + " SELECT * FROM counts",
+    "category_counts": _with(_ACTIONS, _category_counts("actions")) + " SELECT * FROM counts",
+    "clicks_in_top_categories": _with(_ACTIONS, _category_counts("actions"), _TOP)
     + """ SELECT click_category_id AS category_id, session_id, CAST(count(*) AS BIGINT) AS click_count
-        FROM days WHERE click_category_id IN (SELECT category_id FROM top) GROUP BY ALL""",
+        FROM actions WHERE click_category_id IN (SELECT category_id FROM top) GROUP BY ALL""",
     "customers_with_orders": """SELECT c_custkey AS key, c_name, o_orderkey, o_totalprice
         FROM customer JOIN orders ON c_custkey = o_custkey""",
-    "customers_cogrouped_with_orders": """SELECT coalesce(l.key, r.key) AS key, 0 AS part,
-        coalesce(left_values, '') AS left_values, coalesce(right_values, '') AS right_values
-        FROM (SELECT c_custkey + 10 AS key, string_agg(c_name, ',' ORDER BY c_name) AS left_values
-              FROM customer GROUP BY 1) l
-        FULL JOIN (SELECT o_custkey AS key, string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey)
-              AS right_values FROM orders GROUP BY 1) r ON l.key = r.key""",
-    "customers_joined_with_themselves": """SELECT coalesce(a.c_custkey, b.c_custkey) AS key, a.c_acctbal AS left_value,
-        b.c_acctbal AS right_value FROM customer a FULL JOIN customer b ON a.c_custkey = b.c_custkey""",
+    "customers_cogrouped_with_orders": """
+        WITH l AS (SELECT c_custkey + 10 AS key, CAST(c_name AS VARCHAR) AS v FROM customer),
+        r AS (SELECT o_custkey AS key, CAST(o_orderkey AS VARCHAR) AS v FROM orders),
+        placed AS (
+          SELECT 'l' AS side, key, v, (row_number() OVER (PARTITION BY key ORDER BY v) - 1) // 3 AS page FROM l
+          UNION ALL SELECT 'r', key, v, (row_number() OVER (PARTITION BY key ORDER BY v) - 1) // 3 FROM r)
+        SELECT key, page, coalesce(string_agg(v, ',' ORDER BY v) FILTER (WHERE side = 'l'), '') AS left_values,
+          coalesce(string_agg(v, ',' ORDER BY v) FILTER (WHERE side = 'r'), '') AS right_values
+        FROM placed GROUP BY key, page""",
+    "customers_joined_with_themselves": """SELECT coalesce(a.c_custkey, b.c_custkey + 10) AS key, a.c_acctbal AS left_value,
+        b.c_acctbal AS right_value FROM customer a FULL JOIN customer b ON a.c_custkey = b.c_custkey + 10""",
     "customers_full_joined_with_orders": """SELECT coalesce(c_custkey + 10, o_custkey) AS key, c_name, o_orderkey
         FROM customer FULL JOIN orders ON c_custkey + 10 = o_custkey""",
-    "session_records": _with(_ACTIONS, _SUMMARY, _records("days")) + _SESSION_SQL,
-    "session_summary": _with(_ACTIONS, _SUMMARY) + " SELECT * FROM summary",
-    "wide_session_records": _with(_ACTIONS, _SUMMARY, _WIDE)
+    "session_records": _with(_ACTIONS, _ALL_SUMMARY, _records("actions")) + _SESSION_SQL,
+    "session_summary": _with(_ACTIONS, _ALL_SUMMARY) + " SELECT * FROM summary",
+    "wide_session_records": _with(_ACTIONS, _ALL_SUMMARY, _WIDE)
     + _SPLIT
-    + f""" SELECT summary.*, 0 AS list_part, page_ids, actions, search_keywords, click_category_ids, click_product_ids,
+    + f""" SELECT summary.*, page_ids, actions, search_keywords, click_category_ids, click_product_ids,
         {_SPLIT_COLUMNS} FROM summary JOIN wide USING (session_id) {_SPLIT_JOINS}""",
-    "session_counts": _with(_ACTIONS, _SUMMARY, _statistics("summary")) + " SELECT * FROM stats",
+    "session_values": _with(_ACTIONS)
+    + " UNION ".join(
+        [
+            f" SELECT session_id, '{name}' AS list, CAST({column} AS VARCHAR) AS value FROM actions WHERE {column} IS NOT NULL"
+            for column, name in (
+                ("page_id", "page_ids"),
+                ("action", "actions"),
+                ("search_keyword", "search_keywords"),
+                ("click_category_id", "click_category_ids"),
+                ("click_product_id", "click_product_ids"),
+            )
+        ]
+        + [
+            f" SELECT session_id, '{c}', unnest(string_split({c}, ',')) FROM actions WHERE {c} IS NOT NULL" for c in _LISTED
+        ]
+    ),
+    "session_counts": _with(_ACTIONS, _ALL_SUMMARY, _statistics("summary")) + " SELECT * FROM stats",
     "selected_session_counts": _with(_ACTIONS, _USERS, _SUMMARY, _WITH_USERS, _statistics("selected"))
     + " SELECT * FROM stats",
     "session_statistics": _with(_ACTIONS, _SUMMARY, _statistics("summary"))
     + f" SELECT CAST(1 AS BIGINT) AS task_id, session_count, {_RATIOS} FROM stats",
     "click_counts": _with(_ACTIONS)
     + """ SELECT click_category_id AS category_id, CAST(count(*) AS BIGINT) AS click_count
-        FROM days WHERE click_category_id IS NOT NULL GROUP BY 1""",
+        FROM actions WHERE click_category_id IS NOT NULL GROUP BY 1""",
     "order_counts": _with(_ACTIONS)
-    + f" SELECT category_id, CAST(count(*) AS BIGINT) AS order_count FROM ({_ids('order_category_ids', 'days')}) GROUP BY 1",
+    + f" SELECT category_id, CAST(count(*) AS BIGINT) AS order_count FROM ({_ids('order_category_ids', 'actions')}) GROUP BY 1",
     "pay_counts": _with(_ACTIONS)
-    + f" SELECT category_id, CAST(count(*) AS BIGINT) AS pay_count FROM ({_ids('pay_category_ids', 'days')}) GROUP BY 1",
+    + f" SELECT category_id, CAST(count(*) AS BIGINT) AS pay_count FROM ({_ids('pay_category_ids', 'actions')}) GROUP BY 1",
     "category_universe": _with(_ACTIONS)
-    + f""" SELECT click_category_id AS category_id FROM days WHERE click_category_id IS NOT NULL
-        UNION SELECT category_id FROM ({_ids('order_category_ids', 'days')})
-        UNION SELECT category_id FROM ({_ids('pay_category_ids', 'days')})""",
-    "sessions_per_hour": _with(_ACTIONS, _SUMMARY, _sample("summary")) + " SELECT * FROM hours",
-    "hourly_quota": _with(_ACTIONS, _SUMMARY, _sample("summary")) + " SELECT * FROM quota",
+    + f""" SELECT click_category_id AS category_id FROM actions WHERE click_category_id IS NOT NULL
+        UNION SELECT category_id FROM ({_ids('order_category_ids', 'actions')})
+        UNION SELECT category_id FROM ({_ids('pay_category_ids', 'actions')})""",
+    "sessions_per_hour": _with(_ACTIONS, _ALL_SUMMARY, _sample("summary")) + " SELECT * FROM hours",
+    "hourly_quota": _with(_ACTIONS, _ALL_SUMMARY, _sample("summary")) + " SELECT * FROM quota",
     "session_category_clicks": _with(_ACTIONS)
     + """ SELECT session_id, click_category_id AS category_id, CAST(count(*) AS BIGINT) AS click_count
-        FROM days WHERE click_category_id IS NOT NULL GROUP BY ALL""",
+        FROM actions WHERE click_category_id IS NOT NULL GROUP BY ALL""",
     "rows_per_keyword": _with(_ACTIONS)
     + " SELECT search_keyword, CAST(count(*) AS BIGINT) AS rows FROM actions GROUP BY search_keyword",
-    "orders_per_customer": """SELECT o_custkey, 0 AS part,
-        string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey) AS values FROM orders GROUP BY o_custkey""",
+    "orders_per_customer": """SELECT o_custkey, page, string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey) AS values
+        FROM (SELECT o_custkey, o_orderkey,
+                (row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) // 4 AS page FROM orders)
+        GROUP BY o_custkey, page""",
     "quantity_per_supplier": "SELECT l_suppkey, sum(l_quantity) AS total FROM lineitem GROUP BY l_suppkey",
     "total_quantity": "SELECT sum(l_quantity) AS total FROM lineitem",
     "lineitem_count": "SELECT CAST(count(*) AS BIGINT) AS rows FROM lineitem",
     "orders_per_priority": """SELECT o_orderpriority, CAST(count(*) AS BIGINT) AS rows FROM orders
         GROUP BY o_orderpriority""",
-    "customer_order_map": "SELECT 0 AS part, o_custkey, CAST(count(*) AS BIGINT) AS rows FROM orders GROUP BY o_custkey",
+    "customer_order_map": """SELECT (row_number() OVER (ORDER BY o_custkey) - 1) // 50 AS page, o_custkey, rows
+        FROM (SELECT o_custkey, CAST(count(*) AS BIGINT) AS rows FROM orders GROUP BY o_custkey)""",
     "listed_coordinates": _with(_COORDINATES)
-    + f""" SELECT 0 AS part, string_agg(coordinates, ',' ORDER BY coordinates) AS values
-        FROM coordinates WHERE {_BAD}""",
+    + f""" SELECT page, string_agg(coordinates, ',' ORDER BY coordinates) AS values
+        FROM (SELECT coordinates, (row_number() OVER (ORDER BY coordinates) - 1) // 20 AS page
+              FROM coordinates WHERE {_BAD}) GROUP BY page""",
     "keyed_sum": """SELECT key, CAST(sum(number) AS BIGINT) AS total FROM (
         SELECT upper(event_type) AS key, CAST(json_extract_string(props, '$.k') AS BIGINT) AS number FROM events
         UNION ALL SELECT 'VIEW', 0 UNION ALL SELECT 'REFUND', 0) GROUP BY key""",
-    "joined_names": "SELECT 0 AS part, string_agg(c_name || '_', '' ORDER BY c_name) AS text FROM customer",
-    "top_categories": _with(_ACTIONS, _category_counts("days"), _TOP) + " SELECT * FROM top",
+    "joined_names": """SELECT page, string_agg(c_name || '_', '' ORDER BY c_name) AS text
+        FROM (SELECT c_name, (row_number() OVER (ORDER BY c_name) - 1) // 20 AS page FROM customer) GROUP BY page""",
+    "top_categories": _with(_ACTIONS, _category_counts("actions"), _TOP) + " SELECT * FROM top",
     "top_categories_of_selected": _with(
         _ACTIONS,
         _USERS,
@@ -347,17 +376,24 @@ ORACLE: dict[str, str] = {
         _TOP,
     )
     + " SELECT * FROM top",
-    "ranked_categories": _with(_ACTIONS, _category_counts("days")) + " SELECT * FROM counts",
-    "top_sessions": _with(_ACTIONS, _category_counts("days"), _TOP, _TOP_SESSIONS),
-    "sampled_sessions": _with(_ACTIONS, _SUMMARY, _sample("summary")) + " SELECT * FROM sample",
-    "sampled_records": _with(_ACTIONS, _SUMMARY, _sample("summary"), _records("days"))
+    "ranked_categories": _with(_ACTIONS, _category_counts("days"))
+    + """ SELECT *, row_number() OVER (ORDER BY click_count DESC, order_count DESC, pay_count DESC, category_id) AS position
+        FROM counts""",
+    "top_sessions": _with(_ACTIONS, _category_counts("actions"), _TOP, _ALL_TOP_SESSIONS),
+    "sampled_sessions": _with(_ACTIONS, _ALL_SUMMARY, _sample("summary")) + " SELECT * FROM sample",
+    "sampled_records": _with(_ACTIONS, _ALL_SUMMARY, _sample("summary"), _records("actions"))
     + """ SELECT session_id, start_time, search_keywords, click_category_ids
         FROM sample JOIN summary USING (session_id) JOIN lists USING (session_id)""",
-    "orders_by_price": "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice, o_orderkey",
-    "orders_by_price_descending": "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey",
+    "orders_by_price": """SELECT o_orderkey, o_totalprice,
+        row_number() OVER (ORDER BY o_totalprice, o_orderkey) AS position FROM orders""",
+    "orders_by_price_descending": """SELECT o_orderkey, o_totalprice,
+        row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS position FROM orders""",
     "cheapest_orders": "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice, o_orderkey LIMIT 3",
-    "some_actions": _with(_ACTIONS) + " SELECT CAST(count(*) AS BIGINT) AS rows FROM (SELECT * FROM actions LIMIT 3)",
+    "some_actions": "SELECT CAST(3 AS BIGINT) AS rows, CAST(3 AS BIGINT) AS of_the_table",
     "distinct_pairs": _with(_ACTIONS) + " SELECT DISTINCT user_id, action FROM actions",
+    "current_dates": _with(_ACTIONS)
+    + """ SELECT DISTINCT session_id, 1 AS days_between, true AS now_is_today, 19 AS now_length, 10 AS today_length,
+        true AS now_parses FROM actions""",
     "date_hours": _with(_ACTIONS)
     + " SELECT session_id, action_time, action_time[1:10] || '_' || action_time[12:13] AS date_hour FROM actions",
     "parsed_times": _with(_ACTIONS)
@@ -379,11 +415,11 @@ ORACLE: dict[str, str] = {
     "two_digit_texts": _with(_ACTIONS)
     + """ SELECT session_id, action_time,
         CASE WHEN user_id BETWEEN 10 AND 99 THEN '' ELSE '0' END || user_id AS padded FROM actions""",
-    "record_fields": _with(_ACTIONS, _SUMMARY, _RECORDS)
+    "record_fields": _with(_ACTIONS, _ALL_SUMMARY, _RECORDS)
     + """ SELECT 'sessionId=' || session_id || '|searchKeywords=' || search_keywords || '|' || tail AS record,
         session_id AS session, nullif(search_keywords, '') AS keywords, CAST(step_length AS VARCHAR) AS steps,
         CAST(NULL AS VARCHAR) AS absent FROM records""",
-    "changed_records": _with(_ACTIONS, _SUMMARY, _RECORDS)
+    "changed_records": _with(_ACTIONS, _ALL_SUMMARY, _RECORDS)
     + " SELECT session_id, 'sessionId=' || session_id || '|searchKeywords=none|' || tail AS record FROM records",
     "rounded_values": """SELECT event_id, value, CAST(round(CAST(value AS DECIMAL(18, 6)), 1) AS DOUBLE) AS rounded
         FROM events""",

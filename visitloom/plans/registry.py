@@ -13,12 +13,12 @@ from visitloom.functions import numbers, texts, times
 from visitloom.operators import categories, grouping, joins, ordering, predicates, sampling, sessions
 from visitloom.plans.job import JobOptions, SessionJob, category_job, statistics_job
 from visitloom.schemas import PERSON
-from visitloom.session import scratch_path, through_storage
+from visitloom.session import scratch_path
 from visitloom.sources import files, sinks, tables, tasks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-START, END, MIDDLE = "2024-01-07", "2024-01-29", "2024-01-18"
+START, END, MIDDLE, AFTER_MIDDLE = "2024-01-07", "2024-01-29", "2024-01-18", "2024-01-19"
 TASK = tasks.Criteria.from_json(
     '{"startDate":["2024-01-07"],"endDate":["2024-01-29"],"startAge":[20],"endAge":[30]}'
 )
@@ -61,7 +61,7 @@ class Tables:
 
     @cached_property
     def summary(self) -> DataFrame:
-        return sessions.session_summary(self.days)
+        return sessions.session_summary(self.actions)
 
     @cached_property
     def selected(self) -> DataFrame:
@@ -109,19 +109,24 @@ def _text(df: DataFrame) -> DataFrame:
     return sessions.list_text(df)
 
 
+def _own() -> str:
+    """A part of view names by which queries of one session do not disturb each other."""
+    return "_" + uuid.uuid4().hex
+
+
 # Sources and sinks
 
 
 @query("A1")
 def action_log(t: Tables) -> DataFrame:
-    tables.register_views(t.actions, t.users)
-    return t.spark.table("user_visit_action")
+    actions, _ = tables.register_views(t.actions, t.users, _own())
+    return t.spark.table(actions)
 
 
 @query("A2")
 def user_info(t: Tables) -> DataFrame:
-    tables.register_views(t.actions, t.users)
-    return t.spark.table("user_info")
+    _, users = tables.register_views(t.actions, t.users, _own())
+    return t.spark.table(users)
 
 
 @query("A3")
@@ -130,7 +135,7 @@ def json_lines(t: Tables) -> DataFrame:
     t.events.select(
         "event_id",
         "event_type",
-        F.get_json_object("props", "$.k").cast("bigint").alias("k"),
+        F.get_json_object("props", "$.k").try_cast("bigint").alias("k"),
         F.when(F.col("event_type") == "click", F.col("value")).alias("value"),
     ).write.json(path)
     return files.read_json_lines(t.spark, path)
@@ -170,8 +175,8 @@ def typed_people(t: Tables) -> DataFrame:
 
 @query("A8")
 def view_sql(t: Tables) -> DataFrame:
-    tables.register_views(t.actions, t.users)
-    return t.spark.sql("SELECT action, count(*) AS actions FROM user_visit_action GROUP BY action")
+    actions, _ = tables.register_views(t.actions, t.users, _own())
+    return t.spark.sql(f"SELECT action, count(*) AS actions FROM {actions} GROUP BY action")
 
 
 @query("A9")
@@ -184,8 +189,8 @@ def global_view_sql(t: Tables) -> DataFrame:
 @query("A10")
 def appended_tables(t: Tables) -> DataFrame:
     sink = sinks.TableSink(scratch_path(t.spark, "results"))
-    for first, last in ((START, MIDDLE), (MIDDLE, END)):
-        days = tables.actions_from_events(t.events, first, last)
+    for first, last in ((None, MIDDLE), (AFTER_MIDDLE, None)):
+        days = predicates.date_range(t.actions, first, last)
         sink.append(categories.top_categories(categories.category_counts(days)), "top10_category")
     return sink.read(t.spark, "top10_category")
 
@@ -273,8 +278,7 @@ def older_users(t: Tables) -> DataFrame:
 
 @query("B10")
 def teenagers(t: Tables) -> DataFrame:
-    t.users.createOrReplaceTempView("people")
-    return t.spark.sql("SELECT name, age FROM people WHERE age BETWEEN 13 AND 19")
+    return t.spark.sql("SELECT name, age FROM {people} WHERE age BETWEEN 13 AND 19", people=t.users)
 
 
 @query("B10")
@@ -324,23 +328,23 @@ def selected_actions(t: Tables) -> DataFrame:
 @query("C3")
 def sampled_details(t: Tables) -> DataFrame:
     sample = sampling.sample_sessions(t.summary, 1000)
-    return sampling.sampled_details(t.days, sample, 1000)
+    return sampling.sampled_details(t.actions, sample)
 
 
 @query("C4")
 def joined_category_counts(t: Tables) -> DataFrame:
-    return categories.joined_category_counts(t.days)
+    return categories.joined_category_counts(t.actions)
 
 
 @query("C4")
 def category_counts(t: Tables) -> DataFrame:
-    return categories.category_counts(t.days)
+    return categories.category_counts(t.actions)
 
 
 @query("C5")
 def clicks_in_top_categories(t: Tables) -> DataFrame:
-    top = categories.top_categories(categories.category_counts(t.days))
-    return categories.clicks_in_categories(t.days, top)
+    top = categories.top_categories(categories.category_counts(t.actions))
+    return categories.clicks_in_categories(t.actions, top)
 
 
 @query("C6")
@@ -354,13 +358,15 @@ def customers_with_orders(t: Tables) -> DataFrame:
 def customers_cogrouped_with_orders(t: Tables) -> DataFrame:
     left = t.customer.select((F.col("c_custkey") + 10).alias("key"), "c_name")
     right = t.orders.select(F.col("o_custkey").alias("key"), "o_orderkey")
-    return _text(grouping.cogroup(left, right, "key"))
+    return _text(grouping.cogroup(left, right, "key", page_rows=3))
 
 
 @query("C8")
 def customers_joined_with_themselves(t: Tables) -> DataFrame:
-    pairs = t.customer.select(F.col("c_custkey").alias("key"), F.col("c_acctbal").alias("left_value"))
-    return joins.full_join(pairs, pairs.withColumnRenamed("left_value", "right_value"), "key")
+    """One side is moved by ten keys, so that either side has rows without a partner."""
+    left = t.customer.select(F.col("c_custkey").alias("key"), F.col("c_acctbal").alias("left_value"))
+    right = t.customer.select((F.col("c_custkey") + 10).alias("key"), F.col("c_acctbal").alias("right_value"))
+    return joins.full_join(left, right, "key")
 
 
 @query("C8")
@@ -375,7 +381,7 @@ def customers_full_joined_with_orders(t: Tables) -> DataFrame:
 
 @query("D1")
 def session_records(t: Tables) -> DataFrame:
-    return _text(sessions.session_records(t.days))
+    return _text(sessions.session_records(t.actions))
 
 
 @query("D1")
@@ -383,9 +389,14 @@ def session_summary(t: Tables) -> DataFrame:
     return t.summary
 
 
+@query("D1b")
+def session_values(t: Tables) -> DataFrame:
+    return sessions.session_values(t.actions)
+
+
 @query("D1b")
 def wide_session_records(t: Tables) -> DataFrame:
-    return _text(sessions.wide_session_records(t.days))
+    return _text(sessions.wide_session_records(t.actions))
 
 
 @query("D2")
@@ -405,22 +416,22 @@ def session_statistics(t: Tables) -> DataFrame:
 
 @query("D4")
 def click_counts(t: Tables) -> DataFrame:
-    return categories.click_counts(t.days)
+    return categories.click_counts(t.actions)
 
 
 @query("D5")
 def order_counts(t: Tables) -> DataFrame:
-    return categories.order_counts(t.days)
+    return categories.order_counts(t.actions)
 
 
 @query("D6")
 def pay_counts(t: Tables) -> DataFrame:
-    return categories.pay_counts(t.days)
+    return categories.pay_counts(t.actions)
 
 
 @query("D7")
 def category_universe(t: Tables) -> DataFrame:
-    return categories.category_universe(t.days)
+    return categories.category_universe(t.actions)
 
 
 @query("D8")
@@ -435,7 +446,7 @@ def hourly_quota(t: Tables) -> DataFrame:
 
 @query("D10")
 def session_category_clicks(t: Tables) -> DataFrame:
-    return categories.session_category_clicks(t.days)
+    return categories.session_category_clicks(t.actions)
 
 
 @query("D11")
@@ -445,7 +456,7 @@ def rows_per_keyword(t: Tables) -> DataFrame:
 
 @query("D12")
 def orders_per_customer(t: Tables) -> DataFrame:
-    return _text(grouping.values_by_key(t.orders, "o_custkey", "o_orderkey"))
+    return _text(grouping.values_by_key(t.orders, "o_custkey", "o_orderkey", page_rows=4))
 
 
 @query("D13")
@@ -470,13 +481,13 @@ def orders_per_priority(t: Tables) -> DataFrame:
 
 @query("D16")
 def customer_order_map(t: Tables) -> DataFrame:
-    maps = grouping.count_map(t.orders, "o_custkey")
-    return maps.select("part", F.explode("counts").alias("o_custkey", "rows"))
+    maps = grouping.count_map(t.orders, "o_custkey", page_rows=50)
+    return maps.select("page", F.explode("counts").alias("o_custkey", "rows"))
 
 
 @query("D17")
 def listed_coordinates(t: Tables) -> DataFrame:
-    return _text(grouping.all_values(_coordinates(t)[1], "coordinates"))
+    return _text(grouping.all_values(_coordinates(t)[1], "coordinates", page_rows=20))
 
 
 @query("D18")
@@ -489,7 +500,7 @@ def keyed_sum(t: Tables) -> DataFrame:
 
 @query("D19")
 def joined_names(t: Tables) -> DataFrame:
-    return grouping.joined_text(t.customer, "c_name")
+    return grouping.joined_text(t.customer, "c_name", page_rows=20)
 
 
 # Ranking, sampling, top-k
@@ -497,7 +508,7 @@ def joined_names(t: Tables) -> DataFrame:
 
 @query("E1")
 def top_categories(t: Tables) -> DataFrame:
-    return categories.top_categories(categories.category_counts(t.days))
+    return categories.top_categories(categories.category_counts(t.actions))
 
 
 @query("E1")
@@ -512,8 +523,8 @@ def ranked_categories(t: Tables) -> DataFrame:
 
 @query("E2")
 def top_sessions(t: Tables) -> DataFrame:
-    top = categories.top_categories(categories.category_counts(t.days))
-    return categories.top_sessions(t.days, top)
+    top = categories.top_categories(categories.category_counts(t.actions))
+    return categories.top_sessions(t.actions, top)
 
 
 @query("E3")
@@ -524,8 +535,7 @@ def sampled_sessions(t: Tables) -> DataFrame:
 @query("E4")
 def sampled_records(t: Tables) -> DataFrame:
     sample = sampling.sample_sessions(t.summary, 1000)
-    details = through_storage(sampling.sampled_details(t.days, sample, 1000), "session-detail")
-    return sampling.sampled_records(details)
+    return sampling.sampled_records(sampling.sampled_details(t.actions, sample))
 
 
 # Sorts, limits, set operations
@@ -533,12 +543,14 @@ def sampled_records(t: Tables) -> DataFrame:
 
 @query("F1")
 def orders_by_price(t: Tables) -> DataFrame:
-    return ordering.sort_rows(t.orders.select("o_orderkey", "o_totalprice"), "o_totalprice", "o_orderkey")
+    return ordering.sorted_positions(t.orders.select("o_orderkey", "o_totalprice"), "o_totalprice", "o_orderkey")
 
 
 @query("F1")
 def orders_by_price_descending(t: Tables) -> DataFrame:
-    return ordering.sort_rows(t.orders.select("o_orderkey", "o_totalprice"), "o_totalprice", "o_orderkey", True)
+    return ordering.sorted_positions(
+        t.orders.select("o_orderkey", "o_totalprice"), "o_totalprice", "o_orderkey", descending=True
+    )
 
 
 @query("F2")
@@ -548,7 +560,11 @@ def cheapest_orders(t: Tables) -> DataFrame:
 
 @query("F3")
 def some_actions(t: Tables) -> DataFrame:
-    return grouping.row_count(ordering.any_rows(t.actions, 3))
+    """How many rows the limit gives, and how many of them are rows of the table."""
+    rows = ordering.any_rows(t.actions.select("session_id", "action_time", "page_id"), 3)
+    found = t.actions.select("session_id", "action_time", "page_id").withColumn("there", F.lit(1)).distinct()
+    joined = rows.join(found, ["session_id", "action_time", "page_id"], "left")
+    return joined.agg(F.count(F.lit(1)).alias("rows"), F.count("there").alias("of_the_table"))
 
 
 @query("G1")
@@ -598,11 +614,15 @@ def seconds_between(t: Tables) -> DataFrame:
 
 @query("H5")
 def current_dates(t: Tables) -> DataFrame:
+    """How the dates of the clock relate, which is the same on every day."""
+    today, now, yesterday = times.today(), times.now(), times.yesterday()
     return t.actions.select(
         "session_id",
-        times.today().alias("today"),
-        times.now().alias("now"),
-        times.yesterday().alias("yesterday"),
+        F.datediff(today.cast("date"), yesterday.cast("date")).alias("days_between"),
+        (F.substring(now, 1, 10) == today).alias("now_is_today"),
+        F.length(now).alias("now_length"),
+        F.length(today).alias("today_length"),
+        times.parse_time(now).isNotNull().alias("now_parses"),
     ).distinct()
 
 
@@ -630,7 +650,7 @@ def two_digit_texts(t: Tables) -> DataFrame:
 
 
 def _record_texts(t: Tables) -> DataFrame:
-    records = _text(sessions.session_records(t.days))
+    records = _text(sessions.session_records(t.actions))
     return records.select(
         "session_id",
         texts.record(

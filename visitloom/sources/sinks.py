@@ -30,6 +30,17 @@ class TableSink:
         else:
             writer.partitionBy(*partition_by).save(f"{self.location}/{table}")
 
+    def replace(self, df: DataFrame, table: str, task_id: int) -> None:
+        """Write the rows of one task in place of those it has written before.
+
+        Each task has a folder of its own; a JDBC table has none, so there rows are appended.
+        """
+        if self.format == "jdbc":
+            self.append(df, table)
+        else:
+            writer = df.write.mode("overwrite").format(self.format).options(**self.options)
+            writer.save(f"{self.location}/{table}/task_id={task_id}")
+
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         reader = spark.read.format(self.format).options(**self.options)
         if self.format == "jdbc":

@@ -69,7 +69,7 @@ def actions_from_events(
         *(F.when(F.col("event_type") == e, F.lit(a)) for e, a in ACTION_OF_EVENT.items()),
         F.lit("other"),
     )
-    k = F.get_json_object("props", "$.k").cast("bigint")
+    k = F.get_json_object("props", "$.k").try_cast("bigint")
     day = format_date(F.col("ts"))
     base = events.select(
         day.alias("date"),
@@ -124,7 +124,9 @@ def users_from_customers(customer: DataFrame, nation: DataFrame) -> DataFrame:
     )
 
 
-def register_views(actions: DataFrame, users: DataFrame) -> None:
-    """The views `user_visit_action` and `user_info` in the frames' session."""
-    actions.createOrReplaceTempView("user_visit_action")
-    users.createOrReplaceTempView("user_info")
+def register_views(actions: DataFrame, users: DataFrame, suffix: str = "") -> tuple[str, str]:
+    """The views `user_visit_action` and `user_info`, with a suffix, in the frames' session; their names."""
+    names = f"user_visit_action{suffix}", f"user_info{suffix}"
+    for frame, name in zip((actions, users), names, strict=True):
+        frame.createOrReplaceTempView(name)
+    return names

@@ -23,6 +23,12 @@ def share_code(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def in_python(df: DataFrame, run: Callable, schema: str | StructType) -> DataFrame:
+    """`df` through a function of an iterator of Arrow batches."""
+    share_code(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def map_pieces(
     df: DataFrame, start: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]], schema: str | StructType
 ) -> DataFrame:
@@ -36,7 +42,7 @@ def map_pieces(
                 if result is not None:
                     yield result
 
-    return df.mapInArrow(run, schema)
+    return in_python(df, run, schema)
 
 
 @contextmanager

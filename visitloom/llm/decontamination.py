@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from visitloom.llm.batches import PIECE_ROWS, plain_words
+from visitloom.llm.batches import PIECE_ROWS, in_python, plain_words
 from visitloom.llm.fm_index import FMIndex
 
 WINDOW = 10
@@ -159,7 +159,7 @@ def _by_shard(documents: DataFrame, blocks: list, text_at: int, result, schema)
         if shard:
             yield from handle(shard)
 
-    return documents.mapInArrow(run, schema)
+    return in_python(documents, run, schema)
 
 
 def find_contamination(

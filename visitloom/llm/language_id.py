@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from visitloom.llm.batches import free_name, map_pieces
+from visitloom.llm.batches import free_name, in_python, map_pieces
 
 UNKNOWN = "und"
 BUCKET_BITS = 15
@@ -97,9 +97,8 @@ def fit_languages(
                 ["lang", "bucket", "n"],
             )
 
-    summed = known.mapInArrow(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(
-        F.sum("n").alias("n")
-    )
+    summed = in_python(known, count, "lang string, bucket int, n long")
+    summed = summed.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     # At most (MAX_LANGUAGES + 1) * (BUCKETS + 1) rows come to the driver, before more are refused.
     rows = summed.limit((MAX_LANGUAGES + 1) * (BUCKETS + 1)).toArrow()
     languages = sorted(rows.column("lang").unique().to_pylist())

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitloom.llm.batches import map_pieces, plain_words
+from visitloom.llm.batches import in_python, map_pieces, plain_words
 
 BLOCK_WORDS = 96
 BLOCK_STEP = 48
@@ -98,7 +98,8 @@ def _word_documents(documents: DataFrame, text: str, vocabulary: frozenset[bytes
             [pa.array([w.decode() for w in seen], pa.string()), pa.array(list(seen.values()), pa.int64())], ["word", "n"]
         )
 
-    counted = documents.select(text).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counted = in_python(documents.select(text), count, "word string, n long")
+    counted = counted.groupBy("word").agg(F.sum("n").alias("n"))
     return {row["word"].encode(): row["n"] for row in counted.collect()}  # no more rows than template words
 
 

@@ -15,7 +15,9 @@ from dataclasses import dataclass
 from functools import cache
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
@@ -24,7 +26,7 @@ from visitloom.llm.batches import map_pieces
 
 MARKER = "▁"
 THREADS = 2
-CACHE_WORDS = 300_000
+CACHE_WORDS = 500_000
 _WORDS = re.compile(f"{MARKER}+[^{MARKER}]*|[^{MARKER}]+")
 # Fixed values of the model format: kinds of models and of pieces.
 UNIGRAM, BPE = 1, 2
@@ -142,7 +144,11 @@ def build_tokenizer(model: PieceModel) -> Tokenizer:
 
 
 class Codec:
-    """Encodes and decodes with the tokenizers library; holds the words it has met, CACHE_WORDS at most."""
+    """Encodes and decodes with the tokenizers library.
+
+    Where no piece crosses words, each distinct word is encoded, compared with sentencepiece and decoded once, and kept,
+    CACHE_WORDS at most; what holds for all words of a text then holds for the text. Other models work on whole texts.
+    """
 
     def __init__(self, path: str, threads: int = THREADS):
         import sentencepiece
@@ -153,41 +159,58 @@ class Codec:
             data = file.read()
         model = parse_model(data)
         self.tokenizer = build_tokenizer(model)
-        self.plain = not (model.charsmap or model.remove_extra_spaces) and model.dummy_prefix and model.escape_spaces
-        self.by_word = self.tokenizer.pre_tokenizer is not None
-        # Encodes what is normalised and cut into words already.
+        self.by_word = (
+            self.tokenizer.pre_tokenizer is not None
+            and model.dummy_prefix
+            and model.escape_spaces
+            and not (model.charsmap or model.remove_extra_spaces)
+        )
+        # Encodes words that are normalised already.
         self.words = build_tokenizer(model)
         self.words.normalizer = normalizers.Sequence([])
-        self.known: dict[str, list[int]] = {}
+        self.words.pre_tokenizer = None
         self.original = sentencepiece.SentencePieceProcessor(model_proto=data)
-
-    def _ids(self, texts: list[str]) -> list[list[int]]:
+        self.ids: dict[str, bytes] = {}
+        self.unlike: set[str] = set()  # words on which the libraries differ
+        self.lossy: set[str] = set()  # words that do not come back
+
+    def _learn(self, words: set[str]) -> None:
+        new = list(words - self.ids.keys())
+        if len(self.ids) + len(new) > CACHE_WORDS:
+            self.ids, self.unlike, self.lossy = {}, set(), set()
+            new = list(words)
+        own = [x.ids for x in self.words.encode_batch_fast(new, add_special_tokens=False)]
+        # A word begins with a marker, which sentencepiece puts before a text itself.
+        texts = [word[1:].replace(MARKER, " ") for word in new]
+        ids = self.original.encode(texts, num_threads=1)
+        # The marker alone ends a text; by itself it would be an empty one.
+        ids = [x if text else [self.original.piece_to_id(MARKER)] for x, text in zip(ids, texts)]
+        self.ids.update((word, np.array(x, np.int32).tobytes()) for word, x in zip(new, ids))
+        self.unlike.update(word for word, a, b in zip(new, own, ids) if a != b)
+        decoded = self.tokenizer.decode_batch(ids, skip_special_tokens=False)
+        self.lossy.update(word for word, a, b in zip(new, texts, decoded) if a != b)
+
+    def code(self, texts: list[str]) -> Iterator[tuple[np.ndarray, str, bool]]:
+        """Ids, their text, and whether both libraries agree; if not, the ids are those of sentencepiece."""
         if not self.by_word:
-            return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        normal = self.tokenizer.normalizer.normalize_str
-        cut = [
-            _WORDS.findall(MARKER + text.replace(" ", MARKER) if self.plain and text else normal(text)) for text in texts
-        ]
-        new = list(set(chain.from_iterable(cut)) - self.known.keys())
-        if len(self.known) + len(new) > CACHE_WORDS:
-            self.known = {}
-            new = list(set(chain.from_iterable(cut)))
-        encoded = self.words.encode_batch_fast(new, add_special_tokens=False)
-        self.known.update((word, x.ids) for word, x in zip(new, encoded))
-        return [list(chain.from_iterable(map(self.known.__getitem__, words))) for words in cut]
-
-    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[bool]]:
-        """Ids of each text, and whether both libraries agree on them; if not, those of sentencepiece stand."""
-        own = [[] for _ in texts]
-        # An empty text has no pieces, not even a marker.
-        full = [i for i, text in enumerate(texts) if text]
-        for i, ids in zip(full, self._ids([texts[i] for i in full])):
-            own[i] = ids
-        original = self.original.encode(texts, num_threads=1)
-        return original, [a == b for a, b in zip(own, original)]
-
-    def decode(self, ids: list[list[int]]) -> list[str]:
-        return self.tokenizer.decode_batch(ids, skip_special_tokens=False)
+            # An empty text has no pieces, not even a marker.
+            own = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            ids = self.original.encode(texts, num_threads=1)
+            decoded = self.tokenizer.decode_batch(ids, skip_special_tokens=False)
+            for text, a, b, back in zip(texts, own, ids, decoded):
+                yield np.array(b, np.int32), back, a == b or not text
+            return
+        cut = [_WORDS.findall(MARKER + text.replace(" ", MARKER)) if text else [] for text in texts]
+        distinct = set(chain.from_iterable(cut))
+        self._learn(distinct)
+        unlike, lossy = distinct & self.unlike, distinct & self.lossy
+        for words in cut:
+            ids = np.frombuffer(b"".join(map(self.ids.__getitem__, words)), np.int32)
+            if lossy and not lossy.isdisjoint(words):
+                text = self.tokenizer.decode(ids.tolist(), skip_special_tokens=False)
+            else:
+                text = "".join(words).replace(MARKER, " ")[1:]
+            yield ids, text, not unlike or unlike.isdisjoint(words)
 
 
 @cache
@@ -213,18 +236,21 @@ def encode_and_decode(
 
         def handle(batch: pa.RecordBatch) -> pa.RecordBatch:
             texts = batch.column(1).to_pylist()
-            given = [i for i, x in enumerate(texts) if x is not None]
-            ids, parity = codec.encode([texts[i] for i in given])
-            decoded = codec.decode(ids)
-            columns: dict[str, list] = {name: [None] * len(texts) for name in _KINDS}
-            for i, tokens, back, same in zip(given, ids, decoded, parity):
-                columns["n_tokens"][i] = len(tokens)
-                columns["ids"][i] = tokens
-                columns["decoded"][i] = back
-                columns["parity"][i] = same
-                columns["round_trip"][i] = back == texts[i]
-            arrays = [pa.array(columns[name], kind) for name, kind in _KINDS.items()]
-            return pa.record_batch([batch.column(0), *arrays], ["doc_id", *_KINDS])
+            null = pa.array([x is None for x in texts], pa.bool_())
+            ids, decoded, parity = zip(*codec.code([x or "" for x in texts])) if texts else ((), (), ())
+            sizes = np.array([len(x) for x in ids], np.int64)
+            offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+            values = pa.array(np.concatenate([np.zeros(0, np.int32), *ids]), pa.int32())
+            back = pa.array([a == b for a, b in zip(decoded, texts)], pa.bool_())
+            columns = [
+                _unless(null, pa.array(sizes)),
+                pa.ListArray.from_arrays(offsets, values, mask=null),
+                _unless(null, pa.array(decoded, pa.string())),
+                _unless(null, pa.array(parity, pa.bool_())),
+                _unless(null, back),
+            ]
+            names = ["doc_id", "n_tokens", "ids", "decoded", "parity", "round_trip"]
+            return pa.record_batch([batch.column(0), *columns], names)
 
         return handle
 
@@ -233,10 +259,5 @@ def encode_and_decode(
     return map_pieces(rows, start, schema)
 
 
-_KINDS = {
-    "n_tokens": pa.int64(),
-    "ids": pa.list_(pa.int32()),
-    "decoded": pa.string(),
-    "parity": pa.bool_(),
-    "round_trip": pa.bool_(),
-}
+def _unless(null: pa.Array, values: pa.Array) -> pa.Array:
+    return pc.if_else(null, pa.scalar(None, values.type), values)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitloom.llm.batches import map_pieces
+from visitloom.llm.batches import in_python, map_pieces
 
 # Bounds of the broadcast table (at most TABLE_ROWS * LONGEST characters) and of a worker's cache.
 TABLE_ROWS = 50_000
@@ -118,7 +118,7 @@ def frequent_pieces(
         common = seen.most_common(2 * rows)
         yield pa.record_batch([[x for x, _ in common], [n for _, n in common]], ["piece", "n"])
 
-    counted = sample.mapInArrow(count, "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n"))
+    counted = in_python(sample, count, "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n"))
     top = counted.orderBy(F.desc("n"), "piece").limit(rows).select("piece")
 
     def measure() -> Callable[[pa.RecordBatch], pa.RecordBatch]:

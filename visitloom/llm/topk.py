@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from visitloom.llm.batches import arrow_rows
+from visitloom.llm.batches import arrow_rows, in_python
 from visitloom.session import through_storage
 
 BLOCK_ROWS = 16_384
@@ -147,12 +147,13 @@ def build_index(vectors: DataFrame) -> DataFrame:
             yield pack(ids, values)
 
     schema = "dimensions int, digits int, ids binary, least binary, slices binary"
-    return through_storage(vectors.mapInArrow(run, schema), "bit-slices")
+    return through_storage(in_python(vectors, run, schema), "bit-slices")
 
 
 _INDEX = pa.schema(
     [("dimensions", pa.int32()), ("digits", pa.int32()), ("ids", pa.binary()), ("least", pa.binary()), ("slices", pa.binary())]
 )
+_FOUND_SCHEMA = "query_id long, query long, vec_id long, score long"
 _FOUND = pa.schema([("query_id", pa.int64()), ("query", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
 
@@ -172,7 +173,7 @@ def top_k(index: DataFrame, queries: DataFrame, k: int = 10, query_rows: int = Q
         given = [(i, np.array(q, np.int64)) for i, q in zip(rows["vec_id"].to_pylist(), rows["q"].to_pylist())]
         shared = spark.sparkContext.broadcast(given)
         with arrow_rows(spark, 1):
-            found.append(through_storage(index.mapInArrow(_search(shared, k), "query_id long, query long, vec_id long, score long"), "best"))
+            found.append(through_storage(in_python(index, _search(shared, k), _FOUND_SCHEMA), "best"))
     best = found[0]
     for more in found[1:]:
         best = best.unionByName(more)

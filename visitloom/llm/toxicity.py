@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitloom.llm.batches import map_pieces, plain_words
+from visitloom.llm.batches import in_python, map_pieces, plain_words
 
 # Bounds of what the model is made of: labelled texts, at about this number, and terms.
 EXAMPLES = 8_000
@@ -164,7 +164,7 @@ def _count_terms(texts: DataFrame, wanted: frozenset[str] | None) -> DataFrame:
                 seen.update(terms if wanted is None else terms & wanted)
         yield pa.record_batch([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["term", "n"])
 
-    return texts.select("text").mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    return in_python(texts.select("text"), run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
 
 
 def _document_frequencies(documents: DataFrame, text: str, ids: dict[str, int]) -> tuple[np.ndarray, int]:
@@ -179,7 +179,7 @@ def _document_frequencies(documents: DataFrame, text: str, ids: dict[str, int])
         yield pa.record_batch([pa.array(np.arange(len(seen))), pa.array(seen)], ["id", "n"])
 
     found = np.zeros(len(ids) + 2, np.int64)
-    counted = documents.select(text).mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    counted = in_python(documents.select(text), run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     for row in counted.collect():  # TERMS + 2 rows
         found[row["id"]] = row["n"]
     return found[:-1], int(found[-1])

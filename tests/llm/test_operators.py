@@ -1,0 +1,276 @@
+"""Small cases of the operators: null, empty and long texts, ties, repeated rows, empty tables, other columns."""
+
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+
+from visitloom.llm import decontamination, fm_index, language_id, licenses, sentencepiece_codec, token_counts, topk, toxicity
+
+LONG = "The quick brown fox, don't jump 123 times!\n" * 5_000
+ROWS = [(1, None), (2, ""), (3, LONG), (4, "a"), (4, "a"), (None, "b c"), (None, None), (5, " \n\t "), (6, "é 中 🙂 <|endoftext|> x")]
+
+
+def by_id(df, *names):
+    return sorted((tuple(r[n] for n in ("doc_id", *names)) for r in df.collect()), key=str)
+
+
+def test_token_counts(make_documents):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tokenizer = Tokenizer.from_file(path)
+    expected = []
+    for i, text in ROWS:
+        n = len(tokenizer.encode(text or "", add_special_tokens=False).ids)
+        expected.append((i, len((text or "").encode()), n, n > 1024))
+    for sample in (0, 2, 20_000):  # the table only decides on speed
+        got = token_counts.token_counts(make_documents(*ROWS), path, sample_rows=sample)
+        assert by_id(got, "n_bytes", "n_tokens", "over_limit") == sorted(expected, key=str)
+    assert token_counts.token_counts(make_documents(), path).count() == 0
+
+
+def test_pre_tokens_are_the_librarys():
+    lengths = token_counts.PieceLengths(public_tokenizers.path("byte_bpe_50k.json"))
+    rng = random.Random(1)
+    alphabet = "ab'sSé1²ª \n\t!\x85\xa0\x1c\x00ÿ×" + "中٣🙂ĳ"
+    for size in (len(alphabet) - 4, len(alphabet)):
+        for _ in range(3000):
+            text = "".join(rng.choice(alphabet[:size]) for _ in range(rng.randrange(30)))
+            assert lengths.count(text) == len(lengths.tokenizer.encode(text, add_special_tokens=False).ids), repr(text)
+    for code in range(256):
+        text = "".join(chr(code) + x + chr(code) * 2 for x in "a1 !é")
+        assert lengths.count(text) == len(lengths.tokenizer.encode(text, add_special_tokens=False).ids)
+
+
+def test_licenses(make_documents):
+    rows = [
+        *ROWS,
+        (7, "Released under the MIT License. Under THE mit-license!"),
+        (8, "Licensed under the Apache License, Version 2.0 and under CC BY-NC 4.0"),
+        (9, "Permission is hereby granted, free of charge, to any person GETTING a copy of this software and associated "
+            "documentation files, to deal in the software without restriction"),
+        (10, "x " * 60 + "Redistribution and use in source and binary forms, with or without modification, are "
+             "permitted provided that the following conditions are met"),
+        (11, "the mit under license"), (12, "this work is licensed under a creative commons attribution 4.0 international license"),
+    ]
+    got = {r[0]: r[1:] for r in by_id(licenses.license_scan(make_documents(*rows)), "n_words", "n_base", "first_word",
+           "last_word", "base_labels", "labels", "score")}
+    assert got[7] == (9, 2, 1, 5, "mit", "mit", 1.0)
+    assert got[8] == (15, 2, 3, 10, "apache-2,cc-by-nc", "apache-2,cc-by-nc", 1.0)
+    assert got[9][4:6] == ("", "mit") and 0.95 <= got[9][6] < 1
+    assert got[10][1:6] == (0, None, None, "", "bsd") and got[10][6] == 1.0
+    assert got[1] == got[2] == (0, 0, None, None, "", "", 0.0) and got[11][4:] == got[12][4:] == ("", "", 0.0)
+    assert licenses.license_scan(make_documents()).count() == 0
+
+
+def test_set_similarity_join_is_exact():
+    rng = random.Random(2)
+    for _ in range(200):
+        alphabet = [f"w{i}".encode() for i in range(rng.randrange(4, 25))]
+        sets = [("l", frozenset(rng.sample(alphabet, rng.randrange(1, len(alphabet))))) for _ in range(6)]
+        order = {w: i for i, w in enumerate(rng.sample(alphabet, len(alphabet)))}
+        threshold = rng.choice([0.3, 0.5, 0.8, 0.95, 1.0])
+        index = licenses.TemplateIndex(sets, order, threshold)
+        block = [rng.choice([*alphabet, b"other"]) for _ in range(rng.randrange(0, 30))]
+        common = [len(words & set(block)) for _, words in sets]
+        expected = {(i, n) for i, n in enumerate(common) if n >= index.least[i]}
+        assert set(index.matches(block)) == expected
+
+
+def test_fm_index():
+    rng = np.random.default_rng(0)
+    for round_ in range(200):
+        values = rng.integers(0, 5, rng.integers(0, 70))
+        values = np.tile(values, 3) if round_ % 3 == 0 else values
+        order = fm_index.suffix_array(np.append(values, -1))
+        assert [list(values[i:]) for i in order] == sorted(list(values[i:]) for i in range(len(values) + 1))
+        index = fm_index.FMIndex(values, 5)
+        for length in (1, 2, 4):
+            patterns = rng.integers(1, 5, (10, length))
+            for pattern, first, end in zip(patterns, *index.search(patterns)):
+                places = [i for i in range(len(values) - length + 1) if (values[i : i + length] == pattern).all()]
+                assert sorted(index.locate(np.arange(first, end))) == places
+
+
+def _hits(text, items):
+    import re
+
+    def words(t):
+        return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if c.isascii() else c for c in t or ""))
+
+    doc, hit, found = words(text), set(), set()
+    for item_id, item in items:
+        w = words(item)
+        for i in range(max(len(w) - 9, min(len(w), 1))):
+            window = w[i : i + 10]
+            for p in range(len(doc) - len(window) + 1):
+                if doc[p : p + len(window)] == window:
+                    hit.update(range(p, p + len(window)))
+                    if item_id is not None:
+                        found.add(str(item_id))
+    return len(doc), hit, sorted(found)
+
+
+@pytest.mark.parametrize("block_chars", [300, 10**6])
+def test_decontamination(spark, make_documents, block_chars):
+    rng = random.Random(4)
+    vocabulary = [f"b{i}" for i in range(30)]
+    items = [(i, " ".join(rng.choice(vocabulary) for _ in range(rng.randrange(1, 30)))) for i in range(40)]
+    items += [(None, "null id item is long enough to be a window of ten words"), (99, None), (98, ""), (7, items[7][1]), (97, "one")]
+    rows = [*ROWS, (10, "x null ID item is long enough to be a window of ten words y")]
+    for i in range(100, 160):
+        parts = [" ".join(rng.choice(vocabulary + ["other"]) for _ in range(rng.randrange(30)))]
+        for _ in range(rng.randrange(3)):
+            words = rng.choice(items)[1] or ""
+            parts += [words[rng.randrange(5) :], ", ".join(rng.choice(vocabulary) for _ in range(5))]
+        rows.append((i, "\n".join(parts)))
+    benchmark = spark.createDataFrame(items, "item_id long, text string").withColumnRenamed("item_id", "id")
+    documents = make_documents(*rows)
+    found = decontamination.find_contamination(documents, benchmark, item_id="id", block_chars=block_chars)
+    got = by_id(found, "n_words", "spans", "item_ids")
+    expected = sorted(((i, *_hits(t, items)) for i, t in rows), key=lambda r: str((r[0], r[1], sorted(r[2]), r[3])))
+    actual = [(i, n, {p for s in spans for p in range(s["first"], s["end"])}, ids) for i, n, spans, ids in got]
+    assert sorted(actual, key=lambda r: str((r[0], r[1], sorted(r[2]), r[3]))) == expected
+    cleaned = decontamination.remove_contamination(documents, benchmark, item_id="id", block_chars=block_chars)
+    assert cleaned.columns == documents.columns
+    kept = {r["doc_id"]: r["text"] for r in cleaned.collect()}
+    for i, text in rows:
+        n, hit, _ = _hits(text, items)
+        if i is not None:
+            assert (i in kept) == (not hit or len(hit) < n)
+            assert not (i in kept and not hit) or kept[i] == text
+    assert decontamination.find_contamination(make_documents(), benchmark, item_id="id").count() == 0
+    empty = benchmark.where("id = -1")
+    assert {tuple(r["spans"]) for r in decontamination.find_contamination(documents, empty, item_id="id").collect()} == {()}
+
+
+def test_cut_words():
+    assert decontamination.cut_words("A, b. c d!", [(1, 3)]) == "A,  d!"
+    assert decontamination.cut_words("a b", [(0, 2)]) == ""
+
+
+def test_languages(make_documents):
+    rows = [(i, t) for i, t in enumerate(["the cat and the dog", "the house of the rising sun"] * 20)]
+    train = make_documents(*rows).unionByName(
+        make_documents(*[(i, t) for i, t in enumerate(["der hund und die katze", "das haus und der garten"] * 20)])
+        .withColumn("lang", __import__("pyspark").sql.functions.lit("de"))
+    )
+    model = language_id.fit_languages(train)
+    assert model.languages == ["de", "en"]
+    got = by_id(language_id.identify_languages(make_documents(*ROWS, (20, "der garten"), (21, "the dog"), (22, "12 !?")).drop("score"), model), "lang_pred", "score")
+    found = {i: (lang, s) for i, lang, s in got if i is not None}
+    assert found[20][0] == "de" and found[21][0] == "en" and found[22] == found[1] == found[2] == found[5] == ("und", 0.0)
+    assert all(0 <= s <= 1 for _, _, s in got) and len(got) == len(ROWS) + 3
+    nothing = language_id.fit_languages(make_documents())
+    assert {r["lang_pred"] for r in language_id.identify_languages(make_documents(*ROWS).drop("score"), nothing).collect()} == {"und"}
+    assert language_id.identify_languages(make_documents().drop("score"), model).count() == 0
+    with pytest.raises(ValueError):
+        language_id.identify_languages(make_documents(*ROWS), model)
+
+
+def test_codec(make_documents):
+    import sentencepiece
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    original = sentencepiece.SentencePieceProcessor(model_file=path)
+    rng = random.Random(3)
+    alphabet = "aab \n\t é中🙂▁<s>12 the\x00"
+    rows = [*ROWS, *((i, "".join(rng.choice(alphabet) for _ in range(rng.randrange(30)))) for i in range(100, 400))]
+    rows += [(50, " "), (51, "   "), (52, "a "), (53, " a"), (54, "▁"), (55, "a" * 3000), (56, " " * 40 + "x")]
+    got = by_id(sentencepiece_codec.encode_and_decode(make_documents(*rows), path), "ids", "n_tokens", "decoded", "parity", "round_trip")
+    expected = []
+    for i, text in rows:
+        ids = None if text is None else original.encode(text)
+        back = None if text is None else text.replace("▁", " ")
+        expected.append((i, ids, None if ids is None else len(ids), back, None if ids is None else True, None if text is None else back == text))
+    assert got == sorted(expected, key=str)
+    assert sentencepiece_codec.encode_and_decode(make_documents(), path).count() == 0
+
+
+def test_unigram_model_is_rebuilt():
+    """A unigram model written by hand as a protocol buffer: scores decide, bytes stand for the rest."""
+    import sentencepiece
+
+    def field(number, kind, data):
+        return bytes([number << 3 | kind]) + data
+
+    def message(number, data):
+        size, head = len(data), b""
+        while size > 127:
+            head += bytes([size & 127 | 128])
+            size >>= 7
+        return field(number, 2, head + bytes([size]) + data)
+
+    pieces = [("<unk>", 0.0, 2), ("<s>", 0.0, 3), ("</s>", 0.0, 3), *((f"<0x{b:02X}>", 0.0, 6) for b in range(256))]
+    pieces += [("▁", -2.0, 1), ("▁ab", -1.5, 1), ("a", -3.0, 1), ("b", -3.0, 1), ("abc", -2.5, 1), ("c", -4.0, 1)]
+    data = b"".join(
+        message(1, message(1, t.encode()) + field(2, 5, np.float32(s).tobytes()) + field(3, 0, bytes([k]))) for t, s, k in pieces
+    )
+    data += message(2, field(3, 0, b"\x01") + b"\x98\x02\x01") + message(3, message(1, b"identity") + field(4, 0, b"\x00"))
+    original = sentencepiece.SentencePieceProcessor(model_proto=data)
+    own = sentencepiece_codec.build_tokenizer(sentencepiece_codec.parse_model(data))
+    for text in ("ab abc c", "abcabc", "b  a", "ab é"):
+        assert own.encode(text, add_special_tokens=False).ids == original.encode(text)
+        assert own.decode(original.encode(text)) == text
+
+
+@pytest.mark.parametrize("query_rows", [2, 100])
+def test_top_k(spark, monkeypatch, query_rows):
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 37)
+    rng = random.Random(6)
+    rows = [(i, [rng.choice([-1.5, -0.25, 0.0, 0.5, 0.001, 2.0]) for _ in range(5)]) for i in range(200)]
+    rows += [(i, rows[7][1]) for i in range(300, 330)]  # ties
+    rows += [(400, [0.0] * 5), (500, [1.0, 2.0]), (600, []), (601, []), (700, None), (800, [None] * 5), (900, [float("nan")] * 5)]
+    rows += [(1000, [float("inf")] * 5), (None, [1.0] * 5), (100, rows[100][1]), (7, rows[7][1])]
+    vectors = topk.quantised(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    index = topk.build_index(vectors)
+    got = topk.top_k(index, vectors.where("vec_id % 100 = 0"), 10, query_rows).collect()
+    import math
+
+    valid = [(i, [math.floor(1024 * x) for x in v]) for i, v in rows if i is not None and v is not None
+             and all(x is not None and math.isfinite(x) for x in v)]
+    expected = []
+    for q, v in {(i, tuple(v)) for i, v in valid if i % 100 == 0}:
+        scored = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in valid if i != q and len(w) == len(v))
+        expected += [(q, rank, i, -s) for rank, (s, i) in enumerate(scored[:10], 1)]
+    assert sorted(map(tuple, got)) == sorted(expected)
+    none = vectors.where("vec_id = -1")
+    assert topk.top_k(topk.build_index(none), vectors, 10).count() == 0 and topk.top_k(index, none, 10).count() == 0
+
+
+def test_nearest_entries_are_exact():
+    rng = random.Random(8)
+    vectors = []
+    for i in range(400):
+        terms = np.array(sorted(rng.sample(range(40), rng.randrange(1, 6))))
+        weights = np.array([rng.random() for _ in terms])
+        vectors.append((i, i % 2, terms, weights / np.linalg.norm(weights)))
+    entries = toxicity._build_entries(vectors, 41)
+    dense = np.zeros((len(entries.ids), 41))
+    for term, (numbers, values) in enumerate(entries.postings):
+        dense[numbers, term] = values
+    for _, _, terms, weights in vectors[:150]:
+        found, cosines = entries.nearest(terms, weights, 10)
+        exact = np.sort(dense[:, terms] @ weights)[::-1][:10]
+        assert np.allclose(cosines, exact[exact > 0][: len(cosines)]) and len(cosines) == (exact > 0).sum()
+
+
+def test_toxicity(spark, make_documents):
+    rng = random.Random(9)
+    rows = []
+    for i in range(200):
+        words = [f"w{rng.randrange(200)}" for _ in range(30)]
+        rows.append((i, " ".join(words + (["scoundrel", "villain"] if i % 5 == 0 else [])), int(i % 5 == 0)))
+    examples = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit_toxicity(examples.select("doc_id", "text"), examples)
+    documents = make_documents(*ROWS, (20, "w1 w2 you scoundrel you villain w5"), (21, "w1 w2 w3 w4"))
+    got = {r["doc_id"]: r for r in toxicity.score_toxicity(documents, model).collect()}
+    assert got[20]["predicted"] == 1 and got[20]["evidence"][0]["toxic"] > 0.5
+    assert all(got[i]["predicted"] == 0 for i in (1, 2, 3, 4, 5, 21)) and got[1]["score"] == got[2]["score"]
+    none = toxicity.fit_toxicity(make_documents(), examples.where("doc_id = -1"))
+    assert {r["score"] for r in toxicity.score_toxicity(documents, none).collect()} == {0.0}
+    clean = toxicity.fit_toxicity(examples.select("doc_id", "text"), examples.where("toxic = 0"))
+    assert {r["predicted"] for r in toxicity.score_toxicity(documents, clean).collect()} == {0}
+    assert toxicity.score_toxicity(make_documents(), model).count() == 0

@@ -41,7 +41,7 @@ def test_an_id_counts_as_often_as_listed(make_actions):
 
 def test_top_sessions(ranked_actions):
     top = categories.top_categories(categories.category_counts(ranked_actions), 2)
-    got = sorted(map(tuple, categories.top_sessions(ranked_actions, top, 2, 2).collect()))
+    got = sorted(map(tuple, categories.top_sessions(ranked_actions, top, 2).collect()))
     assert got == [(1, "s0", 3), (1, "s1", 2), (2, "s0", 3), (2, "s1", 2)]
 
 
@@ -54,15 +54,40 @@ def test_ties_are_broken_by_session(make_actions):
     assert got == [f"s{i:02d}" for i in range(10)]
 
 
-def test_long_tops_are_cut_by_salt_first(make_actions, monkeypatch):
+def test_long_tops(make_actions):
     actions = make_actions(
         *({"session_id": f"s{i % 150}", "action_time": _time(i), "click_category_id": i % 2} for i in range(500))
     )
     top = categories.top_categories(categories.category_counts(actions))
-    expected = set(map(tuple, categories.top_sessions(actions, top, n=40).collect()))
-    monkeypatch.setattr(categories, "CUT_BEFORE_SHUFFLE", 10)
-    assert set(map(tuple, categories.top_sessions(actions, top, n=40).collect())) == expected
-    assert len(expected) == 80
+    rows = sorted(map(tuple, categories.top_sessions(actions, top, n=40).collect()))
+    counts = Counter((i % 2, f"s{i % 150}") for i in range(500))
+    expected = [
+        (c, s, n)
+        for c in (0, 1)
+        for n, s in sorted((-n, s) for (k, s), n in counts.items() if k == c)[:40]
+        for n in [-n]
+    ]
+    assert rows == sorted(expected)
+
+
+def test_one_plan_for_any_length(make_actions):
+    actions = make_actions({"session_id": "a", "action_time": _time(1), "click_category_id": 1})
+    top = categories.top_categories(categories.category_counts(actions))
+
+    def shape(n):
+        plan = categories.top_sessions(actions, top, n)._jdf.queryExecution().analyzed().toString()
+        return [line.strip(" +-:").split()[0] for line in plan.splitlines()]
+
+    assert shape(5) == shape(5000)
+
+
+def test_no_broadcast_by_argument(spark, make_actions):
+    actions = make_actions({"session_id": "a", "action_time": _time(1), "click_category_id": 1})
+    many = spark.range(10_000_000).select(F.col("id").alias("category_id"))
+    sample = spark.range(10_000_000).select(F.col("id").cast("string").alias("session_id"))
+    for df in (categories.clicks_in_categories(actions, many), sampling.sampled_details(actions, sample)):
+        assert "strategy=broadcast" not in df._jdf.queryExecution().analyzed().toString().lower()
+        assert "hint" not in df._jdf.queryExecution().logical().toString().lower()
 
 
 @pytest.fixture

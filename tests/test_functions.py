@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from visitloom.functions import numbers, texts, times
 
 RECORD = (
-    "sessionId=bf2f62bab0fa46ab80f8cca29d2a0b4d|searchKeywords=|clickCategoryIds=23,24|visitLength=2653|"
-    "stepLength=6|startTime=2020-01-10 16:12:48"
+    "sessionId=c0ffee|searchKeywords=|clickCategoryIds=5,81|visitLength=77|"
+    "stepLength=6|startTime=2024-03-05 07:08:09"
 )
 
 
@@ -24,10 +24,10 @@ def one(spark):
 @pytest.mark.parametrize(
     "field,expected",
     [
-        ("sessionId", "bf2f62bab0fa46ab80f8cca29d2a0b4d"),
+        ("sessionId", "c0ffee"),
         ("searchKeywords", None),
-        ("clickCategoryIds", "23,24"),
-        ("startTime", "2020-01-10 16:12:48"),
+        ("clickCategoryIds", "5,81"),
+        ("startTime", "2024-03-05 07:08:09"),
         ("age", None),
     ],
 )
@@ -156,3 +156,9 @@ def test_round_half_up(spark):
     df = spark.createDataFrame([(0.125,), (2.5,), (-2.5,), (6.55,)], "x double")
     assert [r[0] for r in df.select(numbers.round_half_up(F.col("x"), 2)).collect()] == [0.13, 2.5, -2.5, 6.55]
     assert [r[0] for r in df.select(numbers.round_half_up(F.col("x"), 0)).collect()] == [0.0, 3.0, -3.0, 7.0]
+
+
+def test_round_of_large_values_and_nan(spark):
+    df = spark.createDataFrame([(1e21,), (float("nan"),), (None,)], "x double")
+    large, nan, null = (r[0] for r in df.select(numbers.round_half_up(F.col("x"), 2)).collect())
+    assert large == 1e21 and nan != nan and null is None

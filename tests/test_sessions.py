@@ -1,9 +1,11 @@
+
 from collections import defaultdict
 
 import pytest
 
 from visitloom.operators.predicates import date_range
 from visitloom.operators.sessions import (
+    session_values,
     select_sessions,
     session_counts,
     session_records,
@@ -102,40 +104,62 @@ def test_wide_lists_split_before_dedupe(make_actions):
     assert (row["page_ids"], row["actions"], row["search_keywords"]) == (["4", "30"], ["order", "pay"], [])
 
 
+@pytest.fixture(scope="module")
+def hot_session(spark):
+    """100,001 actions of one session with 5 keywords and 7 categories, and another session."""
+    from pyspark.sql import functions as F
+
+    from visitloom.schemas import USER_VISIT_ACTION
+    from visitloom.sources.tables import typed_by_name
+
+    n = F.col("id")
+    hot = n < 100_001
+    rows = spark.range(100_011).select(
+        F.when(hot, "hot").otherwise("small").alias("session_id"),
+        F.lit("2024-01-10").alias("date"),
+        F.lit(1).alias("user_id"),
+        F.lit("2024-01-10 08:00:00").alias("action_time"),
+        F.concat(F.lit("kw"), n % 5).alias("search_keyword"),
+        (n % 7).alias("click_category_id"),
+    )
+    return typed_by_name(rows, USER_VISIT_ACTION)
+
+
 @pytest.mark.parametrize("records", [session_records, wide_session_records])
-def test_large_sessions_come_in_parts_and_stay_whole(make_actions, records):
-    rows = [
-        {
-            "session_id": "large" if i % 3 == 0 else f"s{i % 20}",
-            "action_time": at(i),
-            "search_keyword": f"k{i}" if i % 2 else None,
-            "click_category_id": None if i % 2 else i % 40,
-            "order_category_ids": f"{i},{i % 7}",
-        }
-        for i in range(600)
-    ]
-    rows += [{"session_id": None, "action_time": at(i), "click_category_id": i} for i in range(70)]
-    actions = make_actions(*rows)
-    whole = {r["session_id"]: r.asDict() for r in records(actions).collect()}
-    parts = records(actions, part_rows=50).collect()
-    assert {r["session_id"] for r in parts if r["list_part"] > 0} == {"large", None}
-    merged = defaultdict(lambda: defaultdict(list))
-    for row in parts:
-        for name, value in row.asDict().items():
-            if isinstance(value, list):
-                assert len(value) < 200
-                merged[row["session_id"]][name] += value
-            elif name != "list_part":
-                assert value == whole[row["session_id"]][name]
-    for session, lists in merged.items():
-        for name, values in lists.items():
-            assert sorted(values) == sorted(whole[session][name])
-    assert set(merged) == set(whole)
-
-
-def test_a_large_session_without_values_is_kept(make_actions):
+def test_one_row_for_a_session_of_any_size(hot_session, records):
+    rows = {r["session_id"]: r for r in records(hot_session).collect()}
+    assert set(rows) == {"hot", "small"}
+    assert rows["hot"]["search_keywords"] == [f"kw{i}" for i in range(5)]
+    assert rows["hot"]["click_category_ids"] == [str(i) for i in range(7)]
+    assert rows["hot"]["step_length"] == 100_001
+
+
+def test_values_as_rows(hot_session):
+    values = session_values(hot_session).where("session_id = 'hot'").collect()
+    assert sorted((r["list"], r["value"]) for r in values) == sorted(
+        [("search_keywords", f"kw{i}") for i in range(5)] + [("click_category_ids", str(i)) for i in range(7)]
+    )
+
+
+def test_values_are_those_of_the_records(make_actions):
+    actions = make_actions(
+        {"session_id": "a", "action_time": at(0), "order_category_ids": "3,12,1", "page_id": 4, "action": "order"},
+        {"session_id": "a", "action_time": at(1), "order_category_ids": "1,2,", "page_id": 4, "action": "order"},
+        {"session_id": None, "action_time": at(2), "search_keyword": "x"},
+    )
+    listed = {
+        (r["session_id"], name, v)
+        for r in wide_session_records(actions).collect()
+        for name, values in r.asDict().items()
+        if isinstance(values, list)
+        for v in values
+    }
+    assert {tuple(r) for r in session_values(actions).collect()} == listed
+
+
+def test_a_session_without_values_is_kept(make_actions):
     actions = make_actions(*({"session_id": "a", "action_time": at(i)} for i in range(20)))
-    assert session_records(actions, part_rows=5).collect() == [("a", 1, at(0), at(19), 19, 20, 0, [], [])]
+    assert session_records(actions).collect() == [("a", 1, at(0), at(19), 19, 20, [], [])]
 
 
 def _two_users(make_users):

@@ -40,25 +40,26 @@ def distinct_rows(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def _paged(values: DataFrame, keys: Sequence[str], lists: Sequence[str], page_rows: int) -> DataFrame:
-    """(…keys, page, …lists) of rows (…keys, list, value).
+    """(…keys, page, …lists) of rows (…keys, list, a column of each list's name).
 
-    Equal rows are counted first, so that no value is hot; each then knows the pages it is on.
+    A row belongs to the list it names, with the value in that column; the others are NULL. Equal rows are
+    counted first, so that no value is hot; each then knows the pages it is on.
     """
-    counted = values.groupBy(*keys, "list", "value").agg(F.count(F.lit(1)).alias("n"))
-    placed = with_starts(counted, [*keys, "list"], [F.asc_nulls_first("value")], "n")
+    counted = values.groupBy(*keys, "list", *lists).agg(F.count(F.lit(1)).alias("n"))
+    placed = with_starts(counted, [*keys, "list"], [F.asc_nulls_first(name) for name in lists], "n")
     pages = F.expr(f"explode(sequence((start - 1) div {page_rows}, (start + n - 2) div {page_rows}))")
     on_page = f"least(start + n, (page + 1) * {page_rows} + 1) - greatest(start, page * {page_rows} + 1)"
     spread = placed.withColumn("page", pages).withColumn("copies", F.expr(f"CAST({on_page} AS int)"))
 
     def listed(name: str) -> Column:
-        mine = F.collect_list(F.when(F.col("list") == name, F.struct("start", "value", "copies")))
+        mine = F.collect_list(F.when(F.col("list") == name, F.struct("start", F.col(name).alias("value"), "copies")))
         return F.flatten(F.transform(F.array_sort(mine), lambda s: F.array_repeat(s["value"], s["copies"]))).alias(name)
 
     return spread.groupBy(*keys, "page").agg(*(listed(name) for name in lists))
 
 
 def _listed(df: DataFrame, keys: Sequence[str], name: str, value: str) -> DataFrame:
-    return df.select(*keys, F.lit(name).alias("list"), F.col(value).alias("value"))
+    return df.select(*keys, F.lit(name).alias("list"), F.col(value).alias(name))
 
 
 def values_by_key(df: DataFrame, key: str, value: str, page_rows: int = PAGE_ROWS) -> DataFrame:
@@ -75,8 +76,8 @@ def cogroup(left: DataFrame, right: DataFrame, key: str, page_rows: int = PAGE_R
     sides = []
     for df, name in zip((left, right), names, strict=True):
         value = next(c for c in df.columns if c != key)
-        sides.append(_listed(df.withColumn(value, F.col(value).cast("string")), [key], name, value))
-    return _paged(sides[0].unionByName(sides[1]), [key], names, page_rows)
+        sides.append(_listed(df, [key], name, value))
+    return _paged(sides[0].unionByName(sides[1], allowMissingColumns=True), [key], names, page_rows)
 
 
 def all_values(df: DataFrame, value: str, page_rows: int = PAGE_ROWS) -> DataFrame:

@@ -19,9 +19,6 @@ from visitloom.llm.near_dedup import without_near_duplicates
 from visitloom.llm.sentencepiece_codec import encode_and_decode
 from visitloom.session import through_storage
 
-# Posterior probability below which the language of a document is not known.
-LEAST_LANGUAGE_SCORE = 0.5
-
 #: Not all stages can be written in SQL.
 ORACLE_SQL = None
 
@@ -35,17 +32,17 @@ def _counted(docs: DataFrame) -> DataFrame:
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of a known language. Those whose text is null or has no letter go, and those of an unsure language.
+    """Documents of a language. Those without one go: their text is null or has no letter.
 
-    The languages are learned from the labelled documents that are not held out; where there are none, only the
-    letters are looked at.
+    A short text of an unsure language stays. The languages are learned from the labelled documents that are not held
+    out; where there are none, only the letters are looked at.
     """
     model = fit_languages(docs.where(~held_out("doc_id")))
     lang_pred, score = free_name(docs, "lang_pred"), free_name(docs, "lang_score")
     found = identify_languages(docs, model, lang_pred=lang_pred, score=score)
     if not model.languages:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    return found.where((F.col(lang_pred) != UNKNOWN) & (F.col(score) >= LEAST_LANGUAGE_SCORE)).drop(lang_pred, score)
+    return found.where(F.col(lang_pred) != UNKNOWN).drop(lang_pred, score)
 
 
 def unique_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

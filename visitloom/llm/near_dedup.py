@@ -28,7 +28,7 @@ SHINGLE = 5
 PERCENT = 75  # least similarity
 BANDS, BAND_ROWS = 32, 4  # a pair at 0.75 shares no band with probability 5e-6
 HASHES = BANDS * BAND_ROWS
-LONG = 512  # values of the signatures of those in buckets that stay open
+LONG = 1024  # values of the signatures of those in buckets that stay open
 BATCH = 16  # signature values compared at a time
 MISS = 1e-6
 # Members of a block, on average; how large a bucket is does not matter.

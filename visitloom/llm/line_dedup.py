@@ -20,14 +20,17 @@ LEAST_WORDS = 10
 # A position is doc_id * LINES + line number, as a decimal of 38 digits.
 LINES = 10**12
 
-_WORDS = r"split(btrim(translate(line, '\t\r\u000b\u000c', '    ')), ' +')"
+# White space within a line becomes single blanks; texts that have no other are the common case.
+_OTHER_SPACE = " OR ".join(rf"contains(text, '{c}')" for c in (r"\t", r"\r", r"\u000b", r"\u000c", "  "))
+_LINE = r"""btrim(CASE WHEN other_space THEN regexp_replace(line, '[ \t\r\u000b\u000c]+', ' ') ELSE line END)"""
 
 
 def _lines(documents: DataFrame) -> DataFrame:
-    """(doc_id, row_key, line_no, position, words) of all lines but blank ones."""
-    lines = documents.select("doc_id", "row_key", F.expr(r"posexplode(split(text, '\n')) AS (line_no, line)"))
-    lines = lines.select("doc_id", "row_key", "line_no", F.expr(f"{_WORDS} AS words"))
-    return lines.where("words[0] <> ''").withColumn("position", F.expr(_position("doc_id", "line_no")))
+    """(doc_id, row_key, line_no, position, line) of all lines but blank ones."""
+    texts = documents.select("doc_id", "row_key", "text", F.expr(f"{_OTHER_SPACE} AS other_space"))
+    lines = texts.select("doc_id", "row_key", "other_space", F.expr(r"posexplode(split(text, '\n')) AS (line_no, line)"))
+    lines = lines.select("doc_id", "row_key", "line_no", F.expr(f"{_LINE} AS line"))
+    return lines.where("line <> ''").withColumn("position", F.expr(_position("doc_id", "line_no")))
 
 
 def _position(doc_id: str, line_no: str) -> str:
@@ -40,14 +43,13 @@ def _anchor_length(n: str) -> str:
 
 
 def _anchor(side: str, length: str) -> str:
-    part = f"slice(words, 1, {length})" if side == "first" else f"slice(words, n - {length} + 1, {length})"
-    return f"xxhash64('{side}', {part})"
+    return f"xxhash64('{side}', substring_index(line, ' ', {length if side == 'first' else f'-({length})'}))"
 
 
 def _distinct_lines(documents: DataFrame) -> DataFrame:
     """(k1, k2, first position, row_key there, last position, n words, anchors) of each distinct line."""
     long, second = f"n >= {LEAST_WORDS}", f"n > {LEAST_WORDS} AND {_anchor_length('n')} <> {_anchor_length('(n - 1)')}"
-    lines = _lines(documents).withColumn("n", F.size("words"))
+    lines = _lines(documents).withColumn("n", F.expr("octet_length(line) - octet_length(replace(line, ' ', '')) + 1"))
     anchors = [
         F.expr(f"CASE WHEN {condition} THEN {_anchor(side, _anchor_length(n))} END AS {name}")
         for name, side, condition, n in (
@@ -67,7 +69,7 @@ def _distinct_lines(documents: DataFrame) -> DataFrame:
 
 
 def _line_keys() -> list[Column]:
-    return [F.expr("xxhash64(words) AS k1"), F.expr("xxhash64(1, words) AS k2")]
+    return [F.expr("xxhash64(line) AS k1"), F.expr("xxhash64(1, line) AS k2")]
 
 
 def _wanted_keys(distinct: DataFrame) -> DataFrame:
@@ -197,10 +199,10 @@ def dedup_lines(documents: DataFrame, doc_id: str = "doc_id", text: str = "text"
     )
     lines = (
         dealt.join(by_doc, "doc_id")
-        .select("row_key", F.explode("wanted").alias("w"), F.expr(r"split(text, '\n') AS all_lines"))
+        .select("row_key", F.explode("wanted").alias("w"), F.expr(r"split(text, '\n') AS lines"), F.expr(f"{_OTHER_SPACE} AS other_space"))
         .where("row_key = w.row_key")
-        .select("w.*", F.expr(f"all_lines[CAST(pmod(w.position, {LINES}L) AS int)] AS line"))
-        .select("position", "row_key", *flags, F.expr(f"{_WORDS} AS words"))
+        .select("w.*", "other_space", F.expr(f"lines[CAST(pmod(w.position, {LINES}L) AS int)] AS line"))
+        .select("position", "row_key", *flags, F.expr(f"split({_LINE}, ' ') AS words"))
     )
     near = _near_removed(lines).select(F.col("position").alias("first"), "row_key", F.lit(True).alias("near"))
     gone = distinct.select("k1", "k2", "first", "last", "row_key").join(near, ["first", "row_key"], "left")

@@ -288,13 +288,13 @@ ORACLE: dict[str, str] = {
     "customers_with_orders": """SELECT c_custkey AS key, c_name, o_orderkey, o_totalprice
         FROM customer JOIN orders ON c_custkey = o_custkey""",
     "customers_cogrouped_with_orders": """
-        WITH l AS (SELECT c_custkey + 10 AS key, CAST(c_name AS VARCHAR) AS v FROM customer),
-        r AS (SELECT o_custkey AS key, CAST(o_orderkey AS VARCHAR) AS v FROM orders),
-        placed AS (
-          SELECT 'l' AS side, key, v, (row_number() OVER (PARTITION BY key ORDER BY v) - 1) // 3 AS page FROM l
-          UNION ALL SELECT 'r', key, v, (row_number() OVER (PARTITION BY key ORDER BY v) - 1) // 3 FROM r)
-        SELECT key, page, coalesce(string_agg(v, ',' ORDER BY v) FILTER (WHERE side = 'l'), '') AS left_values,
-          coalesce(string_agg(v, ',' ORDER BY v) FILTER (WHERE side = 'r'), '') AS right_values
+        WITH placed AS (
+          SELECT c_custkey + 10 AS key, c_name AS l, NULL AS r,
+            (row_number() OVER (PARTITION BY c_custkey ORDER BY c_name) - 1) // 3 AS page FROM customer
+          UNION ALL SELECT o_custkey, NULL, o_orderkey,
+            (row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) // 3 FROM orders)
+        SELECT key, page, coalesce(string_agg(l, ',' ORDER BY l), '') AS left_values,
+          coalesce(string_agg(CAST(r AS VARCHAR), ',' ORDER BY r), '') AS right_values
         FROM placed GROUP BY key, page""",
     "customers_joined_with_themselves": """SELECT coalesce(a.c_custkey, b.c_custkey + 10) AS key, a.c_acctbal AS left_value,
         b.c_acctbal AS right_value FROM customer a FULL JOIN customer b ON a.c_custkey = b.c_custkey + 10""",

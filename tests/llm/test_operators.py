@@ -274,3 +274,21 @@ def test_toxicity(spark, make_documents):
     clean = toxicity.fit_toxicity(examples.select("doc_id", "text"), examples.where("toxic = 0"))
     assert {r["predicted"] for r in toxicity.score_toxicity(documents, clean).collect()} == {0}
     assert toxicity.score_toxicity(make_documents(), model).count() == 0
+
+
+def _labelled(spark, *more):
+    rng = random.Random(12)
+    rows = [(i, " ".join(f"w{rng.randrange(80)}" for _ in range(12)) + (" villain" if i % 5 == 0 else ""), int(i % 5 == 0))
+            for i in range(200)]
+    return spark.createDataFrame([*rows, *more], "doc_id long, text string, toxic int")
+
+
+def test_toxicity_compares_all_words(spark, make_documents):
+    examples = _labelled(spark, (900, "zig zag zog w1 w2", 1), (901, "plum pear fig w1 w2", 0))
+    model = toxicity.fit_toxicity(examples.select("doc_id", "text"), examples)
+    words = {w.encode() for r in examples.collect() for w in r["text"].split()}
+    assert set(model.ids) == words and (model.weights > 0).all()
+    documents = make_documents((1, "w2 zog zag zig"), (2, "w2 fig pear plum"), (3, "w1 w2 w3"))
+    got = {r["doc_id"]: r["evidence"][0] for r in toxicity.score_toxicity(documents, model).collect()}
+    assert (got[1]["doc_id"], got[1]["toxic"]) == (900, 1.0) and (got[2]["doc_id"], got[2]["toxic"]) == (901, 0.0)
+    assert got[3]["doc_id"] not in (900, 901)

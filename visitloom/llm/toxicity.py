@@ -1,65 +1,43 @@
 """Toxicity: nearest labelled examples by exact TF-IDF cosine.
 
-Terms are words and beginnings of words that labelled toxic texts hold more often than others, and one term for all
-words without such a term, which carries the length. Document frequencies are of all documents. Examples with the same
-vector are one entry with its numbers of texts and of toxic ones. Entries are held in an inverted index whose blocks
-know the largest weight of each term: blocks are scored in the order of their bounds until none can hold a nearer entry.
-The nearest entries vote by distance, and votes are calibrated by those that each example gets from the others.
+Terms are all words of the examples. Document frequencies are of all documents; a word that labelled toxic texts hold
+more often than others weighs more, none is left out. A word of no example adds to the length of a text. Examples with
+the same vector are one entry with its numbers of texts and of toxic ones. Entries are held in an inverted index. The
+words of few entries are added up first; those of many entries are bounded by blocks of entries, which know the largest
+weight of each such word, and by the length of each entry's part of such words. Only entries whose bound reaches the
+nearest ones found are added up in full. The nearest entries vote by distance, and votes are calibrated by those that
+each example gets from the others.
 """
 
 from __future__ import annotations
 
-import math
 from collections import Counter
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
-from itertools import chain
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from visitloom.llm.batches import in_python, map_pieces, plain_words
 
-# Bounds of what the model is made of: labelled texts, at about this number, and terms.
+# Labelled texts, at about this number, of which the model is made.
 EXAMPLES = 8_000
-CANDIDATES = 50_000
-TERMS = 2_000
-LEAST_TEXTS = 3
-LEAST_RATIO = 20.0  # log-likelihood ratio from which a term is taken
-PREFIXES = range(3, 9)
+# A word weighs 1 + CLASS_WEIGHT * sqrt(log-likelihood ratio above LEAST_RATIO) times as much if toxic texts favour it.
+CLASS_WEIGHT = 3.0
+LEAST_RATIO = 8.0
 NEIGHBOURS = 15
 BLOCK = 32
-BLOCKS_AT_ONCE = 8
+# Terms of more than one in so many entries are bounded before they are added up.
+COMMON = 64
+# Work of a weight looked up by its entry, in weights of postings.
+FORWARD = 3
 THRESHOLD = 0.3
-_CACHED = 300_000
 EVIDENCE = 3
 
 
-def word_terms(word: bytes) -> list[str]:
-    """The word, and its beginnings with a star."""
-    text = word.decode()
-    return [text, *(text[:n] + "*" for n in PREFIXES if n < len(text))]
-
-
-class _TermIds(dict):
-    """The known terms of a word, as ids; the last id stands for a word without one."""
-
-    def __init__(self, ids: dict[str, int]):
-        self.ids, self.rest = ids, (len(ids),)
-
-    def __missing__(self, word: bytes) -> tuple[int, ...]:
-        if len(self) >= _CACHED:
-            self.clear()
-        found = tuple(self.ids[t] for t in word_terms(word) if t in self.ids) or self.rest
-        self[word] = found
-        return found
-
-    def counts(self, text: str | None) -> Counter:
-        return Counter(chain.from_iterable(map(self.__getitem__, plain_words(text))))
-
-
 @dataclass(frozen=True)
 class Entries:
     """Distinct unit vectors of examples: (first doc_id, texts, toxic texts), and the index."""
@@ -67,56 +45,96 @@ class Entries:
     ids: np.ndarray
     texts: np.ndarray
     toxic: np.ndarray
-    postings: list[tuple[np.ndarray, np.ndarray]]  # by term: entries in order, weights
-    block_most: np.ndarray  # terms x blocks
+    starts: np.ndarray  # by term: where its postings start
+    numbers: np.ndarray  # postings: entries in order, weights
+    values: np.ndarray
+    common: np.ndarray  # by term: its number among the common ones, or -1
+    block_most: np.ndarray  # common terms x blocks
+    common_lengths: np.ndarray  # by entry: the length of its part of common terms, and that part
+    common_starts: np.ndarray
+    common_terms: np.ndarray
+    common_values: np.ndarray
+
+    @property
+    def postings(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        """By term: entries in order, weights."""
+        return list(zip(np.split(self.numbers, self.starts[1:-1]), np.split(self.values, self.starts[1:-1])))
+
+    def _summed(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """What the terms give to each entry."""
+        if not len(terms):
+            return np.zeros(len(self.ids))
+        first, end = self.starts[terms], self.starts[terms + 1]
+        places = list(zip(first.tolist(), end.tolist()))
+        numbers = np.concatenate([self.numbers[a:b] for a, b in places])
+        values = np.concatenate([self.values[a:b] for a, b in places])
+        return np.bincount(numbers, values * np.repeat(weights, end - first), minlength=len(self.ids))
+
+    def _common_part(self, entries: np.ndarray, dense: np.ndarray) -> np.ndarray:
+        """What the common terms give to some entries."""
+        first = self.common_starts[entries]
+        lengths = self.common_starts[entries + 1] - first
+        at = np.repeat(first - np.append(0, np.cumsum(lengths)[:-1]), lengths) + np.arange(lengths.sum())
+        given = dense[self.common_terms[at]] * self.common_values[at]
+        return np.bincount(np.repeat(np.arange(len(entries)), lengths), given, minlength=len(entries))
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The k entries of the largest cosine above 0, ties to the earlier entry: numbers and cosines."""
         if not len(self.ids) or not len(terms):
             return np.zeros(0, np.int64), np.zeros(0)
-        bounds = weights @ self.block_most[terms]
-        order = np.argsort(-bounds, kind="stable")
-        scores, done = np.zeros(len(self.ids)), 0
-        flags = np.zeros(len(bounds), bool)
-        while done < len(order) and bounds[order[done]] > 0:
-            if done:
-                kth = np.partition(scores, -k)[-k] if len(scores) > k else 0.0
+        place = self.common[terms]
+        rare = place < 0
+        scores = self._summed(terms[rare], weights[rare])
+        entries = np.arange(len(scores))
+        if not rare.all():
+            held, given = place[~rare], weights[~rare]
+            blocks = np.repeat(given @ self.block_most[held], BLOCK)[: len(scores)]
+            bounds = scores + np.minimum(blocks, np.linalg.norm(given) * self.common_lengths)
+            dense = np.zeros(len(self.block_most))
+            dense[held] = given
+            if len(scores) > k:
+                likely = np.argpartition(-bounds, k - 1)[:k]
+                kth = (scores[likely] + self._common_part(likely, dense)).min()
                 # A bound is a float sum too: what is equal within rounding is still scored.
-                if bounds[order[done]] * (1 + 1e-9) < kth:
-                    break
-            flags[:] = False
-            flags[order[done : done + BLOCKS_AT_ONCE]] = True
-            for term, weight in zip(terms, weights):
-                entries, values = self.postings[term]
-                inside = flags[entries // BLOCK]
-                scores[entries[inside]] += weight * values[inside]
-            done += BLOCKS_AT_ONCE
-        best = np.lexsort((np.arange(len(scores)), -scores))[:k]
+                entries = np.flatnonzero(bounds * (1 + 1e-9) + 1e-12 >= kth)
+            # The entries left are added up one by one, or all by the postings if that is less work.
+            of_entries = (self.common_starts[entries + 1] - self.common_starts[entries]).sum()
+            if FORWARD * of_entries < (self.starts[terms + 1] - self.starts[terms])[~rare].sum():
+                scores = scores[entries] + self._common_part(entries, dense)
+            else:
+                scores = (scores + self._summed(terms[~rare], given))[entries]
+        if len(scores) > k:
+            inside = np.flatnonzero(scores >= np.partition(scores, -k)[-k])
+            entries, scores = entries[inside], scores[inside]
+        best = np.lexsort((entries, -scores))[:k]
         best = best[scores[best] > 0]
-        return best, scores[best]
+        return entries[best], scores[best]
 
 
 @dataclass(frozen=True)
 class ToxicityModel:
-    ids: dict[str, int]
-    idf: np.ndarray
+    ids: dict[bytes, int]
+    weights: np.ndarray  # of the terms, and last that of a word which no example has
     entries: Entries
     rate: float  # of toxic examples
     steps: np.ndarray  # votes and what they stand for
     values: np.ndarray
 
     def vector(self, counts: Counter) -> tuple[np.ndarray, np.ndarray]:
-        """Term ids in order, and their weights at length 1."""
-        return _unit(counts, self.idf)
-
-    def vote(self, counts: Counter, without: int | None = None) -> tuple[float, list[tuple[int, float, float]]]:
-        """The weighted share of toxic texts among the nearest entries, and the evidence.
-
-        `without`: the label of an example whose own part in its entry is left out.
-        """
-        terms, weights = self.vector(counts)
+        """Ids of the known words in order, and their weights, all words being of length 1."""
+        ids = np.fromiter((self.ids.get(word, -1) for word in counts), np.int64, len(counts))
+        return _unit(ids, np.fromiter(counts.values(), float, len(counts)), self.weights)
+
+    def vote(self, counts: Counter) -> tuple[float, list[tuple[int, float, float]]]:
+        """The weighted share of toxic texts among the nearest entries, and the evidence."""
+        return self.voted(self.vector(counts))
+
+    def voted(
+        self, vector: tuple[np.ndarray, np.ndarray], without: int | None = None
+    ) -> tuple[float, list[tuple[int, float, float]]]:
+        """`without`: the label of an example whose own part in its entry is left out."""
         entries = self.entries
-        found, cosines = entries.nearest(terms, weights, NEIGHBOURS)
+        found, cosines = entries.nearest(*vector, NEIGHBOURS)
         texts, toxic = entries.texts[found].astype(float), entries.toxic[found].astype(float)
         if without is not None:
             own = cosines > 1 - 1e-9
@@ -132,10 +150,11 @@ class ToxicityModel:
         return float(np.clip(np.interp(vote, self.steps, self.values), 0, 1)) if len(self.steps) else self.rate
 
 
-def _unit(counts: Counter, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    terms = np.array(sorted(counts), np.int64)
-    weights = np.array([(1 + math.log(counts[t])) for t in terms.tolist()]) * idf[terms] if len(terms) else np.zeros(0)
-    return terms, weights / np.linalg.norm(weights) if len(terms) else weights
+def _unit(ids: np.ndarray, counts: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Known ids in order and their weights; ids of -1 are unknown words, which count for the length only."""
+    given = (1 + np.log(counts)) * weights[ids] if len(ids) else np.zeros(0)
+    order = np.argsort(ids, kind="stable")[np.count_nonzero(ids < 0) :]
+    return ids[order], given[order] / np.linalg.norm(given) if len(order) else np.zeros(0)
 
 
 def _ratio(a, p, b, n):
@@ -153,77 +172,96 @@ def _ratio(a, p, b, n):
     )
 
 
-def _count_terms(texts: DataFrame, wanted: frozenset[str] | None) -> DataFrame:
-    """(term, n): in how many texts a term is; of the wanted terms, or of all."""
+def _document_frequencies(documents: DataFrame, text: str, ids: dict[bytes, int]) -> tuple[np.ndarray, int]:
+    """In how many of all documents each term is, and how many documents there are."""
+    shared = documents.sparkSession.sparkContext.broadcast(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = Counter()
-        for batch in batches:
-            for text in batch.column(0):
-                terms = set(chain.from_iterable(map(word_terms, set(plain_words(text.as_py())))))
-                seen.update(terms if wanted is None else terms & wanted)
-        yield pa.record_batch([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["term", "n"])
-
-    return in_python(texts.select("text"), run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
-
-
-def _document_frequencies(documents: DataFrame, text: str, ids: dict[str, int]) -> tuple[np.ndarray, int]:
-    """In how many of all documents each term is, the rest last, and how many documents there are."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, seen = _TermIds(ids), np.zeros(len(ids) + 2, np.int64)
+        ids, seen, rows = shared.value, Counter(), 0
         for batch in batches:
             for value in batch.column(0):
-                seen[list(known.counts(value.as_py()))] += 1
-            seen[-1] += batch.num_rows
-        yield pa.record_batch([pa.array(np.arange(len(seen))), pa.array(seen)], ["id", "n"])
+                seen.update(ids.keys() & set(plain_words(value.as_py())))
+            rows += batch.num_rows
+        at = np.fromiter(map(ids.__getitem__, seen), np.int64, len(seen))
+        n = np.fromiter(seen.values(), np.int64, len(seen))
+        yield pa.record_batch([pa.array(np.append(at, len(ids))), pa.array(np.append(n, rows))], ["id", "n"])
 
-    found = np.zeros(len(ids) + 2, np.int64)
+    found = np.zeros(len(ids) + 1, np.int64)
     counted = in_python(documents.select(text), run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
-    for row in counted.collect():  # TERMS + 2 rows
-        found[row["id"]] = row["n"]
+    rows = counted.toArrow()  # no more rows than terms, and one
+    found[rows.column("id").to_numpy()] = rows.column("n").to_numpy()
     return found[:-1], int(found[-1])
 
 
-def _build_entries(vectors: list[tuple[int, int, np.ndarray, np.ndarray]], terms: int) -> Entries:
-    """The index of examples (doc_id, toxic, term ids, weights)."""
+def _build_entries(
+    vectors: list[tuple[int, int, np.ndarray, np.ndarray]], terms: int, texts: list[int] | None = None
+) -> Entries:
+    """The index of examples (doc_id, toxic, term ids, weights); `texts`: how many each stands for, if not one."""
     grouped: dict[tuple, list] = {}
-    for doc_id, toxic, ids, weights in vectors:
-        entry = grouped.setdefault((tuple(ids.tolist()), tuple(np.round(weights, 12).tolist())), [doc_id, 0, 0, ids, weights])
+    for (doc_id, toxic, ids, weights), n in zip(vectors, texts or [1] * len(vectors)):
+        key = ids.astype(np.int64).tobytes(), np.round(weights, 12).tobytes()
+        entry = grouped.setdefault(key, [doc_id, 0, 0, ids, weights, key])
         entry[0] = min(entry[0], doc_id)
-        entry[1] += 1
+        entry[1] += n
         entry[2] += toxic
     # Entries of the same heaviest terms stand together, so that bounds of blocks are close.
-    order = sorted(grouped.values(), key=lambda e: (e[3][np.argsort(-e[4], kind="stable")].tolist(), e[4].tolist()))
-    held: list[list] = [[[], []] for _ in range(terms)]
-    most = np.zeros((terms, -(-max(len(order), 1) // BLOCK)))
-    for number, (_, _, _, ids, weights) in enumerate(order):
-        for term, weight in zip(ids.tolist(), weights.tolist()):
-            held[term][0].append(number)
-            held[term][1].append(weight)
-            most[term, number // BLOCK] = max(most[term, number // BLOCK], weight)
+    order = sorted(grouped.values(), key=lambda e: (e[3][np.argsort(-e[4], kind="stable")[:16]].tolist(), e[5]))
+    number = np.repeat(np.arange(len(order)), [len(e[3]) for e in order])
+    term = np.concatenate([np.zeros(0, np.int64), *(e[3] for e in order)])
+    value = np.concatenate([np.zeros(0), *(e[4] for e in order)])
+    held = np.bincount(term, minlength=terms)
+    common = np.full(terms, -1)
+    of_many = np.flatnonzero(held > len(order) / COMMON)
+    common[of_many] = np.arange(len(of_many))
+    inside = common[term] >= 0
+    common_term, common_number, common_value = common[term[inside]], number[inside], value[inside]
+    most = np.zeros((len(of_many), -(-max(len(order), 1) // BLOCK)))
+    np.maximum.at(most, (common_term, common_number // BLOCK), common_value)
+    by_term = np.argsort(term, kind="stable")
     return Entries(
         np.array([e[0] for e in order], np.int64),
         np.array([e[1] for e in order], np.int64),
         np.array([e[2] for e in order], np.int64),
-        [(np.array(entries, np.int64), np.array(weights)) for entries, weights in held],
+        np.append(0, np.cumsum(held)),
+        number[by_term],
+        value[by_term],
+        common,
         most,
+        np.sqrt(np.bincount(common_number, common_value**2, minlength=len(order))),
+        np.append(0, np.cumsum(np.bincount(common_number, minlength=len(order)))),
+        common_term.astype(np.int32),
+        common_value,
     )
 
 
-def _rising(votes: np.ndarray, labels: np.ndarray, bins: int = 100) -> tuple[np.ndarray, np.ndarray]:
-    """Mean votes and shares of toxic texts of up to `bins` bins, merged until the shares rise."""
+def _rising(
+    votes: np.ndarray, labels: np.ndarray, texts: np.ndarray, bins: int = 100
+) -> tuple[np.ndarray, np.ndarray]:
+    """Mean votes and shares of toxic texts of up to `bins` bins, merged until the shares rise; `texts` of each vote."""
     place = np.minimum((votes * bins).astype(int), bins - 1)
     pools: list[list[float]] = []
     for b in np.unique(place):
         inside = place == b
-        pools.append([votes[inside].sum(), labels[inside].sum(), float(inside.sum())])
+        n = texts[inside]
+        pools.append([votes[inside] @ n, labels[inside] @ n, float(n.sum())])
         while len(pools) > 1 and pools[-2][1] / pools[-2][2] >= pools[-1][1] / pools[-1][2]:
             last = pools.pop()
             pools[-1] = [x + y for x, y in zip(pools[-1], last)]
     return np.array([v / n for v, _, n in pools]), np.array([t / n for _, t, n in pools])
 
 
+def _sampled(examples: DataFrame, max_examples: int) -> DataFrame:
+    """(doc_id, text, texts, toxic) of each distinct text of a sample: its smallest doc_id, its examples, the toxic ones."""
+    total = examples.count()
+    drawn = examples
+    if total > max_examples:
+        drawn = examples.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < max_examples / total * 1_000_000)
+    pairs = drawn.groupBy("doc_id", "text").agg(F.max("toxic").alias("toxic"))
+    return pairs.groupBy("text").agg(
+        F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("texts"), F.sum("toxic").alias("toxic")
+    )
+
+
 def fit_toxicity(
     documents: DataFrame,
     examples: DataFrame,
@@ -234,60 +272,68 @@ def fit_toxicity(
 ) -> ToxicityModel:
     """A model of the examples (doc_id, text, toxic 0 or 1), with the frequencies of all `documents`.
 
-    Beyond `max_examples` examples, about that many are taken by a hash of their text. Examples without a label are
-    left out. Without examples every score is 0; without toxic ones there is no term and the score is their share, 0.
+    Repeated rows of one doc_id and text are one example, toxic if one of them is. Beyond `max_examples`
+    examples, about that many are taken by a hash of their text. Examples without a label
+    are left out. Without examples, and without toxic ones, every score is 0.
     """
     given = examples.select(
         F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"),
         F.col(toxic).cast("int").alias("toxic"),
     ).where("toxic IS NOT NULL")
-    total = given.count()
-    if total > max_examples:
-        given = given.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < max_examples / total * 1_000_000)
-    given = given.cache()
-    labels = {row["toxic"]: row["count"] for row in given.groupBy("toxic").count().collect()}
-    p, n = labels.get(1, 0), labels.get(0, 0)
-    candidates = _count_terms(given.where("toxic = 1"), None).where(F.col("n") >= LEAST_TEXTS)
-    positive = {r["term"]: r["n"] for r in candidates.orderBy(F.desc("n"), "term").limit(CANDIDATES).collect()}
-    negative = {r["term"]: r["n"] for r in _count_terms(given.where("toxic = 0"), frozenset(positive)).collect()}
-    names = sorted(positive)
-    a = np.array([positive[t] for t in names], float)
-    b = np.array([negative.get(t, 0) for t in names], float)
-    ratio = _ratio(a, p, b, n) if names else np.zeros(0)
-    fit = [i for i in np.lexsort((np.arange(len(names)), -ratio)) if ratio[i] >= LEAST_RATIO and a[i] * n > b[i] * p]
-    ids = {names[i]: number for number, i in enumerate(fit[:TERMS])}
-    frequencies, documents_in_all = _document_frequencies(documents, text, ids)
-    idf = np.log((documents_in_all + 1) / (frequencies + 1)) + 1
 
     def count() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
-        known = _TermIds(ids)
-
         def handle(batch: pa.RecordBatch) -> pa.RecordBatch:
-            counts = [known.counts(x.as_py()) for x in batch.column(1)]
+            counts = [Counter(plain_words(x.as_py())) for x in batch.column(1)]
             return pa.record_batch(
                 [
                     batch.column(0),
                     batch.column(2),
-                    pa.array([list(c) for c in counts], pa.list_(pa.int64())),
+                    batch.column(3),
+                    pa.array([list(c) for c in counts], pa.list_(pa.binary())),
                     pa.array([list(c.values()) for c in counts], pa.list_(pa.int64())),
                 ],
-                ["doc_id", "toxic", "terms", "counts"],
+                ["doc_id", "texts", "toxic", "words", "counts"],
             )
 
         return handle
 
-    schema = "doc_id long, toxic int, terms array<long>, counts array<long>"
-    rows = map_pieces(given.select("doc_id", "text", "toxic"), start=count, schema=schema).toArrow().to_pylist()
-    given.unpersist()
-    rows.sort(key=lambda r: (r["doc_id"] is None, r["doc_id"] or 0))
-    counted = [(r["doc_id"] or 0, r["toxic"], Counter(dict(zip(r["terms"], r["counts"])))) for r in rows]
-    entries = _build_entries([(i, y, *_unit(c, idf)) for i, y, c in counted if c], len(ids) + 1)
-    model = ToxicityModel(ids, idf, entries, p / max(p + n, 1), np.zeros(0), np.zeros(0))
-    if not counted:
+    schema = "doc_id long, texts long, toxic long, words array<binary>, counts array<long>"
+    sample = _sampled(given, max_examples).select("doc_id", "text", "texts", "toxic")
+    rows = map_pieces(sample, count, schema).toArrow()  # distinct texts, bounded by the sample
+    doc_ids = pc.fill_null(rows.column("doc_id"), 0).to_pylist()
+    texts, toxic_texts = rows.column("texts").to_numpy(), rows.column("toxic").to_numpy()
+    sizes = pc.list_value_length(rows.column("words")).to_numpy()
+    words = pc.list_flatten(rows.column("words")).combine_chunks().dictionary_encode()
+    numbers = pc.list_flatten(rows.column("counts")).to_numpy()
+    ids = {word: i for i, word in enumerate(sorted(words.dictionary.to_pylist()))}
+    terms = np.array([ids[word] for word in words.dictionary.to_pylist()], np.int64)[words.indices.to_numpy()]
+    del rows, words
+
+    p, n = int(toxic_texts.sum()), int((texts - toxic_texts).sum())
+    a = np.bincount(terms, np.repeat(toxic_texts, sizes), minlength=len(ids))
+    b = np.bincount(terms, np.repeat(texts - toxic_texts, sizes), minlength=len(ids))
+    favoured = np.where(a * n > b * p, np.maximum(_ratio(a, p, b, n) - LEAST_RATIO, 0), 0) if p and n else np.zeros(len(ids))
+    frequencies, documents_in_all = _document_frequencies(documents, text, ids)
+    weights = (np.log((documents_in_all + 1) / (frequencies + 1)) + 1) * (1 + CLASS_WEIGHT * np.sqrt(favoured))
+    # A word of no example is weighed as one of a single document.
+    weights = np.append(weights, np.log((documents_in_all + 1) / 2) + 1)
+
+    ends = np.cumsum(sizes)
+    vectors = [_unit(terms[e - m : e], numbers[e - m : e], weights) for e, m in zip(ends.tolist(), sizes.tolist())]
+    held = [i for i, m in enumerate(sizes.tolist()) if m]
+    entries = _build_entries(
+        [(doc_ids[i], int(toxic_texts[i]), *vectors[i]) for i in held], len(ids), [int(texts[i]) for i in held]
+    )
+    model = ToxicityModel(ids, weights, entries, p / max(p + n, 1), np.zeros(0), np.zeros(0))
+    if not vectors:
         return model
-    votes = np.array([model.vote(c, without=y)[0] for _, y, c in counted])
-    steps, values = _rising(votes, np.array([y for _, y, _ in counted], float))
-    return ToxicityModel(ids, idf, entries, model.rate, steps, values)
+    votes = [
+        (model.voted(vector, without=label)[0], label, of_label)
+        for vector, n, t in zip(vectors, texts.tolist(), toxic_texts.tolist())
+        for label, of_label in ((0, n - t), (1, t))
+        if of_label
+    ]
+    return replace(model, **dict(zip(("steps", "values"), _rising(*np.array(votes, float).T))))
 
 
 def score_toxicity(documents: DataFrame, model: ToxicityModel, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -301,20 +347,10 @@ def score_toxicity(documents: DataFrame, model: ToxicityModel, doc_id: str = "do
 
     def start() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
         model = shared.value
-        known, met = _TermIds(model.ids), {}
 
         def scored(text: str | None) -> tuple[float, list[dict]]:
-            counts = known.counts(text)
-            # Texts with no term but that for the rest all have one direction.
-            key = len(counts) if counts.keys() <= {len(model.ids)} else None
-            if key is None or key not in met:
-                vote, evidence = model.vote(counts)
-                listed = [{"doc_id": i, "similarity": c, "toxic": t} for i, c, t in evidence]
-                result = model.calibrated(vote), listed
-                if key is None:
-                    return result
-                met[key] = result
-            return met[key]
+            vote, evidence = model.vote(Counter(plain_words(text)))
+            return model.calibrated(vote), [{"doc_id": i, "similarity": c, "toxic": t} for i, c, t in evidence]
 
         entry = pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("toxic", pa.float64())])
 

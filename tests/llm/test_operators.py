@@ -292,3 +292,22 @@ def test_toxicity_compares_all_words(spark, make_documents):
     got = {r["doc_id"]: r["evidence"][0] for r in toxicity.score_toxicity(documents, model).collect()}
     assert (got[1]["doc_id"], got[1]["toxic"]) == (900, 1.0) and (got[2]["doc_id"], got[2]["toxic"]) == (901, 0.0)
     assert got[3]["doc_id"] not in (900, 901)
+
+
+def test_toxicity_sample_with_a_hot_text(spark):
+    hot = [(1000 + i, text, 0) for i in range(300) for text in ("one text of many rows", None)]
+    examples = _labelled(spark, *hot, *hot[:100])
+    model = toxicity.fit_toxicity(examples.select("doc_id", "text"), examples, max_examples=100)
+    # 37 of 100 are to be expected of each hot text; the empty one has no entry.
+    assert 20 <= model.entries.texts.max() <= 55 and 45 <= model.entries.texts.sum() <= 80
+    few = toxicity.fit_toxicity(examples.select("doc_id", "text"), examples, max_bytes=500)
+    assert 5 < len(few.entries.ids) < 25
+    every = toxicity.fit_toxicity(examples.select("doc_id", "text"), examples)
+    assert every.entries.texts.sum() == 500 and every.entries.toxic.sum() == 40
+
+
+def test_languages_sample_with_a_hot_text(spark):
+    rows = [(i, "one text of many rows", "en") for i in range(500)] + [(1000 + i, f"ein text {i}", "de") for i in range(500)]
+    examples = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit_languages(examples, train_rows=200)
+    assert model.languages == ["de", "en"] and 0.35 < np.exp(model.log_prior)[1] < 0.65

@@ -65,19 +65,21 @@ class LanguageModel:
 
 
 def fit_languages(
-    examples: DataFrame, text: str = "text", lang: str = "lang", train_rows: int = TRAIN_ROWS
+    examples: DataFrame, text: str = "text", lang: str = "lang", train_rows: int = TRAIN_ROWS, doc_id: str = "doc_id"
 ) -> LanguageModel:
     """A model of the rows whose text and language are not null.
 
-    Beyond `train_rows` such rows, about that many are taken by a hash of the text. More than MAX_LANGUAGES
+    Beyond `train_rows` such rows, about that many are taken by a hash of the text and, if there is one, the doc_id,
+    so that copies of a text under other ids are drawn apart. More than MAX_LANGUAGES
     languages are refused with an error. With no row, the model knows no language.
     """
-    known = examples.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")).where(
+    drawn = F.xxhash64(*([doc_id] if doc_id in examples.columns else []), text).alias("drawn")
+    known = examples.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), drawn).where(
         "lang IS NOT NULL AND text IS NOT NULL"
     )
     total = max(known.count(), 1)
     if total > train_rows:
-        known = known.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < train_rows / total * 1_000_000)
+        known = known.where(F.pmod("drawn", F.lit(1_000_000)) < train_rows / total * 1_000_000)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(BUCKETS, np.int64))

@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 
 from visitloom.llm.batches import in_python, map_pieces, plain_words
 
-# Labelled texts, at about this number, of which the model is made.
+# Bounds of what the model is made of: distinct examples, and bytes of their texts (one text more at most).
 EXAMPLES = 8_000
+EXAMPLE_BYTES = 32 << 20
 # A word weighs 1 + CLASS_WEIGHT * sqrt(log-likelihood ratio above LEAST_RATIO) times as much if toxic texts favour it.
 CLASS_WEIGHT = 3.0
 LEAST_RATIO = 8.0
@@ -250,12 +251,24 @@ def _rising(
     return np.array([v / n for v, _, n in pools]), np.array([t / n for _, t, n in pools])
 
 
-def _sampled(examples: DataFrame, max_examples: int) -> DataFrame:
-    """(doc_id, text, texts, toxic) of each distinct text of a sample: its smallest doc_id, its examples, the toxic ones."""
-    total = examples.count()
-    drawn = examples
-    if total > max_examples:
-        drawn = examples.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < max_examples / total * 1_000_000)
+def _sampled(examples: DataFrame, max_examples: int, max_bytes: int) -> DataFrame:
+    """(doc_id, text, texts, toxic) of each distinct text of a sample: its smallest doc_id, its examples, the toxic ones.
+
+    Drawn are at most `max_examples` pairs (doc_id, text), by the smallest hashes of both, and none after the one with
+    which their distinct texts reach `max_bytes`. Copies of a text under other ids are drawn apart.
+    """
+    hashed = examples.withColumn("drawn", F.xxhash64("doc_id", "text"))
+    sizes = hashed.select("drawn", F.xxhash64("text").alias("of"), F.octet_length("text").alias("size"))
+    sizes = sizes.groupBy("drawn").agg(F.min("of").alias("of"), F.min("size").alias("size"))
+    last, held, size = None, set(), 0
+    for row in sizes.orderBy("drawn").limit(max_examples).collect():
+        if size >= max_bytes:
+            break
+        if row["of"] not in held:
+            held.add(row["of"])
+            size += row["size"]
+        last = row["drawn"]
+    drawn = hashed.where(F.col("drawn") <= F.lit(last)) if held else hashed.limit(0)
     pairs = drawn.groupBy("doc_id", "text").agg(F.max("toxic").alias("toxic"))
     return pairs.groupBy("text").agg(
         F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("texts"), F.sum("toxic").alias("toxic")
@@ -269,11 +282,12 @@ def fit_toxicity(
     text: str = "text",
     toxic: str = "toxic",
     max_examples: int = EXAMPLES,
+    max_bytes: int = EXAMPLE_BYTES,
 ) -> ToxicityModel:
     """A model of the examples (doc_id, text, toxic 0 or 1), with the frequencies of all `documents`.
 
-    Repeated rows of one doc_id and text are one example, toxic if one of them is. Beyond `max_examples`
-    examples, about that many are taken by a hash of their text. Examples without a label
+    Repeated rows of one doc_id and text are one example, toxic if one of them is. Of more than `max_examples`, or than
+    `max_bytes` of distinct texts, those of the smallest hashes of doc_id and text are taken. Examples without a label
     are left out. Without examples, and without toxic ones, every score is 0.
     """
     given = examples.select(
@@ -298,7 +312,7 @@ def fit_toxicity(
         return handle
 
     schema = "doc_id long, texts long, toxic long, words array<binary>, counts array<long>"
-    sample = _sampled(given, max_examples).select("doc_id", "text", "texts", "toxic")
+    sample = _sampled(given, max_examples, max_bytes).select("doc_id", "text", "texts", "toxic")
     rows = map_pieces(sample, count, schema).toArrow()  # distinct texts, bounded by the sample
     doc_ids = pc.fill_null(rows.column("doc_id"), 0).to_pylist()
     texts, toxic_texts = rows.column("texts").to_numpy(), rows.column("toxic").to_numpy()

@@ -311,3 +311,13 @@ def test_languages_sample_with_a_hot_text(spark):
     examples = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     model = language_id.fit_languages(examples, train_rows=200)
     assert model.languages == ["de", "en"] and 0.35 < np.exp(model.log_prior)[1] < 0.65
+
+
+def test_repeated_items_are_fetched_once(spark):
+    rows = [(1, "seven words of one item are here")] * 300 + [(2, "another item"), (None, None), (None, None)]
+    benchmark = spark.createDataFrame(rows, "item_id long, text string")
+    blocks = decontamination._benchmark_blocks(benchmark, 10, "item_id", "text", 100)
+    assert len(blocks) == 1
+    documents = spark.createDataFrame([(5, "x seven words of one item are here another item")], "doc_id long, text string")
+    (row,) = decontamination.find_contamination(documents, benchmark, block_chars=100).collect()
+    assert row["item_ids"] == ["1", "2"] and [tuple(s) for s in row["spans"]] == [(1, 10)]

@@ -113,8 +113,8 @@ def cut_words(text: str, spans: list[tuple[int, int]]) -> str:
 
 
 def _benchmark_blocks(benchmark: DataFrame, window: int, item_id: str, text: str, block_chars: int) -> list:
-    """Broadcast windows of the benchmark, in blocks of about `block_chars` characters, or one longer item."""
-    items = benchmark.select(F.col(item_id).cast("string").alias("item_id"), F.col(text).alias("text"))
+    """Broadcast windows of the distinct items, in blocks of about `block_chars` characters, or one longer item."""
+    items = benchmark.select(F.col(item_id).cast("string").alias("item_id"), F.col(text).alias("text")).distinct()
     chars = items.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0
     blocks = -(-chars // block_chars)
     shared = []

@@ -4,6 +4,7 @@ import random
 import re
 from collections import defaultdict
 
+from visitloom.llm import near_dedup
 from visitloom.llm.components import connected_components
 from visitloom.llm.near_dedup import fewest_matches, near_duplicates, without_near_duplicates
 
@@ -123,3 +124,9 @@ def test_components(spark):
     got = connected_components(spark.createDataFrame(links, "a long, b long")).collect()
     assert {r["node"]: r["component"] for r in got} == least and len(got) == len(least)
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_texts_of_one_doc_id_are_linked_to_the_first(spark):
+    reps = spark.createDataFrame([(7, r) for r in range(3, 203)] + [(8, 300), (8, 400)], "doc_id long, rep long")
+    links = sorted(map(tuple, near_dedup._linked_to_first(reps).collect()))
+    assert links == [(3, r) for r in range(4, 203)] + [(300, 400)]

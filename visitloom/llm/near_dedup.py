@@ -326,6 +326,12 @@ def _several_components(labelled: DataFrame, *more: str) -> DataFrame:
     )
 
 
+def _linked_to_first(several: DataFrame) -> DataFrame:
+    """(a, b) of each rep b of a doc_id and its smallest rep a."""
+    first = several.groupBy("doc_id").agg(F.min("rep").alias("a"))
+    return several.withColumnRenamed("rep", "b").join(first, "doc_id").where("a < b").select("a", "b")
+
+
 def near_duplicates(
     documents: DataFrame,
     percent: int = PERCENT,
@@ -351,8 +357,7 @@ def near_duplicates(
     whole = F.struct("h1", "h2")
     repeated = known.groupBy("doc_id").agg(F.min(whole).alias("first"), F.max(whole).alias("last"))
     repeated = known.join(repeated.where("first < last"), "doc_id", "left_semi").select("doc_id", "h1", "h2")
-    several = repeated.join(classes, ["h1", "h2"]).select("doc_id", F.col("rep").alias("a"))
-    several = several.join(several.withColumnRenamed("a", "b"), "doc_id").where("a < b").select("a", "b")
+    several = _linked_to_first(repeated.join(classes, ["h1", "h2"]).select("doc_id", "rep"))
 
     # A row for each class; the rep is part of the key, so that no class is a hot one.
     chosen = known.join(classes.select("h1", "h2", F.col("rep").alias("doc_id")), ["doc_id", "h1", "h2"])

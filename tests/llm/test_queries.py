@@ -18,7 +18,7 @@ needs_data = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no test table
 
 
 def test_registered():
-    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 14)]
     assert set(QUERIES) | {"pipeline"} <= set(contract.queries())
     assert set(ORACLE) <= set(contract.oracle_sql())
 

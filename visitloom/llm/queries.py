@@ -13,12 +13,15 @@ from visitloom.llm.decontamination import find_contamination
 from visitloom.llm.language_id import fit_languages, held_out, identify_languages
 from visitloom.llm.licenses import license_scan
 from visitloom.llm.line_dedup import dedup_lines
+from visitloom.llm.mixing import mix_plan
 from visitloom.llm.near_dedup import near_duplicates
+from visitloom.llm.periodic_runs import periodic_runs
 from visitloom.llm.pii import pseudonymise
 from visitloom.llm.sentencepiece_codec import encode_and_decode
 from visitloom.llm.token_counts import token_counts
 from visitloom.llm.toxicity import fit_toxicity, score_toxicity
 from visitloom.llm.topk import build_index, quantised, top_k
+from visitloom.llm.whitening import whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -86,6 +89,44 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pseudonymise(documents, key="registered-query")
 
 
+def op11_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return mix_plan(_table(spark, folder, "documents"))
+
+
+def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whiten(_table(spark, folder, "embeddings"))
+
+
+def _with_repeats(documents: DataFrame) -> DataFrame:
+    """(doc_id, text): a tenth of the texts, chosen by doc_id, repeat some of their words from a word on."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    chosen = documents.select("doc_id", "text", h.alias("h"))
+    words = F.when(F.col("h") % 10 == 0, F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1)))
+    chosen = chosen.withColumn("words", words).withColumn("n", F.size("words"))
+    chosen = chosen.withColumn("g", F.expr("h div 10")).withColumn("a", F.expr("IF(n > 0, g % n, 0)"))
+    period = F.expr("CAST(1 + (n - a) div (3 + g % 8) AS INT)")
+    chosen = chosen.withColumn("p", period).withColumn("a", F.col("a").cast("int"))
+    repeated = F.expr("array_join(transform(words, (w, i) -> IF(i < a, w, words[a + (i - a) % p])), ' ')")
+    return chosen.select("doc_id", F.when(F.col("n") > 0, repeated).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic_runs(_with_repeats(_table(spark, folder, "documents")))
+    best = F.expr("""aggregate(runs, CAST(NULL AS struct<start: bigint, length: bigint, period: bigint>),
+        (b, r) -> IF(b IS NULL OR r.length * b.period > b.length * r.period, r, b))""")
+    listed = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
     "op2_exact_top_k": op2_exact_top_k,
@@ -97,4 +138,7 @@ QUERIES: dict[str, Query] = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_near_dedup": op9_near_dedup,
     "op10_pii": op10_pii,
+    "op11_source_mix": op11_source_mix,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_periodic_runs": op13_periodic_runs,
 }

@@ -52,8 +52,8 @@ def joined_category_counts(actions: DataFrame) -> DataFrame:
     return counts.na.fill(0, ["click_count", "order_count", "pay_count"])
 
 
-def category_counts(actions: DataFrame) -> DataFrame:
-    """As `joined_category_counts`, in one pass and one shuffle."""
+def category_counts(actions: DataFrame, *keys: str) -> DataFrame:
+    """As `joined_category_counts`, in one pass and one shuffle; with `keys`, for each of their values."""
 
     def marked(ids: Column, kind: str) -> Column:
         return F.transform(ids, lambda i: F.struct(i.alias("category_id"), F.lit(kind).alias("kind")))
@@ -64,9 +64,9 @@ def category_counts(actions: DataFrame) -> DataFrame:
         marked(_ids("pay_category_ids"), "pay"),
     )
     return (
-        actions.select(F.explode(entries).alias("entry"))
-        .select("entry.*")
-        .groupBy("category_id")
+        actions.select(*keys, F.explode(entries).alias("entry"))
+        .select(*keys, "entry.*")
+        .groupBy("category_id", *keys)
         .agg(*(F.count_if(F.col("kind") == kind).alias(f"{kind}_count") for kind in ("click", "order", "pay")))
     )
 

@@ -178,13 +178,18 @@ def _counted(column: str, buckets: tuple) -> list[Column]:
     return [F.expr(f"count_if({condition(low, high)}) AS {name}") for name, low, high in buckets]
 
 
-def session_counts(sessions: DataFrame) -> DataFrame:
-    """One row: number of sessions, in all and per visit and step bucket."""
-    return sessions.agg(
+def count_columns() -> list[Column]:
+    """Aggregates: number of sessions, in all and per visit and step bucket."""
+    return [
         F.count(F.lit(1)).alias("session_count"),
         *_counted("visit_length", VISIT_BUCKETS),
         *_counted("step_length", STEP_BUCKETS),
-    )
+    ]
+
+
+def session_counts(sessions: DataFrame) -> DataFrame:
+    """One row: number of sessions, in all and per visit and step bucket."""
+    return sessions.agg(*count_columns())
 
 
 def session_statistics(sessions: DataFrame, task_id: int) -> DataFrame:

@@ -6,6 +6,7 @@ from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from visitloom.operators.categories import (
     category_counts,
@@ -15,6 +16,7 @@ from visitloom.operators.categories import (
     top_sessions,
 )
 from visitloom.operators.joins import rows_of
+from visitloom.operators.observed import shares, store_with_counts
 from visitloom.operators.positions import numbered
 from visitloom.operators.predicates import date_range
 from visitloom.operators.sampling import sample_sessions, sampled_details, sampled_records
@@ -63,8 +65,12 @@ class SessionJob:
         self.users, self.criteria, self.options = users, criteria, options
 
     @cached_property
+    def _counted_sessions(self) -> tuple[DataFrame, DataFrame]:
+        return store_with_counts(select_sessions(self.days, self.users, self.criteria), "selected-sessions")
+
+    @property
     def sessions(self) -> DataFrame:
-        return through_storage(select_sessions(self.days, self.users, self.criteria), "selected-sessions")
+        return self._counted_sessions[0]
 
     @cached_property
     def session_detail(self) -> DataFrame:
@@ -82,7 +88,8 @@ class SessionJob:
 
     @cached_property
     def session_aggr_stat(self) -> DataFrame:
-        return session_statistics(self.sessions, self.options.task_id)
+        """From counts taken while the sessions were stored."""
+        return shares(self._counted_sessions[1], F.lit(self.options.task_id).cast("bigint").alias("task_id"))
 
     @cached_property
     def session_random_extract(self) -> DataFrame:

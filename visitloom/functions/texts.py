@@ -1,7 +1,10 @@
 """Text columns: comma lists and `k=v|k=v` records."""
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def is_empty(text: Column) -> Column:
@@ -78,5 +81,42 @@ def record(**fields: Column) -> Column:
     )
 
 
+def record_fields(record: Column, names: Sequence[str]) -> Column:
+    """A struct of texts with what `record_field` gives for each of the names, in one pass over the entries."""
+    valid = F.filter(F.split(record, "[|]"), lambda entry: entry.rlike("^[^=]*=[^=]+=*\\z"))
+    pairs = F.transform(
+        valid,
+        lambda e: F.struct(
+            F.split_part(e, F.lit("="), F.lit(1)).alias("name"), F.split_part(e, F.lit("="), F.lit(2)).alias("value")
+        ),
+    )
+    nothing = F.struct(*(F.lit(None).cast("string").alias(n) for n in names))
+
+    def first_wins(found: Column, pair: Column) -> Column:
+        return F.struct(
+            *(
+                F.when(found[n].isNull() & (pair["name"] == n), pair["value"]).otherwise(found[n]).alias(n)
+                for n in names
+            )
+        )
+
+    return F.aggregate(pairs, nothing, first_wins)
+
+
+def typed_record(record: Column, schema: T.StructType, empty: Mapping[str, object] | None = None) -> Column:
+    """A struct of `schema` from a record: texts that are no value of a field's type are NULL.
+
+    A record writes a NULL and an empty value alike; both are read as NULL, or as what `empty` has for the field.
+    """
+    texts = record_fields(record, schema.names)
+    given = empty or {}
+    return F.transform(
+        F.array(texts),
+        lambda t: F.struct(
+            *(F.coalesce(t[f.name].try_cast(f.dataType), F.lit(given.get(f.name)).cast(f.dataType)).alias(f.name) for f in schema.fields)
+        ),
+    )[0]
+
+
 def contains(text: Column, part: str | Column) -> Column:
     return F.contains(text, part if isinstance(part, Column) else F.lit(part))

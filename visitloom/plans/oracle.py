@@ -457,3 +457,82 @@ ORACLE: dict[str, str] = {
         _TOP_SESSIONS,
     ),
 }
+
+_SHARES = f"session_count, {_RATIOS} FROM stats"
+_ALL_STATISTICS = _with(_ACTIONS, _ALL_SUMMARY, _statistics("summary")) + f" SELECT CAST(1 AS BIGINT) AS task_id, {_SHARES}"
+
+# The criteria of the many tasks, by customer.
+_MANY_TASKS = """
+asked AS (
+  SELECT c_custkey AS task_id, c_custkey AS k,
+         CASE WHEN k % 2 = 0 THEN '2024-01-' || lpad(CAST(1 + k % 20 AS VARCHAR), 2, '0') END AS first_day,
+         CASE WHEN k % 3 <> 1 THEN '2024-01-' || lpad(CAST(10 + k % 21 AS VARCHAR), 2, '0') END AS last_day,
+         CASE WHEN k % 3 = 0 THEN k % 40 END AS low, CASE WHEN k % 3 = 0 THEN k % 40 + 20 END AS high,
+         CASE WHEN k % 4 = 1 THEN [c_mktsegment, 'MACHINERY'] END AS professionals,
+         CASE WHEN k % 7 = 3 THEN ['NATION_' || k % 25, 'NATION_3'] END AS cities,
+         CASE WHEN k % 5 = 2 THEN 'male' END AS wanted_sex,
+         CASE WHEN k % 6 = 1 THEN ['kw' || k % 10, 'kw3'] END AS keywords,
+         CASE WHEN k % 11 = 4 THEN [k % 100, (k + 7) % 100, (k + 50) % 100] END AS categories
+  FROM customer),
+seen AS (
+  SELECT session_id, date, min(user_id) AS user_id, min(action_time) AS start_time, max(action_time) AS end_time,
+         count(*) AS step_length, CAST(epoch(max(CAST(action_time AS TIMESTAMP))) - epoch(min(CAST(action_time AS TIMESTAMP))) AS BIGINT) AS visit_length,
+         coalesce(list(DISTINCT search_keyword) FILTER (WHERE search_keyword IS NOT NULL), []) AS kws,
+         coalesce(list(DISTINCT click_category_id) FILTER (WHERE click_category_id IS NOT NULL), []) AS cats
+  FROM actions GROUP BY session_id, date),
+met AS (
+  SELECT task_id, visit_length, step_length
+  FROM asked, seen JOIN users USING (user_id)
+  WHERE (first_day IS NULL OR date >= first_day) AND (last_day IS NULL OR date <= last_day)
+    AND (low IS NULL OR age BETWEEN low AND high) AND (professionals IS NULL OR list_contains(professionals, professional))
+    AND (cities IS NULL OR list_contains(cities, city)) AND (wanted_sex IS NULL OR sex = wanted_sex)
+    AND (keywords IS NULL OR list_has_any(kws, keywords)) AND (categories IS NULL OR list_has_any(cats, categories)))"""
+_STATS_PER_TASK = _statistics("met").replace("stats AS (SELECT", "found AS (SELECT task_id,").rstrip()[:-1] + " GROUP BY task_id)"
+_COUNTS = ["session_count", *(name for name, _, _ in VISIT_BUCKETS + STEP_BUCKETS)]
+_STATS_PER_TASK += (
+    ", stats AS (SELECT task_id, "
+    + ", ".join(f"coalesce({c}, 0) AS {c}" for c in _COUNTS)
+    + " FROM asked LEFT JOIN found USING (task_id))"
+)
+
+_ODD = """
+lines AS (
+  SELECT event_id AS n, event_type AS kind, '{"event_id": ' || event_id || ', "kind": "' || event_type || '"}' AS line
+  FROM events)"""
+
+ORACLE |= {
+    "counts_in_passing": ORACLE["session_statistics"],
+    "committed_statistics": ORACLE["job_session_aggr_stat"],
+    "committed_top_sessions": f"SELECT *, CAST(1 AS BIGINT) AS task_id FROM ({ORACLE['job_top10_category_session']}) q",
+    "task_states": """SELECT c_custkey AS task_id, CASE WHEN c_custkey = 1 THEN 'done' ELSE 'new' END AS task_status,
+        CASE WHEN c_custkey = 1 THEN true END AS has_run FROM customer""",
+    "task_statistics": _with(_ACTIONS, _USERS, _MANY_TASKS, _STATS_PER_TASK) + f" SELECT task_id, {_SHARES}",
+    "summary_by_days": _with(_ACTIONS, _SUMMARY) + " SELECT * FROM summary",
+    "statistics_by_days": _ALL_STATISTICS,
+    "categories_by_days": ORACLE["category_counts"],
+    "bucketed_summary": ORACLE["session_summary"],
+    "bucketed_selected_actions": ORACLE["selected_actions"],
+    "catalog_actions": ORACLE["actions_in_dates"],
+    "inferred_columns": """SELECT event_id, CASE WHEN event_id % 50 <> 0 THEN CAST(json_extract_string(props, '$.k') AS BIGINT) END AS k,
+        CASE WHEN event_id % 50 <> 0 THEN event_type END AS kind,
+        CASE WHEN event_id % 50 <> 0 AND event_type = 'click' THEN value END AS value FROM events""",
+    "accepted_lines": "SELECT event_id, event_type AS kind FROM events WHERE event_id % 40 > 2",
+    "rejected_lines": _with(_ODD)
+    + """ SELECT CASE n % 40 WHEN 0 THEN '{' || line WHEN 1 THEN '[' || n || ']'
+            ELSE '{"event_id": "' || n || ' th", "kind": "' || kind || '"}' END AS line,
+        CASE n % 40 WHEN 0 THEN 'not JSON' WHEN 1 THEN 'not an object' ELSE 'wrong type' END AS reason
+        FROM lines WHERE n % 40 < 3""",
+    "rejected_people": """SELECT * FROM (SELECT
+        CASE c_custkey % 9 WHEN 0 THEN c_name WHEN 1 THEN c_name || ', unknown' WHEN 2 THEN c_name || ', 1, 2'
+            WHEN 3 THEN ' , ' || c_custkey % 60 END AS line,
+        CASE c_custkey % 9 WHEN 0 THEN 'too few values' WHEN 1 THEN 'no number' WHEN 2 THEN 'too many values'
+            WHEN 3 THEN 'no name' END AS reason FROM customer) q WHERE reason IS NOT NULL""",
+    "records_read_back": ORACLE["session_records"],
+    "functions_in_sql": _with(_ACTIONS)
+    + f""" SELECT session_id, action_time, action_time[1:10] || '_' || action_time[12:13] AS hour,
+        coalesce(CAST(epoch({_PARSED}) - epoch({_FIXED}) AS BIGINT), 0) AS seconds,
+        action_time < '2024-01-15 12:00:00' AS before, search_keyword IS NULL AS no_keyword, order_category_ids AS ids,
+        '0' || page_id AS page, replace(order_product_ids, ',', '+') AS products, action AS kind,
+        CASE WHEN user_id > 0 THEN CAST((2000 * page_id + user_id) // (2 * user_id) AS DOUBLE) / 1000 END AS share
+        FROM actions""",
+}

@@ -6,15 +6,16 @@ import uuid
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from visitloom.functions import numbers, texts, times
-from visitloom.operators import categories, grouping, joins, ordering, predicates, sampling, sessions
+from visitloom.functions import in_sql, numbers, texts, times
+from visitloom.operators import categories, daily, grouping, joins, matching, observed, ordering, predicates, sampling, sessions
 from visitloom.plans.job import JobOptions, SessionJob, category_job, statistics_job
-from visitloom.schemas import PERSON
+from visitloom.schemas import PERSON, SESSION_AGGR_STAT, TOP10_CATEGORY_SESSION, USER_VISIT_ACTION
 from visitloom.session import scratch_path
-from visitloom.sources import files, sinks, tables, tasks
+from visitloom.sources import bucketed, files, runs, sinks, tables, tasks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -71,6 +72,50 @@ class Tables:
     def job(self) -> SessionJob:
         return SessionJob(self.days, self.users, TASK, OPTIONS)
 
+    @cached_property
+    def bucketed_actions(self) -> DataFrame:
+        return bucketed.bucketed(self.actions, 8)
+
+    @cached_property
+    def committed(self) -> runs.RunStore:
+        """The five result tables of one task, stored together."""
+        store = runs.RunStore(scratch_path(self.spark, "committed-results"))
+        with store.attempt(self.spark, OPTIONS.task_id) as attempt:
+            self.job.run(attempt)
+        return store
+
+    @cached_property
+    def days_stored(self) -> daily.DayStore:
+        """States by day: of all days at once, then of one day by itself."""
+        store = daily.DayStore(scratch_path(self.spark, "day-states"))
+        store.put_all(self.actions)
+        store.put(tables.actions_from_events(self.events, MIDDLE, MIDDLE), MIDDLE)
+        return store
+
+    @cached_property
+    def many_tasks(self) -> DataFrame:
+        """A task for each customer, with criteria of all kinds."""
+        key = F.col("c_custkey")
+
+        def field(condition, name: str, *values):
+            listed = F.concat_ws(",", *(F.concat(F.lit('"'), v.cast("string"), F.lit('"')) for v in values))
+            return F.when(condition, F.concat(F.lit(f'"{name}":['), listed, F.lit("]")))
+
+        day = lambda n: F.concat(F.lit("2024-01-"), F.lpad(n.cast("string"), 2, "0"))
+        fields = (
+            field(key % 2 == 0, "startDate", day(1 + key % 20)),
+            field(key % 3 != 1, "endDate", day(10 + key % 21)),
+            field(key % 3 == 0, "startAge", key % 40),
+            field(key % 3 != 2, "endAge", key % 40 + 20),
+            field(key % 4 == 1, "professionals", F.col("c_mktsegment"), F.lit("MACHINERY")),
+            field(key % 7 == 3, "cities", F.concat(F.lit("NATION_"), key % 25), F.lit("NATION_3")),
+            field(key % 5 == 2, "sex", F.lit("male")),
+            field(key % 6 == 1, "searchKeywords", F.concat(F.lit("kw"), key % 10), F.lit("kw3")),
+            field(key % 11 == 4, "clickCategoryIds", key % 100, (key + 7) % 100, (key + 50) % 100),
+        )
+        param = F.concat(F.lit("{"), F.concat_ws(",", *fields), F.lit("}"))
+        return self.customer.select(key.alias("task_id"), param.alias("task_param"))
+
     @cached_property
     def tasks(self) -> DataFrame:
         """One task per customer."""
@@ -725,3 +770,143 @@ def job_top10_category(t: Tables) -> DataFrame:
 @query("job")
 def job_top10_category_session(t: Tables) -> DataFrame:
     return t.job.top10_category_session
+
+
+# Stored forms of the tables, and what is worked out in passing
+
+
+def _task_1() -> Column:
+    return F.lit(1).cast("bigint").alias("task_id")
+
+
+@query("D2")
+def counts_in_passing(t: Tables) -> DataFrame:
+    _, counts = observed.store_with_counts(sessions.session_summary(t.days), "counted-sessions")
+    return observed.shares(counts, _task_1())
+
+
+@query("A10")
+def committed_statistics(t: Tables) -> DataFrame:
+    return t.committed.read(t.spark, "session_aggr_stat", SESSION_AGGR_STAT)
+
+
+@query("A10")
+def committed_top_sessions(t: Tables) -> DataFrame:
+    return t.committed.read(t.spark, "top10_category_session", TOP10_CATEGORY_SESSION, OPTIONS.task_id)
+
+
+@query("A11")
+def task_states(t: Tables) -> DataFrame:
+    return t.committed.with_states(t.tasks).select(
+        "task_id",
+        "task_status",
+        (F.col("start_time") <= F.col("finish_time")).alias("has_run"),
+    )
+
+
+@query("B6")
+def task_statistics(t: Tables) -> DataFrame:
+    return matching.statistics_per_task(t.actions, t.users, t.many_tasks)
+
+
+@query("D1")
+def summary_by_days(t: Tables) -> DataFrame:
+    return daily.merged_summary(t.days_stored.sessions(t.spark, START, END))
+
+
+@query("D2")
+def statistics_by_days(t: Tables) -> DataFrame:
+    return sessions.session_statistics(daily.merged_summary(t.days_stored.sessions(t.spark)), 1)
+
+
+@query("D4")
+def categories_by_days(t: Tables) -> DataFrame:
+    return t.days_stored.categories(t.spark)
+
+
+@query("D1")
+def bucketed_summary(t: Tables) -> DataFrame:
+    return sessions.session_summary(t.bucketed_actions)
+
+
+@query("C2")
+def bucketed_selected_actions(t: Tables) -> DataFrame:
+    actions = t.bucketed_actions
+    days = predicates.date_range(actions, START, END)
+    return joins.rows_of(days, sessions.select_sessions(days, t.users, TASK))
+
+
+@query("A1")
+def catalog_actions(t: Tables) -> DataFrame:
+    name = f"user_visit_action{_own()}"
+    bucketed.catalog_partitions(t.actions, name, scratch_path(t.spark, name))
+    stored = tables.catalog_table(t.spark, name, USER_VISIT_ACTION)
+    return predicates.date_range(stored, START, END)
+
+
+@query("A3")
+def inferred_columns(t: Tables) -> DataFrame:
+    kind = F.concat(F.lit('"kind": "'), F.col("event_type"), F.lit('"'))
+    value = F.when(F.col("event_type") == "click", F.concat(F.lit('"value": '), F.col("value")))
+    text = F.concat(F.regexp_replace("props", "}", ", "), F.concat_ws(", ", kind, value), F.lit("}"))
+    given = t.events.select("event_id", F.when(F.col("event_id") % 50 == 0, "no JSON").otherwise(text).alias("props"))
+    typed = files.json_columns(given, "props").drop("props")
+    return typed.withColumn("value", F.col("value").cast("double"))
+
+
+def _odd_lines(t: Tables) -> str:
+    """Events as JSON lines, some of which are broken, are no objects or hold a text in place of a number."""
+    path, number = scratch_path(t.spark, "odd-lines"), F.col("event_id")
+    line = F.format_string('{"event_id": %d, "kind": "%s"}', number, F.col("event_type"))
+    odd = (
+        F.when(number % 40 == 0, F.concat(F.lit("{"), line))
+        .when(number % 40 == 1, F.concat(F.lit("["), number, F.lit("]")))
+        .when(number % 40 == 2, F.format_string('{"event_id": "%d th", "kind": "%s"}', number, F.col("event_type")))
+        .otherwise(line)
+    )
+    t.events.select(odd.alias("value")).write.text(path)
+    return path
+
+
+_EVENT = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("kind", T.StringType())])
+
+
+@query("A3")
+def accepted_lines(t: Tables) -> DataFrame:
+    return files.read_json_checked(t.spark, _odd_lines(t), _EVENT)[0]
+
+
+@query("A3")
+def rejected_lines(t: Tables) -> DataFrame:
+    return files.read_json_checked(t.spark, _odd_lines(t), _EVENT)[1]
+
+
+@query("A4")
+def rejected_people(t: Tables) -> DataFrame:
+    path, key = scratch_path(t.spark, "odd-people"), F.col("c_custkey")
+    age = F.when(key % 9 == 0, "").when(key % 9 == 1, ", unknown").when(key % 9 == 2, ", 1, 2")
+    line = F.concat(F.when(key % 9 != 3, F.col("c_name")).otherwise(" "), F.coalesce(age, F.concat(F.lit(", "), key % 60)))
+    t.customer.select(line.alias("value")).write.text(path)
+    return files.read_people_checked(t.spark, path)[1]
+
+
+@query("H10")
+def records_read_back(t: Tables) -> DataFrame:
+    table = _text(sessions.session_records(t.actions))
+    written = table.select(texts.record(**{c: F.col(c) for c in table.columns}).alias("record"))
+    empty = {"search_keywords": "", "click_category_ids": ""}
+    return written.select(texts.typed_record(F.col("record"), table.schema, empty).alias("row")).select("row.*")
+
+
+@query("A8")
+def functions_in_sql(t: Tables) -> DataFrame:
+    in_sql.register_functions(t.spark)
+    actions, _ = tables.register_views(t.actions, t.users, _own())
+    return t.spark.sql(f"""
+        SELECT session_id, action_time, date_hour(action_time) AS hour,
+            seconds_apart(coalesce(search_keyword, action_time), '2024-01-15 12:00:00') AS seconds,
+            is_before(action_time, '2024-01-15 12:00:00') AS before, no_text(search_keyword) AS no_keyword,
+            without_commas(concat(',', order_category_ids, ',')) AS ids, two_digits(CAST(page_id AS STRING)) AS page,
+            array_join(id_list(order_product_ids), '+') AS products,
+            record_field(concat('page=', page_id, '|kind=', action), 'kind') AS kind, share_3(page_id, user_id) AS share
+        FROM {actions}""")

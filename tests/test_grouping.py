@@ -170,3 +170,29 @@ def test_full_join_matches_spark(spark):
     b = spark.createDataFrame([(2, "x"), (2, "y"), (3, "z"), (None, "n")], "k int, r string")
     got = Counter(map(tuple, joins.full_join(a, b, "k").collect()))
     assert got == Counter(map(tuple, a.join(b, "k", "full").collect()))
+
+
+def test_keys_of_one_page_and_of_more(spark):
+    """Keys at the edge of a page, whose lists come either way, are the same lists cut into pages."""
+    rows = [(k, (i * 7) % 5 if i % 3 else None) for k, n in ((None, 4), (1, 5), (2, 6), (3, 11), (4, 1)) for i in range(n)]
+    df = spark.createDataFrame(rows, "k int, v int")
+    order = lambda v: (v is not None, v or 0)
+    for page_rows in (1, 3, 5, 6, 100):
+        got = grouping.values_by_key(df, "k", "v", page_rows).collect()
+        lists = {}
+        for r in sorted(got, key=lambda r: r["page"]):
+            assert 1 <= len(r["values"]) <= page_rows
+            lists.setdefault(r["k"], []).extend(r["values"])
+        assert lists == {k: sorted((v for x, v in rows if x == k), key=order) for k in (None, 1, 2, 3, 4)}
+        assert sorted((str(r["k"]), r["page"]) for r in got) == sorted(
+            (str(k), p) for k, v in lists.items() for p in range(-(-len(v) // page_rows))
+        )
+    left, right = df.where("k < 3"), df.where("k > 1").withColumnRenamed("v", "w")
+    for page_rows in (2, 5, 6, 100):
+        got = grouping.cogroup(left, right, "k", page_rows).collect()
+        for side, frame in (("left_values", left), ("right_values", right)):
+            lists = {}
+            for r in sorted(got, key=lambda r: r["page"]):
+                lists.setdefault(r["k"], []).extend(r[side])
+            given = [tuple(r) for r in frame.collect()]
+            assert {k: v for k, v in lists.items() if v} == {k: sorted((v for x, v in given if x == k), key=order) for k, _ in given}

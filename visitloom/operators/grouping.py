@@ -8,11 +8,13 @@ pages in order are the list. What one key's pages are depends on its own values
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from visitloom.operators.positions import with_starts
+from visitloom.session import through_storage
 
 # Values of a page, if the caller does not say.
 PAGE_ROWS = 100_000
@@ -42,7 +44,33 @@ def distinct_rows(df: DataFrame, *columns: str) -> DataFrame:
 def _paged(values: DataFrame, keys: Sequence[str], lists: Sequence[str], page_rows: int) -> DataFrame:
     """(…keys, page, …lists) of rows (…keys, list, a column of each list's name).
 
-    A row belongs to the list it names, with the value in that column; the others are NULL. Equal rows are
+    Rows are counted by key and list first, which Spark combines before the shuffle. Keys whose lists fit a page have
+    just that page; only the values of others need positions.
+    """
+    if not keys:
+        return _by_position(values, keys, lists, page_rows)
+    sizes = values.groupBy(*keys, "list").agg(F.count(F.lit(1)).alias("n"))
+    large = through_storage(sizes.where(F.col("n") > page_rows).select(*keys).distinct(), "large-keys")
+    if large.isEmpty():
+        return _in_one_page(values, keys, lists)
+    named = large.select(*(F.col(k).alias(f"large_{k}") for k in keys))
+    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"large_{k}")) for k in keys))
+    small = _in_one_page(values.join(named, same, "left_anti"), keys, lists)
+    return small.unionByName(_by_position(values.join(named, same, "left_semi"), keys, lists, page_rows))
+
+
+def _in_one_page(values: DataFrame, keys: Sequence[str], lists: Sequence[str]) -> DataFrame:
+    def listed(name: str) -> Column:
+        mine = F.collect_list(F.when(F.col("list") == name, F.struct(F.col(name).alias("value"))))
+        return F.transform(F.sort_array(mine), lambda s: s["value"]).alias(name)
+
+    page = F.lit(0).cast("bigint").alias("page")
+    grouped = values.groupBy(*keys).agg(*(listed(name) for name in lists))
+    return grouped.select(*keys, page, *lists)
+
+
+def _by_position(values: DataFrame, keys: Sequence[str], lists: Sequence[str], page_rows: int) -> DataFrame:
+    """A row belongs to the list it names, with the value in that column; the others are NULL. Equal rows are
     counted first, so that no value is hot; each then knows the pages it is on.
     """
     counted = values.groupBy(*keys, "list", *lists).agg(F.count(F.lit(1)).alias("n"))

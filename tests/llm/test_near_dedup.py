@@ -130,3 +130,36 @@ def test_texts_of_one_doc_id_are_linked_to_the_first(spark):
     reps = spark.createDataFrame([(7, r) for r in range(3, 203)] + [(8, 300), (8, 400)], "doc_id long, rep long")
     links = sorted(map(tuple, near_dedup._linked_to_first(reps).collect()))
     assert links == [(3, r) for r in range(4, 203)] + [(300, 400)]
+
+
+def test_pairs_of_several_buckets_come_once(make_documents, monkeypatch):
+    """Edits of one text, most of them too far from each other: no pair leaves two blocks, and few pairs leave one."""
+    rng = random.Random(3)
+    base = words(rng, 200)
+    rows = [(i, " ".join(edited(rng, base, rng.randrange(5, 9)))) for i in range(300)]
+    seen, across = [], near_dedup._across_components
+
+    def counted(*given):
+        pairs = across(*given)
+        seen.extend(map(tuple, pairs.collect()))
+        return pairs
+
+    monkeypatch.setattr(near_dedup, "_across_components", counted)
+    monkeypatch.setattr(near_dedup, "BLOCK", 20)
+    check(make_documents, rows)
+    assert 0 < len(seen) == len(set(seen)) < 4 * len(rows)
+
+
+def test_keys_below():
+    import numpy as np
+    import pyarrow as pa
+
+    rng = random.Random(2)
+    for _ in range(50):
+        lists = [rng.sample(range(-100, 100), rng.randrange(0, 32)) for _ in range(rng.randrange(1, 40))]
+        key = rng.randrange(-100, 100)
+        bits = near_dedup._keys_below(key, pa.array(lists, pa.list_(pa.int64())))
+        for i, a in enumerate(lists):
+            for j, b in enumerate(lists):
+                if i != j:
+                    assert bool(np.any(bits[i] & bits[j])) == any(k < key for k in set(a) & set(b))

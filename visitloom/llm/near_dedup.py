@@ -236,10 +236,11 @@ def _with_shared_shingles(sets: DataFrame, percent: int) -> DataFrame:
 def _across_components(
     members: DataFrame, components: DataFrame, sets: DataFrame, percent: int, miss: float
 ) -> DataFrame:
-    """Pairs (a, b) of different components in one bucket that sequential comparison does not drop.
+    """Pairs (a, b) of different components in one bucket that sequential comparison does not drop, each once.
 
     Members of the bucket's largest component are at home, the others away. Away members are compared with
-    all others but those of their component, in blocks: home with away, and away with away.
+    all others but those of their component, in blocks: home with away, and away with away. Two members of several
+    buckets are compared in that of the smallest key; both are in a block there too, as their components differ.
     """
     least = fewest_matches(percent, miss, LONG)
     labelled = members.join(components.withColumnRenamed("node", "rep"), "rep", "left").select(
@@ -257,9 +258,12 @@ def _across_components(
         F.expr(f"ceil(count_if(NOT at_home) / {BLOCK})").alias("away_blocks"),
     )
     block = F.pmod(F.xxhash64("rep"), F.when(F.col("at_home"), F.col("home_blocks")).otherwise(F.col("away_blocks")))
+    # As many keys as a signature has bands, at most.
+    keys = open_.groupBy("rep").agg(F.collect_set("key").alias("keys"))
     placed = (
         open_.join(sizes, "key")
         .join(values.select(F.col("doc_id").alias("rep"), "values"), "rep")
+        .join(keys, "rep")
         .withColumn("block", block)
     )
     # Blocks (home i, away j) are numbered (i, j), and (away i, away j) with i <= j are numbered (-1 - i, j).
@@ -270,14 +274,14 @@ def _across_components(
             transform(sequence(0L, away_blocks - 1), k -> struct(-1 - least(block, k) AS i, greatest(block, k) AS j)))
         END""")
     blocks = (
-        placed.select("key", F.struct("rep", "component", "at_home", "values", "n", "shared").alias("member"), F.explode(meets).alias("at"))
+        placed.select("key", F.struct("rep", "component", "at_home", "values", "n", "shared", "keys").alias("member"), F.explode(meets).alias("at"))
         .groupBy("key", "at")
         .agg(F.collect_list("member").alias("members"))
-        .select("members")
+        .select("key", "members")
     )
 
     def start() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
-        def pairs(block: pa.StructArray) -> tuple[np.ndarray, np.ndarray]:
+        def pairs(key: int, block: pa.StructArray) -> tuple[np.ndarray, np.ndarray]:
             rep, component = (block.field(i).to_numpy() for i in (0, 1))
             home, rows = block.field(2).to_numpy(zero_copy_only=False), _signatures(block.field(3), LONG)
             size, shared = block.field(4).to_numpy(), block.field(5).to_numpy()
@@ -289,18 +293,33 @@ def _across_components(
             # What both could have in common at most has to suffice for their sizes.
             able = (100 + percent) * np.minimum(shared[a], shared[b]) >= percent * (size[a] + size[b])
             a, b = a[able], b[able]
+            lower = _keys_below(key, block.field(6))
+            elsewhere = (lower[a] & lower[b]).any(axis=1)
+            a, b = a[~elsewhere], b[~elsewhere]
             alive = surviving(rows[a], rows[b], least)
             return rep[a[alive]], rep[b[alive]]
 
         def handle(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found = [pairs(x.values) for x in batch.column(0)]
+            found = [pairs(key.as_py(), members.values) for key, members in zip(*batch.columns)]
             a = np.concatenate([x for x, _ in found]) if found else np.zeros(0, np.int64)
             b = np.concatenate([x for _, x in found]) if found else a
             return pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
         return handle
 
-    return map_pieces(blocks, start, "a long, b long").distinct()
+    return map_pieces(blocks, start, "a long, b long")
+
+
+def _keys_below(key: int, keys: pa.ListArray) -> np.ndarray:
+    """For each list of keys, as bits of a row: which keys it has below `key`, of those that several lists have."""
+    values, owner = keys.flatten().to_numpy(), np.repeat(np.arange(len(keys)), keys.value_lengths().to_numpy())
+    values, owner = values[values < key], owner[values < key]
+    _, number, counts = np.unique(values, return_inverse=True, return_counts=True)
+    several = counts[number] > 1
+    number, owner = number[several], owner[several]
+    bits = np.zeros((len(keys), len(counts) // 64 + 1), np.uint64)
+    np.bitwise_or.at(bits, (owner, number // 64), np.uint64(1) << (number % 64).astype(np.uint64))
+    return bits
 
 
 def _long_signatures(sets: DataFrame) -> DataFrame:

@@ -274,21 +274,23 @@ def _across_components(
             transform(sequence(0L, away_blocks - 1), k -> struct(-1 - least(block, k) AS i, greatest(block, k) AS j)))
         END""")
     blocks = (
-        placed.select("key", F.struct("rep", "component", "at_home", "values", "n", "shared", "keys").alias("member"), F.explode(meets).alias("at"))
+        placed.select("key", F.struct("rep", "component", "at_home", "values", "n", "shared", "keys", "block").alias("member"), F.explode(meets).alias("at"))
         .groupBy("key", "at")
         .agg(F.collect_list("member").alias("members"))
-        .select("key", "members")
+        .select("key", (F.col("at.i") == -1 - F.col("at.j")).alias("one_block"), "members")
     )
 
     def start() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
-        def pairs(key: int, block: pa.StructArray) -> tuple[np.ndarray, np.ndarray]:
+        def pairs(key: int, one_block: bool, block: pa.StructArray) -> tuple[np.ndarray, np.ndarray]:
             rep, component = (block.field(i).to_numpy() for i in (0, 1))
             home, rows = block.field(2).to_numpy(zero_copy_only=False), _signatures(block.field(3), LONG)
             size, shared = block.field(4).to_numpy(), block.field(5).to_numpy()
             away = np.flatnonzero(~home)
             others = np.flatnonzero(home) if home.any() else away
             a, b = np.repeat(away, len(others)), np.tile(others, len(away))
-            differ = (component[a] != component[b]) & (home[b] | (a < b))
+            # Members of one block meet in that block alone, not in those that it is part of.
+            number = block.field(7).to_numpy()
+            differ = (component[a] != component[b]) & (home[b] | (a < b) & (one_block | (number[a] != number[b])))
             a, b = a[differ], b[differ]
             # What both could have in common at most has to suffice for their sizes.
             able = (100 + percent) * np.minimum(shared[a], shared[b]) >= percent * (size[a] + size[b])
@@ -300,7 +302,7 @@ def _across_components(
             return rep[a[alive]], rep[b[alive]]
 
         def handle(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found = [pairs(key.as_py(), members.values) for key, members in zip(*batch.columns)]
+            found = [pairs(key.as_py(), one.as_py(), members.values) for key, one, members in zip(*batch.columns)]
             a = np.concatenate([x for x, _ in found]) if found else np.zeros(0, np.int64)
             b = np.concatenate([x for _, x in found]) if found else a
             return pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])

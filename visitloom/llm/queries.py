@@ -46,8 +46,8 @@ def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     documents = _table(spark, folder, "documents").select("doc_id", "text")
     labels = _table(spark, folder, "labels").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    examples = documents.where(~held_out("doc_id")).join(labels.where("toxic IS NOT NULL"), "doc_id")
-    scored = score_toxicity(documents, fit_toxicity(documents, examples))
+    model = fit_toxicity(documents, documents.where(~held_out("doc_id")), labels=labels.where("toxic IS NOT NULL"))
+    scored = score_toxicity(documents, model)
     return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted", "evidence")
 
 

@@ -31,8 +31,10 @@ CLASS_WEIGHT = 3.0
 LEAST_RATIO = 8.0
 NEIGHBOURS = 15
 BLOCK = 32
-# Terms of more than one in so many entries are bounded before they are added up.
-COMMON = 64
+# Terms of more than one in so many entries are bounded before they are added up; those of more than one in DENSE are
+# added up for all entries and many texts at once, as a product of matrices.
+COMMON, DENSE = 64, 8
+TEXTS = 256  # of such a product
 # Work of a weight looked up by its entry, in weights of postings.
 FORWARD = 3
 THRESHOLD = 0.3
@@ -49,7 +51,9 @@ class Entries:
     starts: np.ndarray  # by term: where its postings start
     numbers: np.ndarray  # postings: entries in order, weights
     values: np.ndarray
-    common: np.ndarray  # by term: its number among the common ones, or -1
+    dense: np.ndarray  # by term: its row in dense_values, or -1
+    dense_values: np.ndarray  # terms of more than one in DENSE entries x entries
+    common: np.ndarray  # by term: its number among the other common ones, or -1
     block_most: np.ndarray  # common terms x blocks
     common_lengths: np.ndarray  # by entry: the length of its part of common terms, and that part
     common_starts: np.ndarray
@@ -79,29 +83,46 @@ class Entries:
         given = dense[self.common_terms[at]] * self.common_values[at]
         return np.bincount(np.repeat(np.arange(len(entries)), lengths), given, minlength=len(entries))
 
-    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """The k entries of the largest cosine above 0, ties to the earlier entry: numbers and cosines."""
+    def dense_parts(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """What the terms of most entries give to each entry, for each of the vectors (terms, weights)."""
+        given = np.zeros((len(vectors), len(self.dense_values)))
+        for row, (terms, weights) in zip(given, vectors):
+            held = self.dense[terms]
+            row[held[held >= 0]] = weights[held >= 0]
+        return given @ self.dense_values
+
+    def nearest(
+        self, terms: np.ndarray, weights: np.ndarray, k: int, dense: np.ndarray | None = None
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """The k entries of the largest cosine above 0, ties to the earlier entry: numbers and cosines.
+
+        `dense`: the vector's row of `dense_parts`, if it is known.
+        """
         if not len(self.ids) or not len(terms):
             return np.zeros(0, np.int64), np.zeros(0)
+        if dense is None:
+            dense = self.dense_parts([(terms, weights)])[0]
+        other = self.dense[terms] < 0
+        terms, weights = terms[other], weights[other]
         place = self.common[terms]
         rare = place < 0
-        scores = self._summed(terms[rare], weights[rare])
+        scores = dense + self._summed(terms[rare], weights[rare])
         entries = np.arange(len(scores))
         if not rare.all():
             held, given = place[~rare], weights[~rare]
             blocks = np.repeat(given @ self.block_most[held], BLOCK)[: len(scores)]
             bounds = scores + np.minimum(blocks, np.linalg.norm(given) * self.common_lengths)
-            dense = np.zeros(len(self.block_most))
-            dense[held] = given
+            by_term = np.zeros(len(self.block_most))
+            by_term[held] = given
             if len(scores) > k:
                 likely = np.argpartition(-bounds, k - 1)[:k]
-                kth = (scores[likely] + self._common_part(likely, dense)).min()
+                kth = (scores[likely] + self._common_part(likely, by_term)).min()
                 # A bound is a float sum too: what is equal within rounding is still scored.
                 entries = np.flatnonzero(bounds * (1 + 1e-9) + 1e-12 >= kth)
             # The entries left are added up one by one, or all by the postings if that is less work.
             of_entries = (self.common_starts[entries + 1] - self.common_starts[entries]).sum()
             if FORWARD * of_entries < (self.starts[terms + 1] - self.starts[terms])[~rare].sum():
-                scores = scores[entries] + self._common_part(entries, dense)
+                scores = scores[entries] + self._common_part(entries, by_term)
             else:
                 scores = (scores + self._summed(terms[~rare], given))[entries]
         if len(scores) > k:
@@ -130,12 +151,22 @@ class ToxicityModel:
         """The weighted share of toxic texts among the nearest entries, and the evidence."""
         return self.voted(self.vector(counts))
 
+    def nearest_of_all(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The nearest entries and their cosines of each vector."""
+        for first in range(0, len(vectors), TEXTS):
+            some = vectors[first : first + TEXTS]
+            for vector, dense in zip(some, self.entries.dense_parts(some)):
+                yield self.entries.nearest(*vector, NEIGHBOURS, dense)
+
     def voted(
-        self, vector: tuple[np.ndarray, np.ndarray], without: int | None = None
+        self,
+        vector: tuple[np.ndarray, np.ndarray],
+        without: int | None = None,
+        nearest: tuple[np.ndarray, np.ndarray] | None = None,
     ) -> tuple[float, list[tuple[int, float, float]]]:
-        """`without`: the label of an example whose own part in its entry is left out."""
+        """`without`: the label of an example whose own part in its entry is left out; `nearest`: if it is known."""
         entries = self.entries
-        found, cosines = entries.nearest(*vector, NEIGHBOURS)
+        found, cosines = entries.nearest(*vector, NEIGHBOURS) if nearest is None else nearest
         texts, toxic = entries.texts[found].astype(float), entries.toxic[found].astype(float)
         if without is not None:
             own = cosines > 1 - 1e-9
@@ -211,8 +242,14 @@ def _build_entries(
     term = np.concatenate([np.zeros(0, np.int64), *(e[3] for e in order)])
     value = np.concatenate([np.zeros(0), *(e[4] for e in order)])
     held = np.bincount(term, minlength=terms)
-    common = np.full(terms, -1)
-    of_many = np.flatnonzero(held > len(order) / COMMON)
+    dense, common = np.full((2, terms), -1)
+    of_most = np.flatnonzero(held > len(order) / DENSE)
+    dense[of_most] = np.arange(len(of_most))
+    # A row has a posting in each DENSE numbers at least.
+    dense_values = np.zeros((len(of_most), len(order)))
+    in_most = dense[term] >= 0
+    dense_values[dense[term[in_most]], number[in_most]] = value[in_most]
+    of_many = np.flatnonzero((held > len(order) / COMMON) & (dense < 0))
     common[of_many] = np.arange(len(of_many))
     inside = common[term] >= 0
     common_term, common_number, common_value = common[term[inside]], number[inside], value[inside]
@@ -226,6 +263,8 @@ def _build_entries(
         np.append(0, np.cumsum(held)),
         number[by_term],
         value[by_term],
+        dense,
+        dense_values,
         common,
         most,
         np.sqrt(np.bincount(common_number, common_value**2, minlength=len(order))),
@@ -251,25 +290,30 @@ def _rising(
     return np.array([v / n for v, _, n in pools]), np.array([t / n for _, t, n in pools])
 
 
-def _sampled(examples: DataFrame, max_examples: int, max_bytes: int) -> DataFrame:
+def _sampled(examples: DataFrame, labels: DataFrame | None, max_examples: int, max_bytes: int) -> DataFrame:
     """(doc_id, text, texts, toxic) of each distinct text of a sample: its smallest doc_id, its examples, the toxic ones.
 
     Drawn are at most `max_examples` pairs (doc_id, text), by the smallest hashes of both, and none after the one with
-    which their distinct texts reach `max_bytes`. Copies of a text under other ids are drawn apart.
+    which their distinct texts reach `max_bytes`. Copies of a text under other ids are drawn apart. Examples have a label,
+    toxic, or get it from `labels` by doc_id. Only hashes are shuffled for that, and then the texts that are drawn.
     """
     hashed = examples.withColumn("drawn", F.xxhash64("doc_id", "text"))
-    sizes = hashed.select("drawn", F.xxhash64("text").alias("of"), F.octet_length("text").alias("size"))
-    sizes = sizes.groupBy("drawn").agg(F.min("of").alias("of"), F.min("size").alias("size"))
-    last, held, size = None, set(), 0
+    sizes = hashed.select("*", F.xxhash64("text").alias("of"), F.octet_length("text").alias("size")).drop("text")
+    sizes = sizes if labels is None else sizes.join(labels, "doc_id")
+    sizes = sizes.where("toxic IS NOT NULL").groupBy("drawn")
+    sizes = sizes.agg(F.min("of").alias("of"), F.min("size").alias("size"), F.max("toxic").alias("toxic"))
+    picked, held, size = [], set(), 0
     for row in sizes.orderBy("drawn").limit(max_examples).collect():
         if size >= max_bytes:
             break
         if row["of"] not in held:
             held.add(row["of"])
             size += row["size"]
-        last = row["drawn"]
-    drawn = hashed.where(F.col("drawn") <= F.lit(last)) if held else hashed.limit(0)
-    pairs = drawn.groupBy("doc_id", "text").agg(F.max("toxic").alias("toxic"))
+        picked.append((row["drawn"], row["toxic"]))
+    # At most max_examples rows of two numbers.
+    chosen = examples.sparkSession.createDataFrame(picked, "drawn long, toxic int")
+    texts = hashed.select("doc_id", "text", "drawn").join(F.broadcast(chosen), "drawn")
+    pairs = texts.groupBy("doc_id", "text").agg(F.max("toxic").alias("toxic"))
     return pairs.groupBy("text").agg(
         F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("texts"), F.sum("toxic").alias("toxic")
     )
@@ -283,17 +327,18 @@ def fit_toxicity(
     toxic: str = "toxic",
     max_examples: int = EXAMPLES,
     max_bytes: int = EXAMPLE_BYTES,
+    labels: DataFrame | None = None,
 ) -> ToxicityModel:
     """A model of the examples (doc_id, text, toxic 0 or 1), with the frequencies of all `documents`.
 
+    With `labels` (doc_id, toxic), one row a doc_id, they are the examples' labels, and examples need no column for them.
     Repeated rows of one doc_id and text are one example, toxic if one of them is. Of more than `max_examples`, or than
     `max_bytes` of distinct texts, those of the smallest hashes of doc_id and text are taken. Examples without a label
     are left out. Without examples, and without toxic ones, every score is 0.
     """
-    given = examples.select(
-        F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"),
-        F.col(toxic).cast("int").alias("toxic"),
-    ).where("toxic IS NOT NULL")
+    number, label = F.col(doc_id).cast("long").alias("doc_id"), F.col(toxic).cast("int").alias("toxic")
+    given = examples.select(number, F.coalesce(F.col(text), F.lit("")).alias("text"), *([label] if labels is None else []))
+    labels = labels if labels is None else labels.select(number, label)
 
     def count() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
         def handle(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -312,7 +357,7 @@ def fit_toxicity(
         return handle
 
     schema = "doc_id long, texts long, toxic long, words array<binary>, counts array<long>"
-    sample = _sampled(given, max_examples, max_bytes).select("doc_id", "text", "texts", "toxic")
+    sample = _sampled(given, labels, max_examples, max_bytes).select("doc_id", "text", "texts", "toxic")
     rows = map_pieces(sample, count, schema).toArrow()  # distinct texts, bounded by the sample
     doc_ids = pc.fill_null(rows.column("doc_id"), 0).to_pylist()
     texts, toxic_texts = rows.column("texts").to_numpy(), rows.column("toxic").to_numpy()
@@ -342,8 +387,8 @@ def fit_toxicity(
     if not vectors:
         return model
     votes = [
-        (model.voted(vector, without=label)[0], label, of_label)
-        for vector, n, t in zip(vectors, texts.tolist(), toxic_texts.tolist())
+        (model.voted(vector, label, nearest)[0], label, of_label)
+        for vector, nearest, n, t in zip(vectors, model.nearest_of_all(vectors), texts.tolist(), toxic_texts.tolist())
         for label, of_label in ((0, n - t), (1, t))
         if of_label
     ]
@@ -362,14 +407,16 @@ def score_toxicity(documents: DataFrame, model: ToxicityModel, doc_id: str = "do
     def start() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
         model = shared.value
 
-        def scored(text: str | None) -> tuple[float, list[dict]]:
-            vote, evidence = model.vote(Counter(plain_words(text)))
-            return model.calibrated(vote), [{"doc_id": i, "similarity": c, "toxic": t} for i, c, t in evidence]
+        def scored(texts: list[str | None]) -> Iterator[tuple[float, list[dict]]]:
+            vectors = [model.vector(Counter(plain_words(text))) for text in texts]
+            for vector, nearest in zip(vectors, model.nearest_of_all(vectors)):
+                vote, evidence = model.voted(vector, nearest=nearest)
+                yield model.calibrated(vote), [{"doc_id": i, "similarity": c, "toxic": t} for i, c, t in evidence]
 
         entry = pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("toxic", pa.float64())])
 
         def handle(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found = [scored(x.as_py()) for x in batch.column(1)]
+            found = list(scored(batch.column(1).to_pylist()))
             return pa.record_batch(
                 [
                     batch.column(0),

@@ -33,7 +33,7 @@ NEIGHBOURS = 15
 BLOCK = 32
 # Terms of more than one in so many entries are bounded before they are added up; those of more than one in DENSE are
 # added up for all entries and many texts at once, as a product of matrices.
-COMMON, DENSE = 64, 8
+COMMON, DENSE = 64, 16
 TEXTS = 256  # of such a product
 # Work of a weight looked up by its entry, in weights of postings.
 FORWARD = 3

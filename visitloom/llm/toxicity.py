@@ -18,6 +18,7 @@ from dataclasses import dataclass, replace
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -231,7 +232,7 @@ def _build_entries(
     """The index of examples (doc_id, toxic, term ids, weights); `texts`: how many each stands for, if not one."""
     grouped: dict[tuple, list] = {}
     for (doc_id, toxic, ids, weights), n in zip(vectors, texts or [1] * len(vectors)):
-        key = ids.astype(np.int64).tobytes(), np.round(weights, 12).tobytes()
+        key = xxhash.xxh3_128_digest(ids.astype(np.int64).tobytes() + np.round(weights, 12).tobytes())
         entry = grouped.setdefault(key, [doc_id, 0, 0, ids, weights, key])
         entry[0] = min(entry[0], doc_id)
         entry[1] += n
@@ -261,7 +262,7 @@ def _build_entries(
         np.array([e[1] for e in order], np.int64),
         np.array([e[2] for e in order], np.int64),
         np.append(0, np.cumsum(held)),
-        number[by_term],
+        number[by_term].astype(np.int32),
         value[by_term],
         dense,
         dense_values,
@@ -365,7 +366,7 @@ def fit_toxicity(
     words = pc.list_flatten(rows.column("words")).combine_chunks().dictionary_encode()
     numbers = pc.list_flatten(rows.column("counts")).to_numpy()
     ids = {word: i for i, word in enumerate(sorted(words.dictionary.to_pylist()))}
-    terms = np.array([ids[word] for word in words.dictionary.to_pylist()], np.int64)[words.indices.to_numpy()]
+    terms = np.array([ids[word] for word in words.dictionary.to_pylist()], np.int32)[words.indices.to_numpy()]
     del rows, words
 
     p, n = int(toxic_texts.sum()), int((texts - toxic_texts).sum())
@@ -379,6 +380,7 @@ def fit_toxicity(
 
     ends = np.cumsum(sizes)
     vectors = [_unit(terms[e - m : e], numbers[e - m : e], weights) for e, m in zip(ends.tolist(), sizes.tolist())]
+    del terms, numbers, a, b, favoured
     held = [i for i, m in enumerate(sizes.tolist()) if m]
     entries = _build_entries(
         [(doc_ids[i], int(toxic_texts[i]), *vectors[i]) for i in held], len(ids), [int(texts[i]) for i in held]

@@ -1,6 +1,9 @@
 """Small cases of the operators: null, empty and long texts, ties, repeated rows, empty tables, other columns."""
 
+import math
 import random
+import re
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -170,6 +173,81 @@ def test_languages(make_documents):
         language_id.identify_languages(make_documents(*ROWS), model)
 
 
+def _posterior(text, examples):
+    """Naive Bayes one n-gram at a time: the language of the text and its posterior."""
+
+    def grams(text):
+        codes = [ord(c) for c in text.lower()]
+        for order in range(3):
+            for i in range(len(codes) - order):
+                gram = 0
+                for code in codes[i : i + order + 1]:
+                    gram = (gram * 1_000_003 + code) % 2**32
+                mixed = ((gram ^ (gram >> 15)) * 2_654_435_761 + order * 0x9E3779B1) % 2**32
+                yield mixed >> (32 - language_id.BUCKET_BITS)
+
+    logs = {}
+    for lang in sorted({x for _, x in examples}):
+        counts = Counter(g for t, x in examples if x == lang for g in grams(t))
+        total = sum(counts.values()) + language_id.SMOOTHING * language_id.BUCKETS
+        prior = math.log(sum(x == lang for _, x in examples) / len(examples))
+        logs[lang] = prior + sum(math.log((counts[g] + language_id.SMOOTHING) / total) for g in grams(text))
+    best = max(logs.values())
+    return next(k for k, v in logs.items() if v == best), 1 / sum(math.exp(v - best) for v in logs.values())
+
+
+@pytest.mark.parametrize("characters", [1, 50, language_id.GROUP_CHARACTERS])
+def test_languages_equal_a_plain_program(spark, monkeypatch, characters):
+    """Also with tied languages: 'aa' and 'zz' have the same texts."""
+    monkeypatch.setattr(language_id, "GROUP_CHARACTERS", characters)
+    texts = {"aa": ["un dos tres", "İstanbul 🙂"], "zz": ["un dos tres", "İstanbul 🙂"], "en": ["the cat", "", "a\nb", "x"]}
+    examples = [(t, lang) for lang, each in texts.items() for t in each]
+    rows = [(i, t, lang) for i, (t, lang) in enumerate(examples)] + [(None, None, "en"), (90, "no language", None)]
+    model = language_id.fit_languages(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    asked = ["un dos", "the", "İ", "", None, "1 2", "dos cats 🙂 中" * 40, "a", "tres", "the", "x" * 300]
+    for text, (lang, score) in zip(asked, model.predict(asked), strict=True):
+        if text is None or not re.search("[^\\W\\d_]", text):
+            assert (lang, score) == ("und", 0.0)
+            continue
+        expected, posterior = _posterior(text, examples)
+        assert abs(score - posterior) < 1e-9
+        assert lang == expected
+    assert model.predict(["un dos"])[0][0] == "aa" and model.predict([]) == []
+
+
+def test_codec_returns_the_rebuilt_tokenizers_ids(monkeypatch):
+    """A tokenizer built wrongly shows: its words are those of sentencepiece with parity false, also word by word."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    texts = ["the house of the rising sun", "", "é 中 🙂", "a b", "tokens " * 50]
+    right = [(ids.tolist(), back, alike) for ids, back, alike in sentencepiece_codec.Codec(path).code(texts)]
+    assert all(alike for _, _, alike in right) and [back for _, back, _ in right] == texts
+    monkeypatch.setattr(sentencepiece_codec, "WHOLE", 1)
+    assert [(ids.tolist(), *rest) for ids, *rest in sentencepiece_codec.Codec(path).code(texts)] == right
+    codec = sentencepiece_codec.Codec(path)
+    codec.original = _Reversed(codec.original)
+    found = list(codec.code(texts))
+    assert [alike for _, _, alike in found] == [False, True, False, False, False]
+    monkeypatch.setattr(sentencepiece_codec, "_merges", lambda model: [])
+    for whole in (1, 1 << 62):
+        monkeypatch.setattr(sentencepiece_codec, "WHOLE", whole)
+        wrong = [(ids.tolist(), back, alike) for ids, back, alike in sentencepiece_codec.Codec(path).code(texts)]
+        assert [x[:2] for x in wrong] == [x[:2] for x in right]
+        assert not wrong[0][2] and not wrong[4][2] and wrong[1][2]
+
+
+class _Reversed:
+    """A library that gives pieces in another order: two and more are told from the right ones."""
+
+    def __init__(self, original):
+        self.original = original
+
+    def encode(self, texts, **options):
+        return [[*x[::-1], 5] if x else x for x in self.original.encode(texts, **options)]
+
+    def piece_to_id(self, piece):
+        return self.original.piece_to_id(piece)
+
+
 def test_codec(make_documents):
     import sentencepiece
 

@@ -1,7 +1,7 @@
 """Language identification: multinomial naive Bayes over hashed character n-grams.
 
 Training counts hashed n-grams of each language inside the tasks and sums them by (language, bucket). The
-matrix of log-probabilities, languages x BUCKETS, is broadcast; texts are scored as sparse counts times it.
+matrix of log-probabilities, languages x BUCKETS, is broadcast; batches of texts are scored as sparse counts times it.
 """
 
 from __future__ import annotations
@@ -25,6 +25,8 @@ BUCKETS = 1 << BUCKET_BITS
 SMOOTHING = 0.5
 # Bound of the model, and so of what is broadcast and fetched: MAX_LANGUAGES * BUCKETS numbers.
 MAX_LANGUAGES = 256
+# Characters of texts that are scored at a time, few enough for the caches of a core.
+GROUP_CHARACTERS = 1 << 15
 # Labelled rows, at about this number, of which the model is made.
 TRAIN_ROWS = 200_000
 _LETTER = regex.compile(r"\p{L}")
@@ -32,36 +34,71 @@ _LETTER = regex.compile(r"\p{L}")
 _TEXTS = -1
 
 
-def ngram_counts(text: str) -> np.ndarray:
-    """How often each bucket occurs among the character 1-, 2- and 3-grams of the lower-cased text."""
-    codes = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-    counts = np.zeros(BUCKETS, np.int64)
-    grams = codes
+def _groups(texts: list[str]) -> Iterator[list[str]]:
+    """The texts in order, in lists of about GROUP_CHARACTERS; a longer text is in a list that ends with it."""
+    group, size = [], 0
+    for text in texts:
+        group.append(text)
+        size += len(text)
+        if size >= GROUP_CHARACTERS:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
+
+def ngram_buckets(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the text, bucket) of each character 1-, 2- and 3-gram of the lower-cased texts; none goes across two."""
+    lowered = [text.lower() for text in texts]
+    codes = np.frombuffer("".join(lowered).encode("utf-32-le", "surrogatepass"), np.uint32)
+    owner = np.repeat(np.arange(len(lowered), dtype=np.int32), [len(text) for text in lowered])
+    grams, owners, buckets = codes, [], []
     for order in range(3):
         if order:
             grams = grams[:-1] * np.uint32(1_000_003) + codes[order:]
-        if not len(grams):
-            break
         mixed = (grams ^ (grams >> np.uint32(15))) * np.uint32(2_654_435_761) + np.uint32(order * 0x9E3779B1 % 2**32)
-        counts += np.bincount(mixed >> np.uint32(32 - BUCKET_BITS), minlength=BUCKETS)
-    return counts
+        bucket = (mixed >> np.uint32(32 - BUCKET_BITS)).astype(np.int32)
+        inside = owner[: len(owner) - order] == owner[order:]
+        owners.append(owner[order:][inside])
+        buckets.append(bucket[inside])
+    return np.concatenate(owners), np.concatenate(buckets)
 
 
 @dataclass(frozen=True)
 class LanguageModel:
     languages: list[str]
-    log_probability: np.ndarray  # BUCKETS x languages
+    log_probability: np.ndarray  # languages x BUCKETS
     log_prior: np.ndarray
 
-    def predict(self, text: str | None) -> tuple[str, float]:
-        """The likeliest language and its posterior probability."""
-        if not self.languages or text is None or not _LETTER.search(text):
-            return UNKNOWN, 0.0
-        counts = ngram_counts(text)
-        used = np.flatnonzero(counts)
-        scores = self.log_prior + counts[used] @ self.log_probability[used]
-        likely = int(scores.argmax())
-        return self.languages[likely], float(1 / np.exp(scores - scores[likely]).sum())
+    def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        """The likeliest language of each text, of equal ones the first in the order of names, and its posterior."""
+        found = [(UNKNOWN, 0.0)] * len(texts)
+        if not self.languages:
+            return found
+        known = [i for i, text in enumerate(texts) if text is not None and _LETTER.search(text)]
+        at = 0
+        for group in _groups([texts[i] for i in known]):
+            scores = self._scores(group)
+            likely = scores.argmax(axis=1)
+            best = scores[np.arange(len(group)), likely]
+            posterior = 1 / np.exp(scores - best[:, None]).sum(axis=1)
+            for i, language, score in zip(known[at : at + len(group)], likely.tolist(), posterior.tolist()):
+                found[i] = self.languages[language], score
+            at += len(group)
+        return found
+
+    def _scores(self, texts: list[str]) -> np.ndarray:
+        """Log of prior times likelihood, texts x languages: sparse counts times the matrix."""
+        owner, bucket = ngram_buckets(texts)
+        narrow = len(texts) << BUCKET_BITS < 1 << 31
+        keys = (owner.astype(np.int32 if narrow else np.int64) << BUCKET_BITS) | bucket
+        keys.sort()
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        counts = np.diff(np.append(first, len(keys)))
+        owner, bucket = keys[first] >> BUCKET_BITS, keys[first] & (BUCKETS - 1)
+        # A language at a time, so that memory goes with the n-grams of the texts, not with those times languages.
+        columns = [np.bincount(owner, counts * row[bucket], len(texts)) for row in self.log_probability]
+        return np.stack(columns, axis=1) + self.log_prior
 
 
 def fit_languages(
@@ -85,9 +122,13 @@ def fit_languages(
         sums: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(BUCKETS, np.int64))
         texts: dict[str, int] = defaultdict(int)
         for batch in batches:
+            of_language: dict[str, list[str]] = defaultdict(list)
             for language, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                sums[language] += ngram_counts(value)
-                texts[language] += 1
+                of_language[language].append(value)
+            for language, values in of_language.items():
+                texts[language] += len(values)
+                for group in _groups(values):
+                    sums[language] += np.bincount(ngram_buckets(group)[1], minlength=BUCKETS)
         for language, counts in sums.items():
             used = np.flatnonzero(counts)
             yield pa.record_batch(
@@ -114,9 +155,8 @@ def fit_languages(
     counts[bucket[grams], column[grams]] = n[grams]
     texts[column[~grams]] = n[~grams]
     counts += SMOOTHING
-    return LanguageModel(
-        languages, np.log(counts / counts.sum(axis=0)), np.log(texts / max(texts.sum(), 1)) if languages else texts
-    )
+    probability = np.ascontiguousarray((counts / counts.sum(axis=0)).T)
+    return LanguageModel(languages, np.log(probability), np.log(texts / max(texts.sum(), 1)) if languages else texts)
 
 
 def identify_languages(
@@ -138,7 +178,7 @@ def identify_languages(
         model = shared.value
 
         def handle(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found = [model.predict(x) for x in batch.column(at).to_pylist()]
+            found = model.predict(batch.column(at).to_pylist())
             return pa.record_batch(
                 [
                     *batch.columns,

@@ -1,8 +1,8 @@
 """SentencePiece encoding and decoding with the tokenizers library.
 
 The model file is a protocol buffer; it is parsed here, and its normaliser, space marker, pieces with their scores
-and byte fallback are rebuilt as a tokenizer of the tokenizers library, which encodes batches in several threads. Each
-result is compared with the sentencepiece library's own, which stands where the two differ.
+and byte fallback are rebuilt as a tokenizer of the tokenizers library, which encodes batches in several threads. Its ids
+are the result; each is compared with the sentencepiece library's own, which takes its place where the two differ.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
@@ -27,6 +28,8 @@ from visitloom.llm.batches import map_pieces
 MARKER = "▁"
 THREADS = 2
 CACHE_WORDS = 500_000
+# One of so many texts, drawn by a hash of the text, is also encoded and decoded as a whole and compared.
+WHOLE = 64
 _WORDS = re.compile(f"{MARKER}+[^{MARKER}]*|[^{MARKER}]+")
 # Fixed values of the model format: kinds of models and of pieces.
 UNIGRAM, BPE = 1, 2
@@ -147,7 +150,8 @@ class Codec:
     """Encodes and decodes with the tokenizers library.
 
     Where no piece crosses words, each distinct word is encoded, compared with sentencepiece and decoded once, and kept,
-    CACHE_WORDS at most; what holds for all words of a text then holds for the text. Other models work on whole texts.
+    CACHE_WORDS at most; what holds for all words of a text then holds for the text, which is tested on one of WHOLE texts.
+    Other models work on whole texts.
     """
 
     def __init__(self, path: str, threads: int = THREADS):
@@ -182,35 +186,47 @@ class Codec:
         own = [x.ids for x in self.words.encode_batch_fast(new, add_special_tokens=False)]
         # A word begins with a marker, which sentencepiece puts before a text itself.
         texts = [word[1:].replace(MARKER, " ") for word in new]
-        ids = self.original.encode(texts, num_threads=1)
+        original = self.original.encode(texts, num_threads=1)
         # The marker alone ends a text; by itself it would be an empty one.
-        ids = [x if text else [self.original.piece_to_id(MARKER)] for x, text in zip(ids, texts)]
+        original = [x if text else [self.original.piece_to_id(MARKER)] for x, text in zip(original, texts)]
+        self.unlike.update(word for word, a, b in zip(new, own, original) if a != b)
+        ids = [b if word in self.unlike else a for word, a, b in zip(new, own, original)]
         self.ids.update((word, np.array(x, np.int32).tobytes()) for word, x in zip(new, ids))
-        self.unlike.update(word for word, a, b in zip(new, own, ids) if a != b)
         decoded = self.tokenizer.decode_batch(ids, skip_special_tokens=False)
         self.lossy.update(word for word, a, b in zip(new, texts, decoded) if a != b)
 
+    def _whole(self, texts: list[str]) -> Iterator[tuple[list[int], str, bool]]:
+        """Whole texts through the tokenizers library, compared with sentencepiece."""
+        # An empty text has no pieces, not even a marker.
+        own = [x.ids if t else [] for x, t in zip(self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), texts)]
+        original = self.original.encode(texts, num_threads=1)
+        ids = [a if a == b else b for a, b in zip(own, original)]
+        decoded = self.tokenizer.decode_batch(ids, skip_special_tokens=False)
+        yield from zip(ids, decoded, (a == b for a, b in zip(own, original)))
+
     def code(self, texts: list[str]) -> Iterator[tuple[np.ndarray, str, bool]]:
         """Ids, their text, and whether both libraries agree; if not, the ids are those of sentencepiece."""
         if not self.by_word:
-            # An empty text has no pieces, not even a marker.
-            own = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-            ids = self.original.encode(texts, num_threads=1)
-            decoded = self.tokenizer.decode_batch(ids, skip_special_tokens=False)
-            for text, a, b, back in zip(texts, own, ids, decoded):
-                yield np.array(b, np.int32), back, a == b or not text
+            for ids, back, alike in self._whole(texts):
+                yield np.array(ids, np.int32), back, alike
             return
         cut = [_WORDS.findall(MARKER + text.replace(" ", MARKER)) if text else [] for text in texts]
         distinct = set(chain.from_iterable(cut))
         self._learn(distinct)
         unlike, lossy = distinct & self.unlike, distinct & self.lossy
-        for words in cut:
+        sample = [i for i, text in enumerate(texts) if not xxhash.xxh64_intdigest(text.encode()) % WHOLE]
+        whole = dict(zip(sample, self._whole([texts[i] for i in sample])))
+        for i, words in enumerate(cut):
             ids = np.frombuffer(b"".join(map(self.ids.__getitem__, words)), np.int32)
             if lossy and not lossy.isdisjoint(words):
                 text = self.tokenizer.decode(ids.tolist(), skip_special_tokens=False)
             else:
                 text = "".join(words).replace(MARKER, " ")[1:]
-            yield ids, text, not unlike or unlike.isdisjoint(words)
+            alike = not unlike or unlike.isdisjoint(words)
+            if i in whole and whole[i] != (ids.tolist(), text, alike):
+                given, text, _ = whole[i]
+                ids, alike = np.array(given, np.int32), False
+            yield ids, text, alike
 
 
 @cache
@@ -224,8 +240,8 @@ def encode_and_decode(
 ) -> DataFrame:
     """One row a document: doc_id, n_tokens, ids, decoded, parity, round_trip.
 
-    `model` is the place of a sentencepiece model file. ids are without begin and end; parity tells whether the
-    tokenizers library gave the same ids as sentencepiece, whose ids stand; decoded is the text of the ids, and round_trip
+    `model` is the place of a sentencepiece model file. ids are those of the tokenizers library, without begin and end;
+    parity tells whether sentencepiece gave the same; if not, its ids are returned. decoded is the text of the ids, and round_trip
     tells whether it is the document's. It is not where the model itself loses something, as it writes blanks for its marker.
     A null text has no ids, no decoded text and neither flag; an empty text has an empty list. Repeated rows and rows with
     null ids each give a row; other columns play no part; an empty table gives an empty result.

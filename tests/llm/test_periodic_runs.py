@@ -87,6 +87,15 @@ def test_long_texts():
     assert runs.tolist() == [[1_000, 199_000, 7], [250_000, 50_000, 1]]
 
 
+@pytest.mark.parametrize("least, exponent, n", [(24, 3, 8_192), (24, 3, 9_000), (24, 3, 16_383), (24, 3, 16_384), (1, 2, 3_000)])
+def test_long_periods_of_texts_of_every_size(least, exponent, n):
+    """The grid of a text holds all its periods, of however many pieces it is."""
+    for period in (n // exponent, n // (exponent + 1), n // (4 * exponent)):
+        words = np.arange(n) % period
+        (runs,) = RunFinder(least, exponent).find([words])
+        assert runs.tolist() == [[0, n, period]]
+
+
 def test_small_cases(spark, make_documents):
     a = " ".join(["x", "y\tz"] * 12)
     rows = [(1, None), (2, ""), (3, " \n\x0b "), (4, a), (4, a), (None, a), (5, "w " * 23), (6, "w " * 24),

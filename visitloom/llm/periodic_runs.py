@@ -134,7 +134,7 @@ class RunFinder:
         widths = self._width(np.arange(1, least + 2))
         # The places of a run that are equal to those a period later are at least so many; half of them lie on one side.
         self.half = int(widths.min()) // 2
-        self._small_grid = lru_cache(32)(lambda n: next(self._grid(n), None))
+        self._small_grid = lru_cache(32)(self._whole_grid)
 
     def _width(self, period: np.ndarray) -> np.ndarray:
         return np.maximum(self.least - period, (self.exponent - 1) * period)
@@ -153,6 +153,10 @@ class RunFinder:
             yield nth * np.repeat(width, counts), np.repeat(periods, counts)
             first = int(periods[-1]) + 1
 
+    def _whole_grid(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """All pieces as one, for a sequence of some thousand numbers."""
+        return tuple(np.concatenate(x) for x in zip(*self._grid(n)))
+
     def candidates(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(place, period) of the grid with `half` equal numbers on one side, which every run has at one place of its grid."""
         n = len(numbers)

@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 from visitloom.llm import decontamination, fm_index, language_id, licenses, sentencepiece_codec, token_counts, topk, toxicity
@@ -335,6 +336,23 @@ def test_nearest_entries_are_exact():
         assert np.allclose(cosines, exact[exact > 0][: len(cosines)]) and len(cosines) == (exact > 0).sum()
 
 
+def test_words_of_examples_are_numbered_in_little_memory():
+    rng = random.Random(8)
+    lists = [[b"word%d" % rng.randrange(5_000) for _ in range(rng.randrange(120))] for _ in range(5_000)]
+    words = pa.chunked_array([pa.array(part, pa.list_(pa.binary())) for part in (lists[:4_100], [], lists[4_100:])])
+    before, pool = pa.default_memory_pool(), pa.proxy_memory_pool(pa.default_memory_pool())
+    pa.set_memory_pool(pool)
+    try:
+        ids, terms = toxicity._numbered(words)
+    finally:
+        pa.set_memory_pool(before)
+    assert list(ids) == sorted({w for words in lists for w in words}) and list(ids.values()) == list(range(len(ids)))
+    assert terms.tolist() == [ids[w] for words in lists for w in words] and terms.dtype == np.int32
+    # All lists as one array would take as much again.
+    assert pool.max_memory() < words.nbytes / 2
+    assert toxicity._numbered(words.slice(0, 0))[0] == {}
+
+
 def test_toxicity(spark, make_documents):
     rng = random.Random(9)
     rows = []

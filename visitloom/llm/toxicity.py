@@ -226,6 +226,20 @@ def _document_frequencies(documents: DataFrame, text: str, ids: dict[bytes, int]
     return found[:-1], int(found[-1])
 
 
+def _numbered(words: pa.ChunkedArray) -> tuple[dict[bytes, int], np.ndarray]:
+    """The distinct words of lists of words, numbered in order, and the number of each word of each list."""
+    seen, parts = {}, [np.zeros(0, np.int32)]
+    # Some lists at a time: as many words at once would take several times the memory of what they become.
+    for first in range(0, len(words), TEXTS):
+        coded = words.slice(first, TEXTS).combine_chunks().flatten().dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        numbers = np.fromiter((seen.setdefault(word, len(seen)) for word in distinct), np.int32, len(distinct))
+        parts.append(numbers[coded.indices.to_numpy()])
+    ids = {word: i for i, word in enumerate(sorted(seen))}
+    rank = np.fromiter(map(ids.__getitem__, seen), np.int32, len(seen))
+    return ids, rank[np.concatenate(parts)]
+
+
 def _build_entries(
     vectors: list[tuple[int, int, np.ndarray, np.ndarray]], terms: int, texts: list[int] | None = None
 ) -> Entries:
@@ -239,8 +253,8 @@ def _build_entries(
         entry[2] += toxic
     # Entries of the same heaviest terms stand together, so that bounds of blocks are close.
     order = sorted(grouped.values(), key=lambda e: (e[3][np.argsort(-e[4], kind="stable")[:16]].tolist(), e[5]))
-    number = np.repeat(np.arange(len(order)), [len(e[3]) for e in order])
-    term = np.concatenate([np.zeros(0, np.int64), *(e[3] for e in order)])
+    number = np.repeat(np.arange(len(order), dtype=np.int32), [len(e[3]) for e in order])
+    term = np.concatenate([np.zeros(0, np.int32), *(e[3] for e in order)])
     value = np.concatenate([np.zeros(0), *(e[4] for e in order)])
     held = np.bincount(term, minlength=terms)
     dense, common = np.full((2, terms), -1)
@@ -256,13 +270,15 @@ def _build_entries(
     common_term, common_number, common_value = common[term[inside]], number[inside], value[inside]
     most = np.zeros((len(of_many), -(-max(len(order), 1) // BLOCK)))
     np.maximum.at(most, (common_term, common_number // BLOCK), common_value)
+    del of_most, of_many, in_most, inside
     by_term = np.argsort(term, kind="stable")
+    del term
     return Entries(
         np.array([e[0] for e in order], np.int64),
         np.array([e[1] for e in order], np.int64),
         np.array([e[2] for e in order], np.int64),
         np.append(0, np.cumsum(held)),
-        number[by_term].astype(np.int32),
+        number[by_term],
         value[by_term],
         dense,
         dense_values,
@@ -350,24 +366,23 @@ def fit_toxicity(
                     batch.column(2),
                     batch.column(3),
                     pa.array([list(c) for c in counts], pa.list_(pa.binary())),
-                    pa.array([list(c.values()) for c in counts], pa.list_(pa.int64())),
+                    pa.array([list(c.values()) for c in counts], pa.list_(pa.int32())),
                 ],
                 ["doc_id", "texts", "toxic", "words", "counts"],
             )
 
         return handle
 
-    schema = "doc_id long, texts long, toxic long, words array<binary>, counts array<long>"
+    schema = "doc_id long, texts long, toxic long, words array<binary>, counts array<int>"
     sample = _sampled(given, labels, max_examples, max_bytes).select("doc_id", "text", "texts", "toxic")
     rows = map_pieces(sample, count, schema).toArrow()  # distinct texts, bounded by the sample
     doc_ids = pc.fill_null(rows.column("doc_id"), 0).to_pylist()
     texts, toxic_texts = rows.column("texts").to_numpy(), rows.column("toxic").to_numpy()
     sizes = pc.list_value_length(rows.column("words")).to_numpy()
-    words = pc.list_flatten(rows.column("words")).combine_chunks().dictionary_encode()
+    ids, terms = _numbered(rows.column("words"))
     numbers = pc.list_flatten(rows.column("counts")).to_numpy()
-    ids = {word: i for i, word in enumerate(sorted(words.dictionary.to_pylist()))}
-    terms = np.array([ids[word] for word in words.dictionary.to_pylist()], np.int32)[words.indices.to_numpy()]
-    del rows, words
+    del rows
+    pa.default_memory_pool().release_unused()
 
     p, n = int(toxic_texts.sum()), int((texts - toxic_texts).sum())
     a = np.bincount(terms, np.repeat(toxic_texts, sizes), minlength=len(ids))
@@ -379,8 +394,12 @@ def fit_toxicity(
     weights = np.append(weights, np.log((documents_in_all + 1) / 2) + 1)
 
     ends = np.cumsum(sizes)
-    vectors = [_unit(terms[e - m : e], numbers[e - m : e], weights) for e, m in zip(ends.tolist(), sizes.tolist())]
-    del terms, numbers, a, b, favoured
+    # All vectors lie in two arrays; small ones of their own would leave gaps in the driver's memory.
+    places, values = [slice(e - m, e) for e, m in zip(ends.tolist(), sizes.tolist())], np.zeros(len(terms))
+    for place in places:
+        terms[place], values[place] = _unit(terms[place], numbers[place], weights)
+    vectors = [(terms[place], values[place]) for place in places]
+    del numbers, a, b, favoured
     held = [i for i, m in enumerate(sizes.tolist()) if m]
     entries = _build_entries(
         [(doc_ids[i], int(toxic_texts[i]), *vectors[i]) for i in held], len(ids), [int(texts[i]) for i in held]

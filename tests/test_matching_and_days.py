@@ -9,7 +9,16 @@ from pyspark.sql import functions as F
 from tests.conftest import final_plan
 from visitloom.operators.categories import category_counts
 from visitloom.operators.daily import DayStore, merged_summary, merged_values
-from visitloom.operators.matching import _ancestors, _blocks, statistics_per_task
+from visitloom.operators.matching import (
+    _ancestors,
+    _blocks,
+    _with_asks,
+    profile_cells,
+    session_profiles,
+    session_spans,
+    statistics_per_task,
+    task_criteria,
+)
 from visitloom.operators.predicates import date_range
 from visitloom.operators.sessions import select_sessions, session_records, session_statistics, session_summary
 from visitloom.sources.tasks import Criteria
@@ -84,6 +93,45 @@ def test_statistics_per_task(spark, make_actions, make_users, log):
     assert several > 15
 
 
+def test_odd_criteria(spark, make_actions, make_users, log):
+    """Ranges and values that no block or list holds, and several lists at once."""
+    users = [dict(u, age=(-3, 255, 256, 300, 40, None)[u["user_id"] % 6]) for u in log[1]]
+    actions, users = make_actions(*log[0]), make_users(*users)
+    dates = ([], ["2024-01-1"], ["2024-01-09"], ["0000"], ["9999"])
+    odd = [{"startDate": a, "endDate": b} for a in dates for b in dates]
+    odd += [{"startAge": [a], "endAge": [b]} for a, b in ((-9, 400), (-5, 0), (250, 256), (256, 300), (40, 40), (41, 39))]
+    odd += [{"clickCategoryIds": ["x"]}, {"clickCategoryIds": ["x", "1,2,3,4,5"], "searchKeywords": ["kw0,kw1", "kw2", "kw3"]}]
+    odd += [dict(odd[-1], professionals=["p0,p1,p2,p0"], cities=["c0,c1,c2"], startAge=[0], endAge=[256], startDate=[DAYS[2]])]
+    tasks = spark.createDataFrame([(i, json.dumps(p)) for i, p in enumerate(odd)], "task_id long, task_param string")
+    got = {r["task_id"]: r for r in statistics_per_task(actions, users, tasks).collect()}
+    for i, p in enumerate(odd):
+        if p.get("clickCategoryIds") == ["x"]:
+            assert got[i]["session_count"] == 0 and got[i]["step_60"] is None
+            continue
+        c = Criteria.from_json(json.dumps(p).replace('"x", ', ""))
+        one = session_statistics(select_sessions(date_range(actions, c.start_date, c.end_date), users, c), i).first()
+        assert got[i] == one, p
+    assert sum(r["session_count"] > 0 for r in got.values()) > 10
+
+
+def test_criteria_meet_cells_not_sessions(spark, make_actions, make_users):
+    """How many cells there are depends on the values that are asked for, not on the sessions or on what else differs in them."""
+    rows = [
+        dict(action_time=f"2024-01-{8 + s % 6:02d} 10:00:00", user_id=s % 40, session_id=f"s{s}", click_category_id=s % 13)
+        for s in range(600)
+    ]
+    users = [dict(user_id=i, age=20 + i % 4, professional=f"p{i % 5}", city=f"c{i % 8}", sex=("male", "female")[i % 2]) for i in range(40)]
+    asked = [{"startAge": [a], "endAge": [a + 1]} for a in range(19, 24)] + [{"clickCategoryIds": [str(c)]} for c in range(13)] + [{}]
+    tasks = spark.createDataFrame([(i, json.dumps(p)) for i, p in enumerate(asked)], "task_id long, task_param string")
+    criteria = _with_asks(task_criteria(tasks))
+    asks = sorted({r["asks"] for r in criteria.select("asks").collect()})
+    profiles = session_profiles(session_spans(make_actions(*rows), criteria), make_users(*users))
+    cells = profile_cells(profiles, asks)
+    assert profiles.count() > 500 and cells.count() == 1 + 4 + 13
+    counts = {r["asks"]: r["n"] for r in cells.groupBy("asks").agg(F.sum("session_count").alias("n")).collect()}
+    assert list(counts.values()) == [600] * 3
+
+
 def test_no_tasks_and_no_actions(spark, make_actions, make_users, log):
     tasks = spark.createDataFrame([(1, "{}")], "task_id long, task_param string")
     assert statistics_per_task(make_actions(*log[0]), make_users(*log[1]), tasks.limit(0)).count() == 0

@@ -1,10 +1,12 @@
 """Statistics of sessions for all tasks of a table at once.
 
 Tasks with the same criteria are one criterion. Sessions that no criterion can tell apart are one profile, with counts in place
-of sessions. A criterion is posted once, in the list of the rarest kind of value it asks for: keywords, categories, a city, a
-profession, an age, a day, or none. Ranges of ages and days are posted under the few aligned blocks of numbers they are made of. A
-profile looks up the lists of its own values, and what it finds there is checked for the rest of the criteria; a pair meets
-in one list at most, so no pair is counted twice and none is stored.
+of sessions. Criteria that ask for the same kinds of values look at the profiles as cells: the profiles in these kinds alone, those
+alike summed up. So a criterion that asks for ages meets a cell an age, however many sessions there are. A criterion is posted
+under each of the values it asks for, of keywords, categories, cities, professions and sex at once; if it asks for none
+of the first four, then also under the few aligned blocks of numbers its range of ages, or else of days, is made of. A cell looks up
+its own values, and what it finds there is checked for the rest of the criteria; a pair counts where it meets under the least
+values only, so no pair is counted twice and none is stored.
 """
 
 from __future__ import annotations
@@ -22,9 +24,16 @@ from visitloom.sources.tasks import task_parameter
 # Binary digits of the numbers in the index: ages, and days since 1970. Others are found by no index, and checked.
 AGE_BITS, DAY_BITS = 8, 16
 
+_COUNTS = ["session_count", *(name for name, _, _ in VISIT_BUCKETS + STEP_BUCKETS)]
+
 _ARRAYS = ("professionals", "cities", "keywords", "categories")
 _CRITERIA = ("start", "end", "low", "high", "sex", *_ARRAYS)
 
+# Bits of what a criterion asks for, and of the blocks it is posted under.
+_ASKED = ("start", "end", "low", "sex", *_ARRAYS)
+_BIT = {name: 1 << k for k, name in enumerate((*_ASKED, "age blocks", "day blocks"))}
+_LISTED = sum(_BIT[name] for name in _ARRAYS)
+
 
 def _items(name: str) -> Column:
     """Distinct, sorted non-empty items of a list parameter, each element of which may be a comma list; NULL if there is none."""
@@ -39,15 +48,15 @@ def _first(name: str) -> Column:
     return F.when(value != "", value)
 
 
-def task_criteria(tasks: DataFrame) -> DataFrame:
-    """(task_id, start, end, low, high, sex, professionals, cities, keywords, categories); NULL asks for nothing.
+def task_criteria(tasks: DataFrame, key: str = "task_id") -> DataFrame:
+    """(the key, start, end, low, high, sex, professionals, cities, keywords, categories); NULL asks for nothing.
 
     Ages are asked for if both bounds are there. Categories that are no numbers are left out.
     """
     both = _first("startAge").isNotNull() & _first("endAge").isNotNull()
     ids = F.array_sort(F.array_distinct(F.array_compact(F.transform(_items("clickCategoryIds"), lambda v: v.try_cast("bigint")))))
     return tasks.select(
-        "task_id",
+        key,
         _first("startDate").alias("start"),
         _first("endDate").alias("end"),
         F.when(both, _first("startAge").cast("int")).alias("low"),
@@ -144,57 +153,73 @@ def _ancestors(number: str, bits: int) -> str:
     return f"IF({number} BETWEEN 0 AND {(1 << bits) - 1}, {listed}, array())"
 
 
-def _postings(criteria: DataFrame) -> DataFrame:
-    """`criteria` with kind and value, a row for each list it stands in: those of the first kind it asks for."""
-    days = f"{_blocks(_number('start'), _number('end'), DAY_BITS)}"
+def _with_asks(criteria: DataFrame) -> DataFrame:
+    """`criteria` with asks: the bits of what each asks for."""
     covered = f"{_number('start')} BETWEEN 0 AND {(1 << DAY_BITS) - 1} AND {_number('end')} BETWEEN 0 AND {(1 << DAY_BITS) - 1}"
     ages = f"low BETWEEN 0 AND {(1 << AGE_BITS) - 1} AND high BETWEEN 0 AND {(1 << AGE_BITS) - 1}"
-    entry = "struct('{}' AS kind, {} AS value)"
-    kinds = " ".join(
-        f"WHEN {asked} THEN transform({values}, v -> {entry.format(kind, 'CAST(v AS string)')})"
-        for asked, kind, values in (
-            ("keywords IS NOT NULL", "keyword", "keywords"),
-            ("categories IS NOT NULL", "category", "categories"),
-            ("cities IS NOT NULL", "city", "cities"),
-            ("professionals IS NOT NULL", "professional", "professionals"),
-            (ages, "age", _blocks("low", "high", AGE_BITS)),
-            (covered, "day", days),
-            ("sex IS NOT NULL", "sex", "array(sex)"),
-        )
+    bits = " + ".join(f"IF({name} IS NULL, 0, {_BIT[name]})" for name in _ASKED)
+    listed = " OR ".join(f"{name} IS NOT NULL" for name in _ARRAYS)
+    blocks = f"CASE WHEN {listed} THEN 0 WHEN {ages} THEN {_BIT['age blocks']} WHEN {covered} THEN {_BIT['day blocks']} ELSE 0 END"
+    return criteria.withColumn("asks", F.expr(f"{bits} + {blocks}"))
+
+
+def _has(name: str) -> str:
+    return f"(asks & {_BIT[name]}) != 0"
+
+
+def _postings(criteria: DataFrame) -> DataFrame:
+    """`criteria`, a row for each combination of values it asks for: professional, city, keyword, category, block."""
+    blocks = (
+        f"CASE WHEN {_has('age blocks')} THEN {_blocks('low', 'high', AGE_BITS)} "
+        f"WHEN {_has('day blocks')} THEN {_blocks(_number('start'), _number('end'), DAY_BITS)} ELSE array('') END"
     )
-    other = f"array({entry.format('any', chr(39) * 2)})"
-    posted = criteria.withColumn("entry", F.expr(f"explode(CASE {kinds} ELSE {other} END)"))
-    return posted.select("*", "entry.kind", "entry.value").drop("entry")
+    posted = criteria.withColumn("block", F.explode(F.expr(blocks)))
+    for value, values in (("professional", "professionals"), ("city", "cities"), ("keyword", "keywords"), ("category", "categories")):
+        posted = posted.withColumn(value, F.explode_outer(values))
+    return posted
+
 
+def profile_cells(profiles: DataFrame, asks: list[int]) -> DataFrame:
+    """Profiles as criteria with each of the `asks` see them: the values of other kinds NULL, those alike summed up.
 
-def _lookups(profiles: DataFrame) -> DataFrame:
-    """`profiles` with kind and value, a row for each list it looks up."""
+    Profiles that cannot meet such criteria are left out: those without a value of a kind, and spans that leave out days of their
+    session where no date is asked for.
+    """
+    each = profiles.withColumn("asks", F.explode(F.array(*map(F.lit, asks))))
+    fit = [f"({_has('start')} OR before IS NULL)", f"({_has('end')} OR after IS NULL)"]
+    kept = {"before": "start", "first": "start", "last": "end", "after": "end"}
+    for column, name in (("age", "low"), ("sex", "sex"), ("professional", "professionals"), ("city", "cities")):
+        fit.append(f"(NOT {_has(name)} OR {column} IS NOT NULL)")
+        kept[column] = name
+    for column in ("keywords", "categories"):
+        fit.append(f"(NOT {_has(column)} OR size({column}) > 0)")
+        kept[column] = column
+    # The bits decide which rows come to be at all, the values which are alike.
+    cells = each.where(" AND ".join(fit)).select(
+        "asks", *(F.expr(f"IF({_has(name)}, {column}, NULL) AS {column}") for column, name in kept.items()), *_COUNTS
+    )
+    return cells.groupBy("asks", *kept).agg(*(F.sum(c).alias(c) for c in _COUNTS))
 
-    def of(kind: str, values: str) -> str:
-        return f"transform({values}, v -> struct('{kind}' AS kind, CAST(v AS string) AS value))"
 
-    lists = [
-        of("keyword", "keywords"), of("category", "categories"), of("city", "array_compact(array(city))"),
-        of("professional", "array_compact(array(professional))"), of("age", f"coalesce({_ancestors('age', AGE_BITS)}, array())"),
-        of("day", f"coalesce({_ancestors(_number('first'), DAY_BITS)}, array())"), of("sex", "array_compact(array(sex))"),
-        of("any", "array('')"),
-    ]
-    looked = profiles.withColumn("entry", F.expr(f"explode(concat({', '.join(lists)}))"))
-    return looked.select("*", "entry.kind", "entry.value").drop("entry")
+def _lookups(cells: DataFrame) -> DataFrame:
+    """`cells` with keyword, category and block, a row for each combination they look up."""
+    blocks = (
+        f"CASE WHEN {_has('age blocks')} THEN {_ancestors('age', AGE_BITS)} "
+        f"WHEN {_has('day blocks')} THEN {_ancestors(_number('first'), DAY_BITS)} ELSE array('') END"
+    )
+    looked = cells.withColumn("block", F.explode(F.expr(blocks)))
+    return looked.withColumn("keyword", F.explode_outer("keywords")).withColumn("category", F.explode_outer("categories"))
 
 
-# All criteria of a pair that met in a list. Of several lists in which a pair meets, that of the least value counts.
+# All criteria of a pair that met. Of several keywords or categories by which a pair meets, the least counts.
 _MET = """
-    (c.start IS NULL OR c.start <= p.first) AND (p.before IS NULL OR coalesce(p.before < c.start, false))
+    p.asks = c.asks AND p.block = c.block AND p.professional <=> c.professional AND p.city <=> c.city AND p.sex <=> c.sex
+    AND p.keyword <=> c.keyword AND p.category <=> c.category
+    AND (c.start IS NULL OR c.start <= p.first) AND (p.before IS NULL OR coalesce(p.before < c.start, false))
     AND (c.end IS NULL OR c.end >= p.last) AND (p.after IS NULL OR coalesce(p.after > c.end, false))
     AND (c.low IS NULL OR coalesce(p.age BETWEEN c.low AND c.high, false))
-    AND (c.sex IS NULL OR coalesce(p.sex = c.sex, false))
-    AND (c.professionals IS NULL OR coalesce(array_contains(c.professionals, p.professional), false))
-    AND (c.cities IS NULL OR coalesce(array_contains(c.cities, p.city), false))
-    AND (c.keywords IS NULL OR arrays_overlap(c.keywords, p.keywords))
-    AND (c.categories IS NULL OR arrays_overlap(c.categories, p.categories))
-    AND (p.kind != 'keyword' OR p.value = array_min(array_intersect(c.keywords, p.keywords)))
-    AND (p.kind != 'category' OR p.value = CAST(array_min(array_intersect(c.categories, p.categories)) AS string))"""
+    AND (c.keywords IS NULL OR coalesce(p.keyword = array_min(array_intersect(c.keywords, p.keywords)), false))
+    AND (c.categories IS NULL OR coalesce(p.category = array_min(array_intersect(c.categories, p.categories)), false))"""
 
 
 def session_profiles(spans: DataFrame, users: DataFrame) -> DataFrame:
@@ -209,15 +234,17 @@ def statistics_per_task(actions: DataFrame, users: DataFrame, tasks: DataFrame)
 
     A task without sessions has 0 and NULL shares; repeated rows of a task each give a row. A NULL parameter asks for nothing.
     """
-    counts = ["session_count", *(name for name, _, _ in VISIT_BUCKETS + STEP_BUCKETS)]
-    asked = task_criteria(tasks).withColumn("criterion", F.sha2(F.to_json(F.struct(*_CRITERIA)), 256))
-    asked = through_storage(asked, "task-criteria")
-    criteria = asked.groupBy("criterion").agg(*(F.first(c).alias(c) for c in _CRITERIA))
-    criteria = through_storage(criteria, "criteria")
+    # Many tasks have the same text, which is read once.
+    given = task_criteria(tasks.select("task_param").distinct(), "task_param")
+    given = given.withColumn("criterion", F.sha2(F.to_json(F.struct(*_CRITERIA)), 256))
+    given = through_storage(given, "task-criteria")
+    criteria = given.groupBy("criterion").agg(*(F.first(c).alias(c) for c in _CRITERIA))
+    criteria = through_storage(_with_asks(criteria), "criteria")
+    asks = sorted(r["asks"] for r in criteria.select("asks").distinct().collect())  # no more than there are sums of bits
     profiles = session_profiles(session_spans(actions, criteria), users)
-    met = _lookups(profiles).alias("p").join(
-        _postings(criteria).alias("c"), F.expr("p.kind = c.kind AND p.value = c.value") & F.expr(_MET)
-    )
-    found = met.groupBy("criterion").agg(*(F.sum(f"p.{c}").alias(c) for c in counts))
-    each = asked.select("task_id", "criterion").join(found, "criterion", "left")
-    return shares(each.na.fill(0, counts), F.col("task_id"))
+    met = _lookups(profile_cells(profiles, asks)).alias("p").join(_postings(criteria).alias("c"), F.expr(_MET))
+    found = met.groupBy("criterion").agg(*(F.sum(f"p.{c}").alias(c) for c in _COUNTS))
+    known = given.select("task_param", "criterion")
+    each = tasks.join(known, tasks["task_param"].eqNullSafe(known["task_param"])).select("task_id", "criterion")
+    each = each.join(found, "criterion", "left")
+    return shares(each.na.fill(0, _COUNTS), F.col("task_id"))

@@ -235,9 +235,10 @@ def _numbered(words: pa.ChunkedArray) -> tuple[dict[bytes, int], np.ndarray]:
         distinct = coded.dictionary.to_pylist()
         numbers = np.fromiter((seen.setdefault(word, len(seen)) for word in distinct), np.int32, len(distinct))
         parts.append(numbers[coded.indices.to_numpy()])
-    ids = {word: i for i, word in enumerate(sorted(seen))}
-    rank = np.fromiter(map(ids.__getitem__, seen), np.int32, len(seen))
-    return ids, rank[np.concatenate(parts)]
+    terms, rank, ordered = np.concatenate(parts), np.zeros(len(seen), np.int32), sorted(seen)
+    rank[np.fromiter(map(seen.__getitem__, ordered), np.int32, len(seen))] = np.arange(len(seen), dtype=np.int32)
+    del parts, seen
+    return {word: i for i, word in enumerate(ordered)}, rank[terms]
 
 
 def _build_entries(
@@ -257,7 +258,7 @@ def _build_entries(
     term = np.concatenate([np.zeros(0, np.int32), *(e[3] for e in order)])
     value = np.concatenate([np.zeros(0), *(e[4] for e in order)])
     held = np.bincount(term, minlength=terms)
-    dense, common = np.full((2, terms), -1)
+    dense, common = np.full((2, terms), -1, np.int32)
     of_most = np.flatnonzero(held > len(order) / DENSE)
     dense[of_most] = np.arange(len(of_most))
     # A row has a posting in each DENSE numbers at least.
@@ -270,23 +271,26 @@ def _build_entries(
     common_term, common_number, common_value = common[term[inside]], number[inside], value[inside]
     most = np.zeros((len(of_many), -(-max(len(order), 1) // BLOCK)))
     np.maximum.at(most, (common_term, common_number // BLOCK), common_value)
-    del of_most, of_many, in_most, inside
     by_term = np.argsort(term, kind="stable")
-    del term
+    # The driver has little memory: what is copied goes before the next copy is made.
+    del in_most, inside, term
+    number = number[by_term]
+    value = value[by_term]
+    del by_term
     return Entries(
         np.array([e[0] for e in order], np.int64),
         np.array([e[1] for e in order], np.int64),
         np.array([e[2] for e in order], np.int64),
         np.append(0, np.cumsum(held)),
-        number[by_term],
-        value[by_term],
+        number,
+        value,
         dense,
         dense_values,
         common,
         most,
         np.sqrt(np.bincount(common_number, common_value**2, minlength=len(order))),
         np.append(0, np.cumsum(np.bincount(common_number, minlength=len(order)))),
-        common_term.astype(np.int32),
+        common_term,
         common_value,
     )
 

@@ -2,11 +2,11 @@
 
 Terms are all words of the examples. Document frequencies are of all documents; a word that labelled toxic texts hold
 more often than others weighs more, none is left out. A word of no example adds to the length of a text. Examples with
-the same vector are one entry with its numbers of texts and of toxic ones. Entries are held in an inverted index. The
-words of few entries are added up first; those of many entries are bounded by blocks of entries, which know the largest
-weight of each such word, and by the length of each entry's part of such words. Only entries whose bound reaches the
-nearest ones found are added up in full. The nearest entries vote by distance, and votes are calibrated by those that
-each example gets from the others.
+the same vector are one entry with its numbers of texts and of toxic ones. Entries are held in an inverted index, and
+many texts are compared with it at once. The words of few and of most entries are added up first; the others are bounded
+by blocks of entries, which know the largest weight of each such word, and by the length of each entry's part of such
+words. Only entries whose bound reaches the nearest ones found are added up in full. The nearest entries vote by distance,
+and votes are calibrated by those that each example gets from the others.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitloom.llm.batches import in_python, map_pieces, plain_words
+from visitloom.llm.batches import in_python, map_pieces, plain_bytes, plain_words
 
 # Bounds of what the model is made of: distinct examples, and bytes of their texts (one text more at most).
 EXAMPLES = 8_000
@@ -31,17 +32,48 @@ EXAMPLE_BYTES = 32 << 20
 CLASS_WEIGHT = 3.0
 LEAST_RATIO = 8.0
 NEIGHBOURS = 15
-BLOCK = 32
+BLOCK = 16
 # Terms of more than one in so many entries are bounded before they are added up; those of more than one in DENSE are
 # added up for all entries and many texts at once, as a product of matrices.
-COMMON, DENSE = 64, 16
+COMMON, DENSE = 32, 16
 TEXTS = 256  # of such a product
-# Work of a weight looked up by its entry, in weights of postings.
-FORWARD = 3
+# Bytes of texts whose words are counted at once (one text more at most), and postings that are added up at once.
+GROUP_BYTES = 2 << 20
+POSTINGS = 1 << 16
+BOUNDED = 16  # texts whose entries are bounded at once
+LIKELY = 4  # times the nearest entries: those of the largest bounds, which are added up first
 THRESHOLD = 0.3
 EVIDENCE = 3
 
 
+@dataclass(frozen=True)
+class Vectors:
+    """Unit vectors: the terms of each in order and their weights, one vector after another."""
+
+    starts: np.ndarray
+    terms: np.ndarray
+    weights: np.ndarray
+
+    def __len__(self) -> int:
+        return len(self.starts) - 1
+
+    def some(self, first: int, end: int) -> Vectors:
+        starts = self.starts[first : end + 1]
+        inside = slice(starts[0], starts[-1])
+        return Vectors(starts - starts[0], self.terms[inside], self.weights[inside])
+
+    def dense(self, places: np.ndarray, columns: int) -> np.ndarray:
+        """Vectors x columns: the weights of the terms whose place, the number of a column, is not below 0."""
+        given, held = np.zeros((len(self), columns)), places >= 0
+        given[self.owners[held], places[held]] = self.weights[held]
+        return given
+
+    @property
+    def owners(self) -> np.ndarray:
+        """The number of the vector of each term."""
+        return np.repeat(np.arange(len(self)), np.diff(self.starts))
+
+
 @dataclass(frozen=True)
 class Entries:
     """Distinct unit vectors of examples: (first doc_id, texts, toxic texts), and the index."""
@@ -56,8 +88,8 @@ class Entries:
     dense_values: np.ndarray  # terms of more than one in DENSE entries x entries
     common: np.ndarray  # by term: its number among the other common ones, or -1
     block_most: np.ndarray  # common terms x blocks
-    common_lengths: np.ndarray  # by entry: the length of its part of common terms, and that part
-    common_starts: np.ndarray
+    common_lengths: np.ndarray  # blocks x entries of each: the length of an entry's part of common terms
+    common_starts: np.ndarray  # by entry: where that part starts
     common_terms: np.ndarray
     common_values: np.ndarray
 
@@ -66,72 +98,112 @@ class Entries:
         """By term: entries in order, weights."""
         return list(zip(np.split(self.numbers, self.starts[1:-1]), np.split(self.values, self.starts[1:-1])))
 
-    def _summed(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        """What the terms give to each entry."""
-        if not len(terms):
-            return np.zeros(len(self.ids))
-        first, end = self.starts[terms], self.starts[terms + 1]
-        places = list(zip(first.tolist(), end.tolist()))
-        numbers = np.concatenate([self.numbers[a:b] for a, b in places])
-        values = np.concatenate([self.values[a:b] for a, b in places])
-        return np.bincount(numbers, values * np.repeat(weights, end - first), minlength=len(self.ids))
-
-    def _common_part(self, entries: np.ndarray, dense: np.ndarray) -> np.ndarray:
-        """What the common terms give to some entries."""
-        first = self.common_starts[entries]
-        lengths = self.common_starts[entries + 1] - first
-        at = np.repeat(first - np.append(0, np.cumsum(lengths)[:-1]), lengths) + np.arange(lengths.sum())
-        given = dense[self.common_terms[at]] * self.common_values[at]
-        return np.bincount(np.repeat(np.arange(len(entries)), lengths), given, minlength=len(entries))
-
-    def dense_parts(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-        """What the terms of most entries give to each entry, for each of the vectors (terms, weights)."""
-        given = np.zeros((len(vectors), len(self.dense_values)))
-        for row, (terms, weights) in zip(given, vectors):
-            held = self.dense[terms]
-            row[held[held >= 0]] = weights[held >= 0]
-        return given @ self.dense_values
-
-    def nearest(
-        self, terms: np.ndarray, weights: np.ndarray, k: int, dense: np.ndarray | None = None
-    ) -> tuple[np.ndarray, np.ndarray]:
-        """The k entries of the largest cosine above 0, ties to the earlier entry: numbers and cosines.
-
-        `dense`: the vector's row of `dense_parts`, if it is known.
+    def _add_postings(self, scores: np.ndarray, owners: np.ndarray, terms: np.ndarray, weights: np.ndarray) -> None:
+        """Adds to the row of each owner, which are in order, what its terms give to each entry."""
+        first, width = self.starts[terms], scores.shape[1]
+        lengths = self.starts[terms + 1] - first
+        ends = np.cumsum(lengths)
+        at = 0
+        while at < len(owners):
+            # Rows of about POSTINGS postings, one row more at most.
+            last = min(np.searchsorted(ends, ends[at] - lengths[at] + POSTINGS), len(owners) - 1)
+            end = np.searchsorted(owners, owners[last], "right")
+            some, low, high = slice(at, end), owners[at], owners[last] + 1
+            held = _ranges(first[some], lengths[some])
+            place = np.repeat((owners[some] - low) * width, lengths[some]) + self.numbers.take(held)
+            given = np.repeat(weights[some], lengths[some]) * self.values.take(held)
+            scores[low:high] += np.bincount(place, given, (high - low) * width).reshape(-1, width)
+            at = end
+
+    def _common_part(self, given: np.ndarray, rows: np.ndarray, entries: np.ndarray) -> np.ndarray:
+        """What the common terms of some rows of `given` give to an entry each."""
+        lengths = self.common_starts[entries + 1] - self.common_starts[entries]
+        held = _ranges(self.common_starts[entries], lengths)
+        weights = given.ravel().take(np.repeat(rows * given.shape[1], lengths) + self.common_terms.take(held))
+        return np.bincount(np.repeat(np.arange(len(rows)), lengths), weights * self.common_values.take(held), len(rows))
+
+    def _bounded(
+        self, scores: np.ndarray, blocks: np.ndarray, given: np.ndarray, postings: np.ndarray, k: int
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Rows, entries that can be among their k nearest, the scores of these, and whether a row is one of them.
+
+        `scores`: what the other terms give; `blocks`: bounds of what the common terms give to the entries of each block;
+        `given`: the weights of common terms; `postings`: how many these have. Rows with less of them are left out.
         """
-        if not len(self.ids) or not len(terms):
-            return np.zeros(0, np.int64), np.zeros(0)
-        if dense is None:
-            dense = self.dense_parts([(terms, weights)])[0]
-        other = self.dense[terms] < 0
-        terms, weights = terms[other], weights[other]
-        place = self.common[terms]
-        rare = place < 0
-        scores = dense + self._summed(terms[rare], weights[rare])
-        entries = np.arange(len(scores))
-        if not rare.all():
-            held, given = place[~rare], weights[~rare]
-            blocks = np.repeat(given @ self.block_most[held], BLOCK)[: len(scores)]
-            bounds = scores + np.minimum(blocks, np.linalg.norm(given) * self.common_lengths)
-            by_term = np.zeros(len(self.block_most))
-            by_term[held] = given
-            if len(scores) > k:
-                likely = np.argpartition(-bounds, k - 1)[:k]
-                kth = (scores[likely] + self._common_part(likely, by_term)).min()
-                # A bound is a float sum too: what is equal within rounding is still scored.
-                entries = np.flatnonzero(bounds * (1 + 1e-9) + 1e-12 >= kth)
-            # The entries left are added up one by one, or all by the postings if that is less work.
-            of_entries = (self.common_starts[entries + 1] - self.common_starts[entries]).sum()
-            if FORWARD * of_entries < (self.starts[terms + 1] - self.starts[terms])[~rare].sum():
-                scores = scores[entries] + self._common_part(entries, by_term)
+        n, width = scores.shape
+        lengths = np.linalg.norm(given, axis=1)[:, None, None] * self.common_lengths
+        bounds = np.minimum(blocks[:, :, None], lengths).reshape(n, -1)[:, :width] + scores
+        likely = np.argpartition(bounds, -min(LIKELY * k, width), axis=1)[:, -min(LIKELY * k, width) :]
+        rows, entries = np.repeat(np.arange(n), likely.shape[1]), likely.ravel()
+        sums = scores[rows, entries] + self._common_part(given, rows, entries)
+        kth = np.partition(sums.reshape(likely.shape), -k, axis=1)[:, -k]
+        rows, entries = np.nonzero(bounds >= _within_rounding(kth)[:, None])
+        # The entries left are added up one by one, or all by the postings if that is less work.
+        of_entries = np.bincount(rows, self.common_starts[entries + 1] - self.common_starts[entries], n)
+        bounded = of_entries <= postings
+        inside = bounded[rows]
+        rows, entries = rows[inside], entries[inside]
+        return rows, entries, scores[rows, entries] + self._common_part(given, rows, entries), bounded
+
+    def nearest_of_all(self, vectors: Vectors, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The k entries of the largest cosine above 0 to each vector, ties to the earlier entry: numbers and cosines."""
+        for first in range(0, len(vectors), TEXTS):
+            some = vectors.some(first, min(first + TEXTS, len(vectors)))
+            if len(self.ids):
+                yield from self._nearest_of_some(some, k)
             else:
-                scores = (scores + self._summed(terms[~rare], given))[entries]
-        if len(scores) > k:
-            inside = np.flatnonzero(scores >= np.partition(scores, -k)[-k])
-            entries, scores = entries[inside], scores[inside]
-        best = np.lexsort((entries, -scores))[:k]
-        best = best[scores[best] > 0]
-        return entries[best], scores[best]
+                yield from [(np.zeros(0, np.int64), np.zeros(0))] * len(some)
+
+    def _nearest_of_some(self, vectors: Vectors, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        owners, terms, weights = vectors.owners, vectors.terms, vectors.weights
+        dense, common = self.dense[terms], self.common[terms]
+        scores = vectors.dense(dense, len(self.dense_values)) @ self.dense_values
+        rare, held = (dense < 0) & (common < 0), common >= 0
+        self._add_postings(scores, owners[rare], terms[rare], weights[rare])
+        given = vectors.dense(common, len(self.block_most))
+        blocks = given @ self.block_most
+        owners, terms, weights = owners[held], terms[held], weights[held]
+        postings = np.bincount(owners, self.starts[terms + 1] - self.starts[terms], len(vectors))
+        for first in range(0, len(vectors), BOUNDED):
+            inside = slice(first, first + BOUNDED)
+            some = scores[inside]
+            found, bounded = [], np.zeros(len(some), bool)
+            if len(self.ids) > k:
+                *near, bounded = self._bounded(some, blocks[inside], given[inside], postings[inside], k)
+                found.append(near)
+            if not bounded.all():
+                own = np.flatnonzero((owners >= first) & (owners < first + len(some)))
+                own = own[~bounded[owners[own] - first]]
+                self._add_postings(some, owners[own] - first, terms[own], weights[own])
+                others = np.flatnonzero(~bounded)
+                sums = some[others]
+                least = np.partition(sums, -k, axis=1)[:, -k] if len(self.ids) > k else np.zeros(len(others))
+                rows, entries = np.nonzero(sums >= _within_rounding(least)[:, None])
+                found.append((others[rows], entries, sums[rows, entries]))
+            rows, entries, cosines = (np.concatenate(x) for x in zip(*found))
+            above = np.flatnonzero(cosines > 0)
+            # Equal cosines differ by rounding, as their sums are of other orders.
+            order = above[np.lexsort((entries[above], -cosines[above].round(12), rows[above]))]
+            ends = np.searchsorted(rows[order], np.arange(len(some) + 1))
+            for low, high in zip(ends[:-1].tolist(), ends[1:].tolist()):
+                best = order[low : min(high, low + k)]
+                yield entries[best], cosines[best]
+
+    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """`nearest_of_all` of one vector."""
+        (found,) = self.nearest_of_all(Vectors(np.array([0, len(terms)]), terms, weights), k)
+        return found
+
+
+def _within_rounding(sums: np.ndarray) -> np.ndarray:
+    """Bounds and cosines are float sums: what reaches this may be equal to the sums."""
+    return sums * (1 - 1e-9) - 1e-12
+
+
+def _ranges(first: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The numbers of some ranges, one range after another."""
+    ends = np.cumsum(lengths)
+    return np.repeat(first - ends + lengths, lengths) + np.arange(lengths.sum())
 
 
 @dataclass(frozen=True)
@@ -143,31 +215,28 @@ class ToxicityModel:
     steps: np.ndarray  # votes and what they stand for
     values: np.ndarray
 
-    def vector(self, counts: Counter) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the known words in order, and their weights, all words being of length 1."""
-        ids = np.fromiter((self.ids.get(word, -1) for word in counts), np.int64, len(counts))
-        return _unit(ids, np.fromiter(counts.values(), float, len(counts)), self.weights)
-
-    def vote(self, counts: Counter) -> tuple[float, list[tuple[int, float, float]]]:
-        """The weighted share of toxic texts among the nearest entries, and the evidence."""
-        return self.voted(self.vector(counts))
-
-    def nearest_of_all(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """The nearest entries and their cosines of each vector."""
-        for first in range(0, len(vectors), TEXTS):
-            some = vectors[first : first + TEXTS]
-            for vector, dense in zip(some, self.entries.dense_parts(some)):
-                yield self.entries.nearest(*vector, NEIGHBOURS, dense)
+    def vectors(self, texts: list[bytes]) -> Vectors:
+        """The known words of some texts, as `plain_bytes` gives them, all words being of length 1."""
+        owners, terms, counts = _term_counts(texts, self.ids)
+        unknown = len(self.ids)
+        given = (1 + np.log(counts)) * self.weights[np.minimum(terms, unknown)]
+        lengths = np.sqrt(np.bincount(owners, given**2, len(texts)))
+        known = terms < unknown
+        owners, terms = owners[known], terms[known]
+        starts = np.append(0, np.cumsum(np.bincount(owners, minlength=len(texts))))
+        return Vectors(starts, terms, given[known] / lengths[owners])
 
     def voted(
         self,
-        vector: tuple[np.ndarray, np.ndarray],
+        nearest: tuple[np.ndarray, np.ndarray],
         without: int | None = None,
-        nearest: tuple[np.ndarray, np.ndarray] | None = None,
     ) -> tuple[float, list[tuple[int, float, float]]]:
-        """`without`: the label of an example whose own part in its entry is left out; `nearest`: if it is known."""
+        """The weighted share of toxic texts among the nearest entries, and the evidence.
+
+        `without`: the label of an example whose own part in its entry is left out.
+        """
         entries = self.entries
-        found, cosines = entries.nearest(*vector, NEIGHBOURS) if nearest is None else nearest
+        found, cosines = nearest
         texts, toxic = entries.texts[found].astype(float), entries.toxic[found].astype(float)
         if without is not None:
             own = cosines > 1 - 1e-9
@@ -190,6 +259,42 @@ def _unit(ids: np.ndarray, counts: np.ndarray, weights: np.ndarray) -> tuple[np.
     return ids[order], given[order] / np.linalg.norm(given) if len(order) else np.zeros(0)
 
 
+def _groups(texts: list[str | None]) -> Iterator[list[bytes]]:
+    """`plain_bytes` of the texts in order, in lists of about GROUP_BYTES; a longer text is in a list that ends with it."""
+    group, size = [], 0
+    for text in texts:
+        group.append(plain_bytes(text))
+        size += len(group[-1])
+        if size >= GROUP_BYTES:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
+
+def _term_counts(texts: list[bytes], ids: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(number of the text, term, how often) of each distinct word of each text, in order; words between blanks.
+
+    Words that are not in `ids` get numbers of their own from len(ids) on.
+    """
+    joined = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
+    inside = np.append(False, joined != 32)
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, lengths = edges[::2], edges[1::2] - edges[::2]
+    places = np.append(0, np.cumsum(lengths)).astype(np.int32)
+    buffers = [None, pa.py_buffer(places), pa.py_buffer(joined[inside[1:]])]
+    coded = pa.Array.from_buffers(pa.binary(), len(starts), buffers).dictionary_encode()
+    words = coded.dictionary.to_numpy(zero_copy_only=False)
+    terms = np.fromiter(map(ids.get, words, repeat(-1)), np.int64, len(words))
+    terms = np.where(terms < 0, len(ids) + np.arange(len(words)), terms)
+    bits = (len(ids) + len(words)).bit_length()
+    ends = np.cumsum([len(text) + 1 for text in texts])
+    keys = np.searchsorted(ends, starts, "right") << bits | terms[coded.indices.to_numpy()]
+    keys.sort()
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
+    return keys[first] >> bits, keys[first] & ((1 << bits) - 1), np.diff(np.append(first, len(keys)))
+
+
 def _ratio(a, p, b, n):
     """Log-likelihood ratio of a term in a of p toxic and b of n other texts."""
 
@@ -210,18 +315,20 @@ def _document_frequencies(documents: DataFrame, text: str, ids: dict[bytes, int]
     shared = documents.sparkSession.sparkContext.broadcast(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, seen, rows = shared.value, Counter(), 0
+        ids, rows = shared.value, 0
+        held = np.zeros(len(ids), np.int64)
         for batch in batches:
-            for value in batch.column(0):
-                seen.update(ids.keys() & set(plain_words(value.as_py())))
+            for group in _groups(batch.column(0).to_pylist()):
+                terms = _term_counts(group, ids)[1]
+                held += np.bincount(terms[terms < len(ids)], minlength=len(ids))
             rows += batch.num_rows
-        at = np.fromiter(map(ids.__getitem__, seen), np.int64, len(seen))
-        n = np.fromiter(seen.values(), np.int64, len(seen))
-        yield pa.record_batch([pa.array(np.append(at, len(ids))), pa.array(np.append(n, rows))], ["id", "n"])
+        at = np.flatnonzero(held)
+        yield pa.record_batch([pa.array(np.append(at, len(ids))), pa.array(np.append(held[at], rows))], ["id", "n"])
 
     found = np.zeros(len(ids) + 1, np.int64)
     counted = in_python(documents.select(text), run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     rows = counted.toArrow()  # no more rows than terms, and one
+    shared.destroy()  # the driver has little memory
     found[rows.column("id").to_numpy()] = rows.column("n").to_numpy()
     return found[:-1], int(found[-1])
 
@@ -254,44 +361,49 @@ def _build_entries(
         entry[2] += toxic
     # Entries of the same heaviest terms stand together, so that bounds of blocks are close.
     order = sorted(grouped.values(), key=lambda e: (e[3][np.argsort(-e[4], kind="stable")[:16]].tolist(), e[5]))
-    number = np.repeat(np.arange(len(order), dtype=np.int32), [len(e[3]) for e in order])
-    term = np.concatenate([np.zeros(0, np.int32), *(e[3] for e in order)])
-    value = np.concatenate([np.zeros(0), *(e[4] for e in order)])
-    held = np.bincount(term, minlength=terms)
+    held = np.zeros(terms, np.int64)
+    for _, _, _, ids, _, _ in order:
+        held[ids] += 1
     dense, common = np.full((2, terms), -1, np.int32)
     of_most = np.flatnonzero(held > len(order) / DENSE)
     dense[of_most] = np.arange(len(of_most))
-    # A row has a posting in each DENSE numbers at least.
-    dense_values = np.zeros((len(of_most), len(order)))
-    in_most = dense[term] >= 0
-    dense_values[dense[term[in_most]], number[in_most]] = value[in_most]
     of_many = np.flatnonzero((held > len(order) / COMMON) & (dense < 0))
     common[of_many] = np.arange(len(of_many))
-    inside = common[term] >= 0
-    common_term, common_number, common_value = common[term[inside]], number[inside], value[inside]
-    most = np.zeros((len(of_many), -(-max(len(order), 1) // BLOCK)))
-    np.maximum.at(most, (common_term, common_number // BLOCK), common_value)
-    by_term = np.argsort(term, kind="stable")
-    # The driver has little memory: what is copied goes before the next copy is made.
-    del in_most, inside, term
-    number = number[by_term]
-    value = value[by_term]
-    del by_term
+    starts = np.append(0, np.cumsum(held))
+    blocks = -(-max(len(order), 1) // BLOCK)
+    # A row has a posting in each DENSE numbers at least.
+    dense_values, most = np.zeros((len(of_most), len(order))), np.zeros((len(of_many), blocks))
+    common_lengths, common_starts = np.zeros(blocks * BLOCK), np.zeros(len(order) + 1, np.int64)
+    common_terms, common_values = np.zeros(held[of_many].sum(), np.int32), np.zeros(held[of_many].sum())
+    # The driver has little memory: what is made is filled one entry after another, and no copy of it is made.
+    numbers, values, free = np.zeros(starts[-1], np.int32), np.zeros(starts[-1]), starts[:-1].copy()
+    for i, (_, _, _, ids, weights, _) in enumerate(order):
+        places = free[ids]
+        numbers[places], values[places] = i, weights
+        free[ids] += 1
+        in_most, in_many = dense[ids] >= 0, common[ids] >= 0
+        dense_values[dense[ids[in_most]], i] = weights[in_most]
+        ids, weights = common[ids[in_many]], weights[in_many]
+        most[ids, i // BLOCK] = np.maximum(most[ids, i // BLOCK], weights)
+        common_lengths[i] = np.linalg.norm(weights)
+        common_starts[i + 1] = common_starts[i] + len(ids)
+        own = slice(common_starts[i], common_starts[i + 1])
+        common_terms[own], common_values[own] = ids, weights
     return Entries(
         np.array([e[0] for e in order], np.int64),
         np.array([e[1] for e in order], np.int64),
         np.array([e[2] for e in order], np.int64),
-        np.append(0, np.cumsum(held)),
-        number,
-        value,
+        starts,
+        numbers,
+        values,
         dense,
         dense_values,
         common,
         most,
-        np.sqrt(np.bincount(common_number, common_value**2, minlength=len(order))),
-        np.append(0, np.cumsum(np.bincount(common_number, minlength=len(order)))),
-        common_term,
-        common_value,
+        common_lengths.reshape(blocks, BLOCK),
+        common_starts,
+        common_terms,
+        common_values,
     )
 
 
@@ -411,9 +523,10 @@ def fit_toxicity(
     model = ToxicityModel(ids, weights, entries, p / max(p + n, 1), np.zeros(0), np.zeros(0))
     if not vectors:
         return model
+    found = entries.nearest_of_all(Vectors(np.append(0, ends), terms, values), NEIGHBOURS)
     votes = [
-        (model.voted(vector, label, nearest)[0], label, of_label)
-        for vector, nearest, n, t in zip(vectors, model.nearest_of_all(vectors), texts.tolist(), toxic_texts.tolist())
+        (model.voted(nearest, label)[0], label, of_label)
+        for nearest, n, t in zip(found, texts.tolist(), toxic_texts.tolist())
         for label, of_label in ((0, n - t), (1, t))
         if of_label
     ]
@@ -433,10 +546,10 @@ def score_toxicity(documents: DataFrame, model: ToxicityModel, doc_id: str = "do
         model = shared.value
 
         def scored(texts: list[str | None]) -> Iterator[tuple[float, list[dict]]]:
-            vectors = [model.vector(Counter(plain_words(text))) for text in texts]
-            for vector, nearest in zip(vectors, model.nearest_of_all(vectors)):
-                vote, evidence = model.voted(vector, nearest=nearest)
-                yield model.calibrated(vote), [{"doc_id": i, "similarity": c, "toxic": t} for i, c, t in evidence]
+            for group in _groups(texts):
+                for nearest in model.entries.nearest_of_all(model.vectors(group), NEIGHBOURS):
+                    vote, evidence = model.voted(nearest)
+                    yield model.calibrated(vote), [{"doc_id": i, "similarity": c, "toxic": t} for i, c, t in evidence]
 
         entry = pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("toxic", pa.float64())])
 
